@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geo
+from ..session import fixed
 from .joins import salted_join
 
 SLICE_ROWS = 500_000
@@ -260,19 +261,26 @@ def nearest_join(
         .select("_zx", "_zy", "_rows", "_bound", "_k", "_cx", "_cy", *[f"r_{c}" for c in _BOX])
     )
 
-    # 3. Rows. The load of a right cell says in how many slices its left rows come.
-    load = candidates.groupBy("_k", "_cx", "_cy").agg(
-        F.ceil(F.sum("_rows") / SLICE_ROWS).cast("int").alias("_slices")
-    )
+    # 3. Rows. The cell table is stored once; from it the load of each right cell is known.
+    candidates = fixed(candidates)
+    cell = ["_k", "_cx", "_cy"]
     targets = (
         places.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(top))))
         .withColumn("_cx", up("_cx", "_k"))
         .withColumn("_cy", up("_cy", "_k"))
-        .join(load, ["_k", "_cx", "_cy"])
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
-        .drop("_slices")
     )
-    wanted = candidates.drop("_rows").join(load, ["_k", "_cx", "_cy"])
+    wanted = candidates.drop("_rows").withColumn("_slices", F.lit(1))
+    load = candidates.groupBy(*cell).agg(F.sum("_rows").alias("_rows")).filter(F.col("_rows") > SLICE_ROWS)
+    if load.isEmpty():
+        targets = targets.withColumn("_slice", F.lit(0))
+    else:
+        slices = load.select(*cell, F.ceil(F.col("_rows") / SLICE_ROWS).cast("int").alias("_n"))
+        wanted = wanted.join(slices, cell, "left").withColumn("_slices", F.coalesce("_n", F.lit(1))).drop("_n")
+        targets = (
+            targets.join(slices, cell, "left")
+            .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)))
+            .drop("_n")
+        )
     near_point = F.sqrt(
         sum(
             (
