@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 from . import constants as K
-from .text import as_col, no_nan
+from .text import as_col, as_flag, flags_to_code, no_nan, round_half_even
 
 
 def locale_class(code: Column | str) -> Column:
@@ -29,7 +29,7 @@ def share_gap(part: Column | str, part_total: Column | str, whole: Column | str,
 def rounded_share_gap(part, part_total, whole, whole_total, digits: int = 3) -> Column:
     """Share gap that is NULL for an empty part or whole; half-even rounding."""
     gap = F.try_divide(as_col(part), as_col(part_total)) - F.try_divide(as_col(whole), as_col(whole_total))
-    return F.bround(gap, digits)
+    return round_half_even(gap, digits)
 
 
 def ri_category(ri: Column | str, limit: float = K.RI_LIMIT) -> Column:
@@ -106,6 +106,4 @@ def miles_to_metres(c: Column | str) -> Column:
 
 
 def course_logic(approved: Column, certificate: Column) -> Column:
-    from .text import as_flag, flags_to_code
-
     return flags_to_code(as_flag(approved), as_flag(certificate.isNotNull()))

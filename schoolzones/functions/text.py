@@ -78,6 +78,12 @@ def no_nan(c: Column | str) -> Column:
     return F.when(~F.isnan(col), col)
 
 
+def round_half_even(c: Column | str, digits: int) -> Column:
+    """Round as numpy does: the scaled value to the nearest whole number, halves to even."""
+    factor = F.lit(10.0**digits)
+    return F.rint(as_col(c) * factor) / factor
+
+
 def second_part(c: Column | str, separator: str = "-", part: int = 2) -> Column:
     """The n-th token; empty text where there is none."""
     return F.split_part(as_col(c), F.lit(separator), F.lit(part))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +48,9 @@ def fixed(df: DataFrame) -> DataFrame:
     """
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for a table in the shared checkpoint folder."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/tables/{name}-{uuid.uuid4().hex}"
