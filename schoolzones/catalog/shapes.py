@@ -191,5 +191,5 @@ def _(t):
     "select geoid, round(x0, 7) as min_x, round(y0, 7) as min_y, round(x1, 7) as max_x, round(y1, 7) as max_y from o_box",
 )
 def _(t):
-    boxes = zone_polygons(t).select("geoid", geo.envelope(F.get("rings", F.lit(0))).alias("e"))
+    boxes = zone_polygons(t).select("geoid", geo.envelope("rings[0]").alias("e"))
     return boxes.select("geoid", *[F.round(f"e.{c}", 7).alias(c) for c in ("min_x", "min_y", "max_x", "max_y")])

@@ -1,7 +1,9 @@
 """Points, projections, polygons and lines as plain columns.
 
-A point is two double columns, or ``struct<x,y>`` inside arrays. A polygon is an
-array of closed rings (outer ring first, holes after it); a line is an array of points.
+A point is two double columns, or ``struct<x,y>`` inside arrays. A polygon is an array of
+closed rings (outer ring first, holes after it); a line is an array of points. Arguments
+are column names or SQL text; the formulas are SQL expressions, so each intermediate value
+of an array function is bound and computed once.
 """
 
 from __future__ import annotations
@@ -11,24 +13,31 @@ import math
 from pyspark.sql import Column, functions as F
 
 from . import constants as K
-from .text import as_col
 
 
-def point(x: Column | str, y: Column | str) -> Column:
+def point(x: str, y: str) -> Column:
     """``struct<x,y>``, NULL if either coordinate is."""
-    x, y = as_col(x), as_col(y)
-    return F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
+    return F.expr(f"if({x} is not null and {y} is not null, named_struct('x', {x}, 'y', {y}), null)")
 
 
-def _meridian_arc(phi, sin):
+# --- Projections ---------------------------------------------------------------------------
+
+
+def _arc_terms() -> list[float]:
+    """Coefficients of the meridian arc: of the angle, and of the sines of 2, 4 and 6 angles."""
     e2 = K.GRS80_F * (2 - K.GRS80_F)
     e4, e6 = e2 * e2, e2 * e2 * e2
-    return K.GRS80_A * (
-        (1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256) * phi
-        - (3 * e2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024) * sin(2 * phi)
-        + (15 * e4 / 256 + 45 * e6 / 1024) * sin(4 * phi)
-        - (35 * e6 / 3072) * sin(6 * phi)
-    )
+    return [
+        1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256,
+        -(3 * e2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024),
+        15 * e4 / 256 + 45 * e6 / 1024,
+        -35 * e6 / 3072,
+    ]
+
+
+def _meridian_arc(phi: float) -> float:
+    first, *rest = _arc_terms()
+    return K.GRS80_A * (first * phi + sum(c * math.sin(2 * (i + 1) * phi) for i, c in enumerate(rest)))
 
 
 def conic_constants() -> tuple[float, float, float, float]:
@@ -40,204 +49,183 @@ def conic_constants() -> tuple[float, float, float, float]:
     def scale(phi):
         return math.cos(phi) / math.sqrt(1 - e2 * math.sin(phi) ** 2)
 
-    arc1, arc2 = _meridian_arc(p1, math.sin), _meridian_arc(p2, math.sin)
-    n = K.GRS80_A * (scale(p1) - scale(p2)) / (arc2 - arc1)
-    g = scale(p1) / n + arc1 / K.GRS80_A
-    return n, g, K.GRS80_A * g - _meridian_arc(lat0, math.sin), lon0
+    n = K.GRS80_A * (scale(p1) - scale(p2)) / (_meridian_arc(p2) - _meridian_arc(p1))
+    g = scale(p1) / n + _meridian_arc(p1) / K.GRS80_A
+    return n, g, K.GRS80_A * g - _meridian_arc(lat0), lon0
+
 
+def _double(value: float) -> str:
+    return f"cast({value!r} as double)"
 
-def conic_xy(lon: Column | str, lat: Column | str) -> tuple[Column, Column]:
+
+def conic_xy(lon: str, lat: str) -> tuple[Column, Column]:
     """Degrees to metres of the contiguous-US equidistant conic projection."""
     n, g, rho0, lon0 = conic_constants()
-    rho = F.lit(K.GRS80_A * g) - _meridian_arc(F.radians(as_col(lat)), F.sin)
-    theta = F.lit(n) * (F.radians(as_col(lon)) - F.lit(lon0))
-    return rho * F.sin(theta), F.lit(rho0) - rho * F.cos(theta)
+    first, *rest = _arc_terms()
+    arc = f"{_double(first)} * radians({lat})" + "".join(
+        f" + {_double(c)} * sin({2 * (i + 1)} * radians({lat}))" for i, c in enumerate(rest)
+    )
+    rho = f"({_double(K.GRS80_A * g)} - {_double(K.GRS80_A)} * ({arc}))"
+    theta = f"({_double(n)} * (radians({lon}) - {_double(lon0)}))"
+    return F.expr(f"{rho} * sin({theta})"), F.expr(f"{_double(rho0)} - {rho} * cos({theta})")
 
 
-def mercator_xy(lon: Column | str, lat: Column | str) -> tuple[Column, Column]:
+def mercator_xy(lon: str, lat: str) -> tuple[Column, Column]:
     """Degrees to web mercator metres."""
-    r = F.lit(K.MERCATOR_R)
-    y = r * F.log(F.tan(F.lit(math.pi / 4) + F.radians(as_col(lat)) / F.lit(2.0)))
-    return r * F.radians(as_col(lon)), y
+    r = _double(K.MERCATOR_R)
+    return (
+        F.expr(f"{r} * radians({lon})"),
+        F.expr(f"{r} * ln(tan({_double(math.pi / 4)} + radians({lat}) / 2))"),
+    )
 
 
-def distance(x1, y1, x2, y2) -> Column:
-    dx, dy = as_col(x1) - as_col(x2), as_col(y1) - as_col(y2)
-    return F.sqrt(dx * dx + dy * dy)
+def distance_text(x1: str, y1: str, x2: str, y2: str) -> str:
+    return f"sqrt(({x1} - {x2}) * ({x1} - {x2}) + ({y1} - {y2}) * ({y1} - {y2}))"
 
 
-def _edges(path: Column, make) -> Column:
-    """Apply ``make(p, q)`` to each pair of neighbouring points."""
-    n = F.greatest(F.size(path) - 1, F.lit(0))
-    return F.zip_with(F.slice(path, F.lit(1), n), F.slice(path, F.lit(2), n), make)
+def distance(x1: str, y1: str, x2: str, y2: str) -> Column:
+    return F.expr(distance_text(x1, y1, x2, y2))
 
 
-def _total(items: Column, field: str) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda acc, e: acc + e[field])
+# --- Boxes (min x, min y, max x, max y) -------------------------------------------------------
 
 
-def polygon_centroid(rings: Column | str) -> Column:
-    """Area-weighted centre, holes taken off; a flat polygon uses its edge lengths.
-
-    Coordinates are taken relative to the first vertex, which keeps the sums small.
-    """
-    rings = as_col(rings)
-    first = F.get(F.get(rings, F.lit(0)), F.lit(0))
-    x0, y0 = first["x"], first["y"]
-
-    def edge(p, q):
-        ax, ay, bx, by = p["x"] - x0, p["y"] - y0, q["x"] - x0, q["y"] - y0
-        cross = ax * by - bx * ay
-        length = F.sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay))
-        return F.struct(
-            cross.alias("a"),
-            ((ax + bx) * cross).alias("mx"),
-            ((ay + by) * cross).alias("my"),
-            length.alias("l"),
-            ((ax + bx) * length).alias("lx"),
-            ((ay + by) * length).alias("ly"),
-        )
-
-    def ring_sums(ring, i):
-        edges = _edges(ring, edge)
-        a = _total(edges, "a")
-        sign = F.when(a < 0, -1.0).otherwise(1.0) * F.when(i == 0, 1.0).otherwise(-1.0)
-        return F.struct(
-            (sign * a).alias("a"),
-            (sign * _total(edges, "mx")).alias("mx"),
-            (sign * _total(edges, "my")).alias("my"),
-            _total(edges, "l").alias("l"),
-            _total(edges, "lx").alias("lx"),
-            _total(edges, "ly").alias("ly"),
-        )
-
-    sums = F.transform(rings, ring_sums)
-
-    def centre(origin, moment, line_moment):
-        by_area = _total(sums, moment) / F.nullif(_total(sums, "a") * 3, F.lit(0.0))
-        by_length = _total(sums, line_moment) / F.nullif(_total(sums, "l") * 2, F.lit(0.0))
-        return origin + F.coalesce(by_area, by_length, F.lit(0.0))
-
-    return F.when(
-        F.size(rings) > 0,
-        F.struct(centre(x0, "mx", "lx").alias("x"), centre(y0, "my", "ly").alias("y")),
-    )
+def in_box(x: str, y: str, box) -> Column:
+    """Inside the closed box."""
+    return F.expr(f"{x} between {_double(box[0])} and {_double(box[2])} and {y} between {_double(box[1])} and {_double(box[3])}")
 
 
-def envelope(points: Column | str) -> Column:
-    """Smallest box round an array of points."""
-    p = as_col(points)
-    return F.struct(
-        F.array_min(F.transform(p, lambda q: q["x"])).alias("min_x"),
-        F.array_min(F.transform(p, lambda q: q["y"])).alias("min_y"),
-        F.array_max(F.transform(p, lambda q: q["x"])).alias("max_x"),
-        F.array_max(F.transform(p, lambda q: q["y"])).alias("max_y"),
+def _clip_text(x1: str, y1: str, x2: str, y2: str, box) -> tuple[str, str]:
+    """Where a segment's parameter (0 start, 1 end) enters and leaves a box; NULL beside it."""
+    starts, ends, beside = ["0d"], ["1d"], []
+    for a, b, low, high in ((x1, x2, box[0], box[2]), (y1, y2, box[1], box[3])):
+        to_low = f"({_double(low)} - {a}) / nullif({b} - {a}, 0)"
+        to_high = f"({_double(high)} - {a}) / nullif({b} - {a}, 0)"
+        starts.append(f"coalesce(least({to_low}, {to_high}), 0d)")
+        ends.append(f"coalesce(greatest({to_low}, {to_high}), 1d)")
+        beside.append(f"({a} = {b} and {a} not between {_double(low)} and {_double(high)})")
+    off = " or ".join(beside)
+    return (
+        f"if({off}, null, greatest({', '.join(starts)}))",
+        f"if({off}, null, least({', '.join(ends)}))",
     )
 
 
-def in_box(x: Column | str, y: Column | str, box) -> Column:
-    """Inside the closed box (min x, min y, max x, max y)."""
-    return as_col(x).between(box[0], box[2]) & as_col(y).between(box[1], box[3])
-
-
-def clip_span(x1, y1, x2, y2, box) -> tuple[Column, Column]:
+def clip_span(x1: str, y1: str, x2: str, y2: str, box) -> tuple[Column, Column]:
     """Part of a segment inside a box as the range of its parameter (0 start, 1 end).
 
     The segment misses the box where the start of the range exceeds its end, or is NULL.
     """
-    x1, y1, x2, y2 = map(as_col, (x1, y1, x2, y2))
-    starts, ends, misses = [F.lit(0.0)], [F.lit(1.0)], F.lit(False)
-    for a, b, low, high in ((x1, x2, box[0], box[2]), (y1, y2, box[1], box[3])):
-        d = F.nullif(b - a, F.lit(0.0))
-        to_low, to_high = (F.lit(float(low)) - a) / d, (F.lit(float(high)) - a) / d
-        starts.append(F.when(d.isNull(), F.lit(0.0)).otherwise(F.least(to_low, to_high)))
-        ends.append(F.when(d.isNull(), F.lit(1.0)).otherwise(F.greatest(to_low, to_high)))
-        misses = misses | (d.isNull() & ~a.between(low, high))
-    return F.when(~misses, F.greatest(*starts)), F.when(~misses, F.least(*ends))
+    start, end = _clip_text(x1, y1, x2, y2, box)
+    return F.expr(start), F.expr(end)
+
+
+def _edges(path: str, body: str) -> str:
+    """``body`` over each pair p, q of neighbouring points."""
+    n = f"greatest(size({path}) - 1, 0)"
+    return f"zip_with(slice({path}, 1, {n}), slice({path}, 2, {n}), (p, q) -> {body})"
+
 
+def _bind(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for the value, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-def segment_hits_box(x1, y1, x2, y2, box) -> Column:
-    start, end = clip_span(x1, y1, x2, y2, box)
-    return F.coalesce(start <= end, F.lit(False))
 
+def envelope(points: str) -> Column:
+    """Smallest box round an array of points."""
+    sides = ", ".join(
+        f"'{f}_{c}', array_{f}(transform(pts, p -> p.{c}))" for f in ("min", "max") for c in ("x", "y")
+    )
+    return F.expr(_bind(points, "pts", f"named_struct({sides})"))
 
-def point_in_polygon(x: Column, y: Column, rings: Column | str) -> Column:
-    """Even-odd rule over all rings, so a hole is outside."""
 
-    def crossed(p, q):
-        spans = (p["y"] > y) != (q["y"] > y)
-        at = p["x"] + (y - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0)) * (q["x"] - p["x"])
-        return F.when(spans & (x < at), 1).otherwise(0)
+def polygon_hits_box(rings: str, box) -> Column:
+    """Exact test: an edge touches the box, or the box lies inside the polygon.
 
-    per_ring = F.transform(
-        as_col(rings), lambda r: F.aggregate(_edges(r, crossed), F.lit(0), lambda acc, e: acc + e)
+    The box corner is tested by the even-odd rule over all rings, so a hole is outside.
+    """
+    west, south, east, north = (_double(v) for v in box)
+    start, end = _clip_text("p.x", "p.y", "q.x", "q.y", box)
+    touches = f"exists(poly, ring -> exists({_edges('ring', f'coalesce({start} <= {end}, false)')}, hit -> hit))"
+    crossed = (
+        f"if((p.y > {south}) <> (q.y > {south}) and "
+        f"{west} < p.x + ({south} - p.y) / nullif(q.y - p.y, 0) * (q.x - p.x), 1, 0)"
     )
-    return F.aggregate(per_ring, F.lit(0), lambda acc, e: acc + e) % 2 == 1
-
-
-def polygon_hits_box(rings: Column | str, box) -> Column:
-    """Exact test: an edge touches the box, or the box lies inside the polygon."""
-    rings = as_col(rings)
-    edge_hits = F.exists(
-        rings,
-        lambda r: F.exists(
-            _edges(r, lambda p, q: segment_hits_box(p["x"], p["y"], q["x"], q["y"], box)),
-            lambda hit: hit,
-        ),
+    crossings = (
+        "aggregate(flatten(transform(poly, ring -> " + _edges("ring", crossed) + ")), 0, (n, e) -> n + e)"
     )
-    outer = envelope(F.get(rings, F.lit(0)))
     near = (
-        (outer["min_x"] <= box[2]) & (outer["max_x"] >= box[0])
-        & (outer["min_y"] <= box[3]) & (outer["max_y"] >= box[1])
+        f"exists(poly[0], p -> p.x <= {east}) and exists(poly[0], p -> p.x >= {west}) and "
+        f"exists(poly[0], p -> p.y <= {north}) and exists(poly[0], p -> p.y >= {south})"
     )
-    corner = point_in_polygon(F.lit(float(box[0])), F.lit(float(box[1])), rings)
-    return F.coalesce(near & (edge_hits | corner), F.lit(False))
-
-
-def line_midpoint(line: Column | str) -> Column:
-    """Point half way along a line."""
-    line = as_col(line)
-
-    def step(acc, q):
-        length = F.sqrt(
-            (q["x"] - acc["x"]) * (q["x"] - acc["x"]) + (q["y"] - acc["y"]) * (q["y"] - acc["y"])
-        )
-        here = (acc["mx"].isNull()) & (acc["done"] + length >= acc["half"])
-        t = F.coalesce((acc["half"] - acc["done"]) / F.nullif(length, F.lit(0.0)), F.lit(0.0))
-        return F.struct(
-            q["x"].alias("x"),
-            q["y"].alias("y"),
-            (acc["done"] + length).alias("done"),
-            acc["half"].alias("half"),
-            F.when(here, acc["x"] + t * (q["x"] - acc["x"])).otherwise(acc["mx"]).alias("mx"),
-            F.when(here, acc["y"] + t * (q["y"] - acc["y"])).otherwise(acc["my"]).alias("my"),
-        )
-
-    first = F.get(line, F.lit(0))
-    start = F.struct(
-        first["x"].cast("double").alias("x"),
-        first["y"].cast("double").alias("y"),
-        F.lit(0.0).alias("done"),
-        (line_length(line) / 2).alias("half"),
-        F.lit(None).cast("double").alias("mx"),
-        F.lit(None).cast("double").alias("my"),
+    test = f"size(poly) > 0 and {near} and ({touches} or {crossings} % 2 = 1)"
+    return F.expr(f"coalesce({_bind(rings, 'poly', test)}, false)")
+
+
+# --- Centres ------------------------------------------------------------------------------------
+
+_SUMS = ("a", "ax", "ay", "l", "lx", "ly")
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+
+def polygon_centroid(rings: str) -> Column:
+    """Area-weighted centre, holes taken off; a flat polygon uses its edge lengths.
+
+    Coordinates are taken relative to the first vertex ``o``, which keeps the sums small.
+    Each ring gives its signed area sums (positive outside, negative for holes, whichever
+    way it turns) and its edge length sums.
+    """
+    zero = _struct({k: "0d" for k in _SUMS})
+    edge = _struct(
+        {
+            "cross": "(p.x - o.x) * (q.y - o.y) - (q.x - o.x) * (p.y - o.y)",
+            "length": distance_text("p.x", "p.y", "q.x", "q.y"),
+            "sx": "p.x + q.x - 2 * o.x",
+            "sy": "p.y + q.y - 2 * o.y",
+        }
+    )
+    added = _struct(
+        {
+            "a": "s.a + e.cross", "ax": "s.ax + e.sx * e.cross", "ay": "s.ay + e.sy * e.cross",
+            "l": "s.l + e.length", "lx": "s.lx + e.sx * e.length", "ly": "s.ly + e.sy * e.length",
+        }
     )
-    rest = F.slice(line, F.lit(2), F.greatest(F.size(line) - 1, F.lit(0)))
-    walked = F.aggregate(rest, start, step)
-    return F.when(
-        F.size(line) > 0,
-        F.struct(
-            F.coalesce(walked["mx"], walked["x"]).alias("x"),
-            F.coalesce(walked["my"], walked["y"]).alias("y"),
-        ),
+    sign = "if((s.a < 0) = (i = 0), -1d, 1d)"
+    signed = _struct({k: f"s.{k} * {sign}" if k.startswith("a") else f"s.{k}" for k in _SUMS})
+    per_ring = f"transform(poly, (ring, i) -> aggregate({_edges('ring', edge)}, {zero}, (s, e) -> {added}, s -> {signed}))"
+    both = _struct({k: f"s.{k} + r.{k}" for k in _SUMS})
+    centre = _struct(
+        {
+            c: f"o.{c} + coalesce(t.a{c} / nullif(3 * t.a, 0), t.l{c} / nullif(2 * t.l, 0), 0d)"
+            for c in ("x", "y")
+        }
     )
+    total = f"aggregate({per_ring}, {zero}, (s, r) -> {both}, t -> {centre})"
+    return F.expr(_bind(rings, "poly", f"if(size(poly) > 0, {_bind('get(poly[0], 0)', 'o', total)}, null)"))
 
 
-def line_length(line: Column | str) -> Column:
-    steps = _edges(
-        as_col(line),
-        lambda p, q: F.sqrt(
-            (q["x"] - p["x"]) * (q["x"] - p["x"]) + (q["y"] - p["y"]) * (q["y"] - p["y"])
-        ),
-    )
-    return F.aggregate(steps, F.lit(0.0), lambda acc, e: acc + e)
+def _length_text(line: str) -> str:
+    return f"aggregate({_edges(line, distance_text('p.x', 'p.y', 'q.x', 'q.y'))}, 0d, (n, d) -> n + d)"
+
+
+def line_length(line: str) -> Column:
+    return F.expr(_length_text(line))
+
+
+def line_midpoint(line: str) -> Column:
+    """Point half way along a line: walk its edges until half the length is reached."""
+    edge = _struct({"p": "p", "q": "q", "d": distance_text("p.x", "p.y", "q.x", "q.y")})
+    share = "coalesce((half - s.done) / nullif(e.d, 0), 0d)"
+
+    def at(c: str) -> str:
+        return f"if(s.{c} is null and s.done + e.d >= half, e.p.{c} + {share} * (e.q.{c} - e.p.{c}), s.{c})"
+
+    step = _struct({"done": "s.done + e.d", "x": at("x"), "y": at("y")})
+    start = "named_struct('done', 0d, 'x', cast(null as double), 'y', cast(null as double))"
+    last = _struct({c: f"coalesce(s.{c}, pts[size(pts) - 1].{c})" for c in ("x", "y")})
+    walk = f"aggregate({_edges('pts', edge)}, {start}, (s, e) -> {step}, s -> {last})"
+    half = _bind(f"{_length_text('pts')} / 2", "half", walk)
+    return F.expr(_bind(line, "pts", f"if(size(pts) > 0, {half}, null)"))

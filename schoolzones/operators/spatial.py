@@ -9,7 +9,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import geo
 from ..session import fixed
@@ -40,34 +40,29 @@ def distance_join(
     a crowded cell is sliced by its left rows. Rows without coordinates or radius match nothing.
     """
     (lx, ly), (rx, ry) = left_xy, right_xy
-    level = F.greatest(
-        F.least(F.coalesce(F.ceil(F.log2(F.col(radius))).cast("int"), F.lit(_LOWEST)), F.lit(_HIGHEST)),
-        F.lit(_LOWEST),
-    )
-    circles = _present(right, rx, ry, radius).filter(F.col(radius) >= 0).withColumn("_level", level)
+    level = f"greatest(least(coalesce(cast(ceil(log2({radius})) as int), {_LOWEST}), {_HIGHEST}), {_LOWEST})"
+    circles = _present(right, rx, ry, radius).filter(f"{radius} >= 0").selectExpr("*", f"{level} as _level")
     # At most 37 levels exist.
     levels = sorted(r[0] for r in circles.select("_level").distinct().collect()) or [0]
 
-    side = F.pow(F.lit(2.0), F.col("_level"))
-    reach = F.col(radius) * (1 + 1e-9) + 1e-6  # rounding must not lose a pair on the rim
+    def cell(value: str) -> str:
+        return f"cast(floor(({value}) / pow(2d, _level)) as bigint)"
 
-    def cell(value: Column) -> Column:
-        return F.floor(value / side).cast("long")
+    reach = f"({radius} * (1 + 1e-9) + 1e-6)"  # rounding must not lose a pair on the rim
 
-    def covered(column: str) -> Column:
-        return F.explode(F.sequence(cell(F.col(column) - reach), cell(F.col(column) + reach)))
+    def covered(c: str) -> str:
+        return f"explode(sequence({cell(f'{c} - {reach}')}, {cell(f'{c} + {reach}')}))"
 
     spots = (
         _present(left, lx, ly)
-        .withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels])))
-        .withColumn("_cx", cell(F.col(lx)))
-        .withColumn("_cy", cell(F.col(ly)))
+        .selectExpr("*", f"explode(array({', '.join(map(str, levels))})) as _level")
+        .selectExpr("*", f"{cell(lx)} as _cx", f"{cell(ly)} as _cy")
     )
-    areas = circles.withColumn("_cx", covered(rx)).withColumn("_cy", covered(ry))
+    areas = circles.selectExpr("*", f"{covered(rx)} as _cx").selectExpr("*", f"{covered(ry)} as _cy")
     met = salted_join(spots, areas, ["_level", "_cx", "_cy"], slice_rows=SLICE_ROWS)
     return (
         met.withColumn(out, geo.distance(lx, ly, rx, ry))
-        .filter(F.col(out) <= F.col(radius))
+        .filter(f"{out} <= {radius}")
         .drop("_level", "_cx", "_cy")
     )
 
@@ -81,71 +76,59 @@ class Grid:
     side: float
     top: int
 
-    def column(self, value: Column | str, origin: float) -> Column:
-        v = F.col(value) if isinstance(value, str) else value
-        return F.floor((v - F.lit(origin)) / F.lit(self.side)).cast("long")
+    def cells(self, x: str, y: str) -> list[str]:
+        """SQL text of the finest cell of a point."""
+        return [
+            f"cast(floor(({v} - {_text(o)}) / {_text(self.side)}) as bigint)"
+            for v, o in ((x, self.x0), (y, self.y0))
+        ]
+
 
-    def cells(self, x: str, y: str) -> tuple[Column, Column]:
-        return self.column(x, self.x0), self.column(y, self.y0)
+def _text(value: float) -> str:
+    return f"cast({value!r} as double)"
 
 
 def grid_for(left: DataFrame, right: DataFrame, left_xy, right_xy, per_cell: float = 4.0) -> Grid | None:
     """Grid over both sides with a few right points per finest cell on average (one small row is read)."""
 
     def points(df, xy, is_right):
-        return _present(df, *xy).select(
-            F.col(xy[0]).alias("x"), F.col(xy[1]).alias("y"), F.lit(is_right).alias("r")
-        )
+        return _present(df, *xy).selectExpr(f"{xy[0]} as x", f"{xy[1]} as y", f"{is_right} as r")
 
-    both = points(left, left_xy, False).unionByName(points(right, right_xy, True))
-    s = both.agg(
-        F.count_if("r").alias("n"),
-        *[f(c).alias(f"{n}{c}") for c in ("x", "y") for n, f in (("lo_", F.min), ("hi_", F.max))],
-        *[
-            f(F.when(F.col("r"), F.col(c))).alias(f"{n}{c}_r")
-            for c in ("x", "y")
-            for n, f in (("lo_", F.min), ("hi_", F.max))
-        ],
+    both = points(left, left_xy, "false").unionByName(points(right, right_xy, "true"))
+    s = both.selectExpr(
+        "count_if(r) as n",
+        *[f"{f}({c}) as {f}_{c}" for f in ("min", "max") for c in ("x", "y")],
+        *[f"{f}({c}) filter (where r) as {f}_{c}_r" for f in ("min", "max") for c in ("x", "y")],
     ).first()
     if not s["n"]:
         return None
-    extent = max(s["hi_x"] - s["lo_x"], s["hi_y"] - s["lo_y"], 1.0)
-    wide = max(s["hi_x_r"] - s["lo_x_r"], 1.0)
-    high = max(s["hi_y_r"] - s["lo_y_r"], 1.0)
+    extent = max(s["max_x"] - s["min_x"], s["max_y"] - s["min_y"], 1.0)
+    wide = max(s["max_x_r"] - s["min_x_r"], 1.0)
+    high = max(s["max_y_r"] - s["min_y_r"], 1.0)
     side = max(math.sqrt(wide * high * per_cell / s["n"]), extent / 2**20)
     side = min(side, extent)
-    return Grid(s["lo_x"], s["lo_y"], side, math.ceil(math.log2(extent / side)) + 1)
+    return Grid(s["min_x"], s["min_y"], side, math.ceil(math.log2(extent / side)) + 1)
 
 
 _BOX = ("min_x", "min_y", "max_x", "max_y")
+_LEFT_BOX = [f"l_{c}" for c in _BOX]
+_RIGHT_BOX = [f"r_{c}" for c in _BOX]
+_PAD = "* (1 + 1e-9) + 1e-6"  # keeps a bound a bound in spite of rounding
 
 
-def _box_of(x: str, y: str) -> list[Column]:
-    return [F.min(x).alias("min_x"), F.min(y).alias("min_y"), F.max(x).alias("max_x"), F.max(y).alias("max_y")]
-
-
-def _furthest(a: str, b: str) -> Column:
-    """Upper bound of the distance between points of two boxes (column prefixes)."""
-    gaps = [
-        F.greatest(F.col(f"{a}max_{c}") - F.col(f"{b}min_{c}"), F.col(f"{b}max_{c}") - F.col(f"{a}min_{c}"))
-        for c in "xy"
-    ]
-    return F.sqrt(gaps[0] * gaps[0] + gaps[1] * gaps[1])
+def _boxed(df: DataFrame, keys: Sequence[str], x: str, y: str, prefix: str, *more: str) -> DataFrame:
+    """Bounding box of the points per key."""
+    sides = [f"{c[:3]}({x if c.endswith('x') else y}) as {prefix}{c}" for c in _BOX]
+    return df.groupBy(*keys).agg(*[F.expr(e) for e in (*sides, *more)])
 
 
-def _closest(a: str, b: str) -> Column:
-    """Lower bound of the distance between points of two boxes."""
-    gaps = [
-        F.greatest(
-            F.lit(0.0), F.col(f"{a}min_{c}") - F.col(f"{b}max_{c}"), F.col(f"{b}min_{c}") - F.col(f"{a}max_{c}")
-        )
-        for c in "xy"
-    ]
-    return F.sqrt(gaps[0] * gaps[0] + gaps[1] * gaps[1])
+def _hypot(dx: str, dy: str) -> str:
+    return f"sqrt(pow({dx}, 2) + pow({dy}, 2))"
 
 
-def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) if c in _BOX else F.col(c) for c in df.columns])
+# Bounds of the distance between a point of the left box and one of the right box.
+_FURTHEST = _hypot(*[f"greatest(l_max_{c} - r_min_{c}, r_max_{c} - l_min_{c})" for c in "xy"])
+_CLOSEST = _hypot(*[f"greatest(0d, l_min_{c} - r_max_{c}, r_min_{c} - l_max_{c})" for c in "xy"])
 
 
 def nearest_join(
@@ -157,7 +140,6 @@ def nearest_join(
     right_xy: Sequence[str] = ("school_x", "school_y"),
     out: str = "distance",
     grid: Grid | None = None,
-    hot_left: DataFrame | None = None,
 ) -> DataFrame:
     """Each left row with its nearest right row; ties go to the smallest right id.
 
@@ -175,142 +157,104 @@ def nearest_join(
     """
     (lx, ly), (rx, ry) = left_xy, right_xy
     payload = [c for c in right.columns if c not in (right_id, rx, ry)]
-    found_columns = [right_id, rx, ry, *payload]
     grid = grid or grid_for(left, right, left_xy, right_xy)
     if grid is None:
-        nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in found_columns]
+        nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in (right_id, rx, ry, *payload)]
         return left.select("*", *nothing, F.lit(None).cast("double").alias(out))
-    side, top = F.lit(grid.side), grid.top
+    side, top = _text(grid.side), grid.top
+    every_level = f"explode(sequence(0, {top})) as _k"
+    cell = ["_k", "_cx", "_cy"]
+
+    def up(c: str, by: str, name: str) -> str:
+        """The cell ``by`` levels further up."""
+        return f"shiftright({c}, {by}) as {name}"
 
     places = (
         _present(right, rx, ry)
         .groupBy(rx, ry)
         .agg(F.min(F.struct(right_id, *payload)).alias("_r"))
-        .withColumns(dict(zip(("_cx", "_cy"), grid.cells(rx, ry))))
+        .selectExpr("*", *[f"{e} as {n}" for e, n in zip(grid.cells(rx, ry), ("_cx", "_cy"))])
     )
-    finest = places.groupBy("_cx", "_cy").agg(*_box_of(rx, ry))
-
-    def up(c: str, by: str) -> Column:
-        return F.expr(f"shiftright({c}, {by})")
-
-    pyramid = _prefixed(
-        finest.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(top))))
-        .select("_k", up("_cx", "_k").alias("_cx"), up("_cy", "_k").alias("_cy"), *_BOX)
-        .groupBy("_k", "_cx", "_cy")
-        .agg(*[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in _BOX]),
-        "r_",
+    finest = _boxed(places, ["_cx", "_cy"], rx, ry, "r_")
+    pyramid = fixed(
+        finest.selectExpr(every_level, "*")
+        .selectExpr("_k", up("_cx", "_k", "_cx"), up("_cy", "_k", "_cy"), *_RIGHT_BOX)
+        .groupBy(*cell)
+        .agg(*[F.expr(f"{c[2:5]}({c}) as {c}") for c in _RIGHT_BOX])
     )
-
-    spots = _present(left, lx, ly).withColumns(dict(zip(("_zx", "_zy"), grid.cells(lx, ly))))
-    zones = _prefixed(
-        spots.groupBy("_zx", "_zy").agg(*_box_of(lx, ly), F.count(F.lit(1)).alias("_rows")), "l_"
+    spots = _present(left, lx, ly).selectExpr(
+        left_id, lx, ly, *[f"{e} as {n}" for e, n in zip(grid.cells(lx, ly), ("_zx", "_zy"))]
     )
+    zone = ["_zx", "_zy", "_rows", *_LEFT_BOX]
+    zones = _boxed(spots, ["_zx", "_zy"], lx, ly, "l_", "count(1) as _rows")
 
     # 1. A bound per left cell.
-    step = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     around = (
-        zones.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(top))))
-        .withColumn("_dx", F.explode(step))
-        .withColumn("_dy", F.explode(step))
-        .withColumn("_cx", up("_zx", "_k") + F.col("_dx"))
-        .withColumn("_cy", up("_zy", "_k") + F.col("_dy"))
-    )
-    zone_columns = ["_zx", "_zy", "_rows", *[f"l_{c}" for c in _BOX]]
-    bounded = (
-        around.join(pyramid, ["_k", "_cx", "_cy"])
-        .groupBy(*zone_columns)
-        .agg((F.min(_furthest("l_", "r_")) * (1 + 1e-9) + 1e-6).alias("_bound"))
+        zones.selectExpr("*", every_level)
+        .selectExpr("*", "explode(array(-1, 0, 1)) as _dx")
+        .selectExpr("*", "explode(array(-1, 0, 1)) as _dy")
+        .selectExpr(*zone, "_k", "shiftright(_zx, _k) + _dx as _cx", "shiftright(_zy, _k) + _dy as _cy")
     )
+    bounded = around.join(pyramid, cell).groupBy(*zone).agg(F.expr(f"min({_FURTHEST}) {_PAD} as _bound"))
 
     # 2. Right cells within the bound.
-    level = F.greatest(
-        F.least(F.ceil(F.log2(F.greatest(F.col("_bound") / 2 / side, F.lit(1.0)))).cast("int"), F.lit(top)),
-        F.lit(0),
-    )
+    level = f"greatest(least(cast(ceil(log2(greatest(_bound / 2 / {side}, 1d))) as int), {top}), 0) as _k"
 
-    def span(c: str, origin: float) -> Column:
-        width = side * F.pow(F.lit(2.0), F.col("_k"))
-        last = F.lit(2.0**top) / F.pow(F.lit(2.0), F.col("_k")) - 1
-        low = F.floor((F.col(f"l_min_{c}") - F.col("_bound") - origin) / width)
-        high = F.floor((F.col(f"l_max_{c}") + F.col("_bound") - origin) / width)
-        return F.explode(
-            F.sequence(
-                F.greatest(low, F.lit(0)).cast("long"),
-                F.greatest(F.least(high, last), F.lit(0)).cast("long"),
-            )
-        )
+    def span(c: str, origin: float) -> str:
+        def index(v: str) -> str:
+            return f"cast(floor(({v} - {_text(origin)}) / ({side} * pow(2d, _k))) as bigint)"
+
+        last = f"shiftleft(1L, {top} - _k) - 1"
+        low, high = index(f"l_min_{c} - _bound"), index(f"l_max_{c} + _bound")
+        return f"explode(sequence(greatest({low}, 0L), greatest(least({high}, {last}), 0L))) as _c{c}"
 
     coarse = (
-        bounded.withColumn("_k", level)
-        .withColumn("_cx", span("x", grid.x0))
-        .withColumn("_cy", span("y", grid.y0))
-        .join(pyramid, ["_k", "_cx", "_cy"])
-        .filter(_closest("l_", "r_") <= F.col("_bound"))
-        .select(*zone_columns, "_bound", F.col("_k").alias("_pk"), F.col("_cx").alias("_px"), F.col("_cy").alias("_py"))
+        bounded.selectExpr("*", level)
+        .selectExpr("*", span("x", grid.x0))
+        .selectExpr("*", span("y", grid.y0))
+        .join(pyramid, cell)
+        .filter(f"{_CLOSEST} <= _bound")
+        .selectExpr(*zone, "_bound", "_k as _pk", "_cx as _px", "_cy as _py")
     )
-    parents = F.when(F.col("_k") == 0, F.array(*[F.lit(i) for i in range(4)])).otherwise(F.array(F.col("_k") + 3))
-    parts = pyramid.withColumn("_pk", F.explode(parents)).select(
-        "*", up("_cx", "_pk - _k").alias("_px"), up("_cy", "_pk - _k").alias("_py")
-    )
-    per_zone = Window.partitionBy("_zx", "_zy")  # at most 36 cells of 64 parts
+    parts = pyramid.selectExpr(
+        "*", "explode(if(_k = 0, array(0, 1, 2, 3), array(_k + 3))) as _pk"
+    ).selectExpr("*", up("_cx", "_pk - _k", "_px"), up("_cy", "_pk - _k", "_py"))
+    tighter = f"least(_bound, min({_FURTHEST}) over (partition by _zx, _zy) {_PAD}) as _near"
     candidates = (
         coarse.join(parts, ["_pk", "_px", "_py"])
-        .withColumn("_near", F.min(_furthest("l_", "r_")).over(per_zone) * (1 + 1e-9) + 1e-6)
-        .withColumn("_bound", F.least("_bound", "_near"))
-        .filter(_closest("l_", "r_") <= F.col("_bound"))
-        .select("_zx", "_zy", "_rows", "_bound", "_k", "_cx", "_cy", *[f"r_{c}" for c in _BOX])
+        .selectExpr("*", tighter)  # a window of at most 36 cells of 64 parts
+        .filter(f"{_CLOSEST} <= _near")
+        .selectExpr("_zx", "_zy", "_rows", "_near", *cell, *_RIGHT_BOX)
     )
 
     # 3. Rows. The cell table is stored once; from it the load of each right cell is known.
     candidates = fixed(candidates)
-    cell = ["_k", "_cx", "_cy"]
-    targets = (
-        places.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(top))))
-        .withColumn("_cx", up("_cx", "_k"))
-        .withColumn("_cy", up("_cy", "_k"))
+    targets = places.selectExpr(every_level, "*").selectExpr(
+        "_r", rx, ry, "_k", up("_cx", "_k", "_cx"), up("_cy", "_k", "_cy")
     )
-    wanted = candidates.drop("_rows").withColumn("_slices", F.lit(1))
     load = candidates.groupBy(*cell).agg(F.sum("_rows").alias("_rows")).filter(F.col("_rows") > SLICE_ROWS)
     if load.isEmpty():
-        targets = targets.withColumn("_slice", F.lit(0))
+        wanted = candidates.selectExpr("*", "1 as _slices")
+        targets = targets.selectExpr("*", "0 as _slice")
     else:
-        slices = load.select(*cell, F.ceil(F.col("_rows") / SLICE_ROWS).cast("int").alias("_n"))
-        wanted = wanted.join(slices, cell, "left").withColumn("_slices", F.coalesce("_n", F.lit(1))).drop("_n")
+        slices = load.selectExpr(*cell, f"cast(ceil(_rows / {SLICE_ROWS}) as int) as _n")
+        wanted = candidates.join(slices, cell, "left").selectExpr("*", "coalesce(_n, 1) as _slices").drop("_n")
         targets = (
             targets.join(slices, cell, "left")
-            .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)))
+            .selectExpr("*", "explode(sequence(0, coalesce(_n, 1) - 1)) as _slice")
             .drop("_n")
         )
-    near_point = F.sqrt(
-        sum(
-            (
-                F.pow(F.greatest(F.lit(0.0), F.col(f"r_min_{c}") - F.col(v), F.col(v) - F.col(f"r_max_{c}")), F.lit(2.0))
-                for c, v in (("x", lx), ("y", ly))
-            ),
-            F.lit(0.0),
-        )
-    )
+    to_box = _hypot(*[f"greatest(0d, r_min_{c} - {v}, {v} - r_max_{c})" for c, v in (("x", lx), ("y", ly))])
     asked = (
-        salted_join(spots.select(left_id, lx, ly, "_zx", "_zy"), wanted, ["_zx", "_zy"])
-        .filter(near_point <= F.col("_bound"))
-        .withColumn("_slice", F.pmod(F.xxhash64(left_id), F.col("_slices")).cast("int"))
-        .select(left_id, lx, ly, "_k", "_cx", "_cy", "_slice")
+        salted_join(spots, wanted.drop("_rows"), ["_zx", "_zy"])
+        .filter(f"{to_box} <= _near")
+        .selectExpr(left_id, lx, ly, *cell, f"cast(pmod(xxhash64({left_id}), _slices) as int) as _slice")
     )
+    row = ", ".join([f"_r.{right_id} as {right_id}", rx, ry, *[f"_r.{c} as {c}" for c in payload]])
     best = (
-        asked.join(targets, ["_k", "_cx", "_cy", "_slice"])
+        asked.join(targets, [*cell, "_slice"])
         .groupBy(left_id)
-        .agg(
-            F.min(
-                F.struct(
-                    geo.distance(lx, ly, rx, ry).alias("_d"),
-                    F.col("_r")[right_id].alias("_id"),
-                    F.struct(
-                        F.col("_r")[right_id].alias(right_id), F.col(rx), F.col(ry),
-                        *[F.col("_r")[c].alias(c) for c in payload],
-                    ).alias("_row"),
-                )
-            ).alias("_b")
-        )
-        .select(F.col(left_id), "_b._row.*", F.col("_b._d").alias(out))
+        .agg(F.expr(f"min(struct({geo.distance_text(lx, ly, rx, ry)} as _d, _r.{right_id} as _id, struct({row}) as _row)) as _b"))
+        .selectExpr(left_id, "_b._row.*", f"_b._d as {out}")
     )
     return left.join(best, left_id, "left")
