@@ -15,7 +15,9 @@ from ..functions import geo
 from ..session import fixed
 from .joins import salted_join
 
-SLICE_ROWS = 500_000
+SLICE_ROWS = 500_000  # left rows of one cell in one task
+PAIR_LIMIT = 20_000_000  # row pairs of two cells that are worth splitting the cells
+MAX_DEPTH = 5
 _LOWEST, _HIGHEST = -10, 26  # cell sides of 2^-10 m to 2^26 m
 
 
@@ -139,63 +141,101 @@ def nearest_join(
     left_xy: Sequence[str] = ("x", "y"),
     right_xy: Sequence[str] = ("school_x", "school_y"),
     out: str = "distance",
-    grid: Grid | None = None,
+    reach: str | None = None,
 ) -> DataFrame:
     """Each left row with its nearest right row; ties go to the smallest right id.
 
-    Works on occupied cells first, rows last:
+    With ``reach`` (a radius column of ``right`` with few distinct values) a left row prefers
+    the nearest right row whose own radius covers it; only if there is none, the nearest of
+    all. Rows of one radius form a class: if any of them covers a point, the nearest one does,
+    so one nearest row per class answers the question and no list of all pairs is built.
 
-    1. per occupied left cell, a bound: the best "furthest distance" to an occupied right
-       cell among the 3x3 neighbours on every level (the top level always has one);
-    2. right cells within that bound, at a level where they are few, then split three
-       levels further with the bound tightened; the rest cannot hold the nearest point;
-    3. left rows meet the right points of the cells that remain, crowded cells in slices.
-
-    Exact for any data. Right points at equal coordinates are merged to the smallest id first.
-    Left rows without coordinates, and all rows if ``right`` is empty, get NULLs. ``grid`` may
-    be given to avoid measuring, and may cover more than ``left``.
+    Exact for any data. Left rows without coordinates, and all rows if ``right`` is empty, get
+    NULLs.
     """
     (lx, ly), (rx, ry) = left_xy, right_xy
     payload = [c for c in right.columns if c not in (right_id, rx, ry)]
-    grid = grid or grid_for(left, right, left_xy, right_xy)
-    if grid is None:
+    located = _present(right, rx, ry)
+    # Class of right rows: its radius, or NULL for "all rows". Equal points: the smallest id stays.
+    classed = located.selectExpr("*", "cast(null as double) as _reach")
+    if reach:
+        own = located.filter(f"{reach} >= 0 and not isnan({reach})")
+        classed = classed.unionByName(own.selectExpr("*", f"cast({reach} as double) as _reach"))
+    row = ", ".join([f"{right_id} as _id", *[f"{c} as {c}" for c in payload]])
+    places = (
+        classed.selectExpr(f"coalesce(_reach, -1d) as _class", f"{rx} as _rx", f"{ry} as _ry", f"struct({row}) as _r")
+        .groupBy("_class", "_rx", "_ry")
+        .agg(F.min("_r").alias("_r"))
+    )
+    spots = _present(left, lx, ly).selectExpr(f"{left_id} as _left", f"{lx} as _x", f"{ly} as _y")
+    pairs = _nearest_pairs(spots, places)
+    if pairs is None:
         nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in (right_id, rx, ry, *payload)]
         return left.select("*", *nothing, F.lit(None).cast("double").alias(out))
+
+    # A task sorts what it met by left row and passes on one best row for each.
+    best = (
+        pairs.filter("_class < 0 or _d <= _class")
+        .groupBy("_left")
+        .agg(F.expr("min(struct(_class < 0 as _any, _d, _r, _rx, _ry)) as _b"))
+        .selectExpr(
+            f"_left as {left_id}", f"_b._r._id as {right_id}", f"_b._rx as {rx}", f"_b._ry as {ry}",
+            *[f"_b._r.{c} as {c}" for c in payload], f"_b._d as {out}",
+        )
+    )
+    return left.join(best, left_id, "left")
+
+
+def _nearest_pairs(spots: DataFrame, places: DataFrame, depth: int = 0) -> DataFrame | None:
+    """Pairs of spots and places that contain the nearest place of each class for each spot.
+
+    Occupied cells are compared first, rows last:
+
+    1. per occupied left cell and class, a bound: the best "furthest distance" to an occupied
+       right cell among the 3x3 neighbours on every level (the top level always has one);
+    2. right cells within that bound, at a level where they are few, split three levels
+       further with the bound tightened; pairs of cells that still hold very many pairs of
+       rows are split on, down to the finest cells;
+    3. left cells still crowded against crowded finest cells start over on a grid of their own;
+    4. left rows meet the places of the cells that remain, heavy cells in slices.
+    """
+    grid = grid_for(spots, places.filter("_class < 0"), ("_x", "_y"), ("_rx", "_ry"))
+    if grid is None:
+        return None
     side, top = _text(grid.side), grid.top
     every_level = f"explode(sequence(0, {top})) as _k"
-    cell = ["_k", "_cx", "_cy"]
+    cell = ["_class", "_k", "_cx", "_cy"]
 
     def up(c: str, by: str, name: str) -> str:
         """The cell ``by`` levels further up."""
         return f"shiftright({c}, {by}) as {name}"
 
-    places = (
-        _present(right, rx, ry)
-        .groupBy(rx, ry)
-        .agg(F.min(F.struct(right_id, *payload)).alias("_r"))
-        .selectExpr("*", *[f"{e} as {n}" for e, n in zip(grid.cells(rx, ry), ("_cx", "_cy"))])
-    )
-    finest = _boxed(places, ["_cx", "_cy"], rx, ry, "r_")
+    placed = places.selectExpr("*", *[f"{e} as {n}" for e, n in zip(grid.cells("_rx", "_ry"), ("_cx", "_cy"))])
+    spotted = spots.selectExpr("*", *[f"{e} as {n}" for e, n in zip(grid.cells("_x", "_y"), ("_zx", "_zy"))])
+    finest = _boxed(placed, ["_class", "_cx", "_cy"], "_rx", "_ry", "r_", "count(1) as _places")
     pyramid = fixed(
         finest.selectExpr(every_level, "*")
-        .selectExpr("_k", up("_cx", "_k", "_cx"), up("_cy", "_k", "_cy"), *_RIGHT_BOX)
+        .selectExpr("_class", "_k", up("_cx", "_k", "_cx"), up("_cy", "_k", "_cy"), *_RIGHT_BOX, "_places")
         .groupBy(*cell)
-        .agg(*[F.expr(f"{c[2:5]}({c}) as {c}") for c in _RIGHT_BOX])
-    )
-    spots = _present(left, lx, ly).selectExpr(
-        left_id, lx, ly, *[f"{e} as {n}" for e, n in zip(grid.cells(lx, ly), ("_zx", "_zy"))]
+        .agg(*[F.expr(f"{c[2:5]}({c}) as {c}") for c in _RIGHT_BOX], F.sum("_places").alias("_places"))
     )
     zone = ["_zx", "_zy", "_rows", *_LEFT_BOX]
-    zones = _boxed(spots, ["_zx", "_zy"], lx, ly, "l_", "count(1) as _rows")
+    zones = _boxed(spotted, ["_zx", "_zy"], "_x", "_y", "l_", "count(1) as _rows")
 
-    # 1. A bound per left cell.
+    # 1. A bound per left cell and class. A class is of no use beyond its radius.
     around = (
         zones.selectExpr("*", every_level)
         .selectExpr("*", "explode(array(-1, 0, 1)) as _dx")
         .selectExpr("*", "explode(array(-1, 0, 1)) as _dy")
         .selectExpr(*zone, "_k", "shiftright(_zx, _k) + _dx as _cx", "shiftright(_zy, _k) + _dy as _cy")
     )
-    bounded = around.join(pyramid, cell).groupBy(*zone).agg(F.expr(f"min({_FURTHEST}) {_PAD} as _bound"))
+    capped = "if(_class < 0, _bound, least(_bound, _class))"
+    bounded = (
+        around.join(pyramid, cell[1:])
+        .groupBy("_class", *zone)
+        .agg(F.expr(f"min({_FURTHEST}) as _bound"))
+        .selectExpr("_class", *zone, f"{capped} {_PAD} as _bound")
+    )
 
     # 2. Right cells within the bound.
     level = f"greatest(least(cast(ceil(log2(greatest(_bound / 2 / {side}, 1d))) as int), {top}), 0) as _k"
@@ -214,47 +254,70 @@ def nearest_join(
         .selectExpr("*", span("y", grid.y0))
         .join(pyramid, cell)
         .filter(f"{_CLOSEST} <= _bound")
-        .selectExpr(*zone, "_bound", "_k as _pk", "_cx as _px", "_cy as _py")
     )
     parts = pyramid.selectExpr(
         "*", "explode(if(_k = 0, array(0, 1, 2, 3), array(_k + 3))) as _pk"
     ).selectExpr("*", up("_cx", "_pk - _k", "_px"), up("_cy", "_pk - _k", "_py"))
-    tighter = f"least(_bound, min({_FURTHEST}) over (partition by _zx, _zy) {_PAD}) as _near"
-    candidates = (
-        coarse.join(parts, ["_pk", "_px", "_py"])
-        .selectExpr("*", tighter)  # a window of at most 36 cells of 64 parts
-        .filter(f"{_CLOSEST} <= _near")
-        .selectExpr("_zx", "_zy", "_rows", "_near", *cell, *_RIGHT_BOX)
-    )
+    columns = ["_class", *zone, "_bound", "_k", "_cx", "_cy", *_RIGHT_BOX, "_places"]
+    tighter = f"least(_bound, min({_FURTHEST}) over (partition by _class, _zx, _zy) {_PAD}) as _near"
+
+    def split(cells: DataFrame) -> DataFrame:
+        parents = cells.selectExpr("_class", *zone, "_bound", "_k as _pk", "_cx as _px", "_cy as _py")
+        return parents.join(parts, ["_class", "_pk", "_px", "_py"]).select(*columns)
+
+    def pruned(cells: DataFrame) -> DataFrame:
+        """Drop cells beyond the bound; a left cell has a few dozen cells of at most 64 parts."""
+        near = cells.selectExpr("*", tighter).filter(f"{_CLOSEST} <= _near")
+        return near.drop("_bound").withColumnRenamed("_near", "_bound").select(*columns)
+
+    candidates = fixed(pruned(split(coarse)))
+    crowded = f"_rows * _places > {PAIR_LIMIT} and _places > 1"
+    for _ in range(math.ceil(top / 3)):
+        heavy = f"({crowded} and _k > 0)"
+        if candidates.filter(heavy).isEmpty():
+            break
+        candidates = fixed(pruned(candidates.filter(f"not {heavy}").unionByName(split(candidates.filter(heavy)))))
+
+    # 3. Crowds within the finest cells: the same again on these rows only.
+    again = None
+    crowds = candidates.filter(crowded).select("_zx", "_zy").distinct()
+    if depth < MAX_DEPTH and grid.side > 1e-3 and not crowds.isEmpty():
+        left_over = salted_join(spotted, crowds, ["_zx", "_zy"], "left_semi").select(*spots.columns)
+        asked_for = candidates.join(crowds, ["_zx", "_zy"], "left_semi").select(*cell).distinct()
+        right_over = (
+            placed.selectExpr(every_level, "*")
+            .selectExpr(*places.columns, "_k", up("_cx", "_k", "_cx"), up("_cy", "_k", "_cy"))
+            .join(asked_for, cell, "left_semi")
+            .select(*places.columns)
+            .distinct()
+        )
+        again = _nearest_pairs(fixed(left_over), fixed(right_over), depth + 1)
+        candidates = candidates.join(crowds, ["_zx", "_zy"], "left_anti")
 
-    # 3. Rows. The cell table is stored once; from it the load of each right cell is known.
-    candidates = fixed(candidates)
-    targets = places.selectExpr(every_level, "*").selectExpr(
-        "_r", rx, ry, "_k", up("_cx", "_k", "_cx"), up("_cy", "_k", "_cy")
+    # 4. Rows. From the stored cells the load of each right cell is known.
+    targets = placed.selectExpr(every_level, "*").selectExpr(
+        "_class", "_rx", "_ry", "_r", "_k", up("_cx", "_k", "_cx"), up("_cy", "_k", "_cy")
     )
     load = candidates.groupBy(*cell).agg(F.sum("_rows").alias("_rows")).filter(F.col("_rows") > SLICE_ROWS)
+    wanted = candidates.select("_zx", "_zy", *cell, "_bound", *_RIGHT_BOX)
     if load.isEmpty():
-        wanted = candidates.selectExpr("*", "1 as _slices")
+        wanted = wanted.selectExpr("*", "1 as _slices")
         targets = targets.selectExpr("*", "0 as _slice")
     else:
         slices = load.selectExpr(*cell, f"cast(ceil(_rows / {SLICE_ROWS}) as int) as _n")
-        wanted = candidates.join(slices, cell, "left").selectExpr("*", "coalesce(_n, 1) as _slices").drop("_n")
+        wanted = wanted.join(slices, cell, "left").selectExpr("*", "coalesce(_n, 1) as _slices").drop("_n")
         targets = (
             targets.join(slices, cell, "left")
             .selectExpr("*", "explode(sequence(0, coalesce(_n, 1) - 1)) as _slice")
             .drop("_n")
         )
-    to_box = _hypot(*[f"greatest(0d, r_min_{c} - {v}, {v} - r_max_{c})" for c, v in (("x", lx), ("y", ly))])
+    to_box = _hypot(*[f"greatest(0d, r_min_{c} - _{c}, _{c} - r_max_{c})" for c in "xy"])
     asked = (
-        salted_join(spots, wanted.drop("_rows"), ["_zx", "_zy"])
-        .filter(f"{to_box} <= _near")
-        .selectExpr(left_id, lx, ly, *cell, f"cast(pmod(xxhash64({left_id}), _slices) as int) as _slice")
+        salted_join(spotted, wanted, ["_zx", "_zy"])
+        .filter(f"{to_box} <= _bound")
+        .selectExpr(*spots.columns, *cell, "cast(pmod(xxhash64(_left), _slices) as int) as _slice")
     )
-    row = ", ".join([f"_r.{right_id} as {right_id}", rx, ry, *[f"_r.{c} as {c}" for c in payload]])
-    best = (
-        asked.join(targets, [*cell, "_slice"])
-        .groupBy(left_id)
-        .agg(F.expr(f"min(struct({geo.distance_text(lx, ly, rx, ry)} as _d, _r.{right_id} as _id, struct({row}) as _row)) as _b"))
-        .selectExpr(left_id, "_b._row.*", f"_b._d as {out}")
+    pairs = asked.join(targets, [*cell, "_slice"]).selectExpr(
+        "_left", "_class", f"{geo.distance_text('_x', '_y', '_rx', '_ry')} as _d", "_r", "_rx", "_ry"
     )
-    return left.join(best, left_id, "left")
+    return pairs if again is None else pairs.unionByName(again)
