@@ -1,0 +1,101 @@
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from schoolzones.operators import aggregates
+
+
+def test_group_sums_of_nulls_are_zero(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", None)], "k string, v int")
+    assert dict(map(tuple, aggregates.group_sums(df, ["k"], {"v": "s"}).collect())) == {"a": 1, "b": 0}
+
+
+def test_distinct_count_ignores_null(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", None)], "k string, v int")
+    assert dict(map(tuple, aggregates.distinct_count(df, ["k"], "v", "n").collect())) == {"a": 2, "b": 0}
+
+
+ROWS = [
+    ("s1", 1, "ok"), ("s1", 1, "no"), ("s1", 2, "no"), ("s1", None, "ok"),
+    ("s2", None, "no"), ("s3", 3, "ok"), ("s4", 4, None),
+]
+
+
+@pytest.fixture
+def teachers(spark):
+    return spark.createDataFrame(ROWS, "school string, cert int, title string")
+
+
+def test_extra_teachers(teachers):
+    valid = F.col("title") == "ok"
+    flags = aggregates.none_valid(teachers, ["school", "cert"], valid, "extra").collect()
+    assert sorted(map(tuple, flags)) == [("s1", 1, 0), ("s1", 2, 1), ("s3", 3, 0), ("s4", 4, 1)]
+    # The older report counts a missing certificate as extra.
+    rows = aggregates.extra_teacher_rows(teachers, "school", "cert", valid, "extra").collect()
+    assert {(r.school, r.cert, r.title): r.extra for r in rows}["s1", None, "ok"] == 1
+    schools = aggregates.extra_teacher_schools(teachers, "school", "cert", valid).collect()
+    assert {r.school: r.has_extra_teacher for r in schools} == {"s1": "Yes", "s2": "Yes", "s3": "No", "s4": "Yes"}
+
+
+def test_teaching_mode(spark):
+    rows = [
+        ("both", "DE: x"), ("both", "Smith"), ("virtual", "GAVS Virtual Teacher"), ("virtual", None),
+        ("person", "Short-term Substitute"), ("none", None),
+    ]
+    out = aggregates.teaching_mode(spark.createDataFrame(rows, "s string, t string"), "s", "t").collect()
+    assert dict(map(tuple, out)) == {"both": "Both", "virtual": "Virtual", "person": "In Person", "none": "Unknown"}
+
+
+def test_category_counts_total_has_rows_without_group(spark):
+    rows = [("City", 0.1), ("City", None), ("Town", -0.2), (None, 0.0), (None, 0.3)]
+    out = aggregates.category_counts_by(spark.createDataFrame(rows, "locale string, ri double"), "locale", "ri")
+    assert {r[0]: tuple(r)[1:] for r in out.collect()} == {"City": (1, 0, 0), "Town": (0, 0, 1), "Total": (2, 1, 1)}
+
+
+def test_class_counts_show_empty_classes(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("x",), (None,)], "c string")
+    assert dict(map(tuple, aggregates.class_counts(df, "c", ["a", "b"]).collect())) == {"a": 2, "b": 0}
+
+
+def test_ratio_of_sums(spark):
+    df = spark.createDataFrame([("a", 1, 4), ("a", None, 6), ("b", None, 5), ("c", 3, 0)], "k string, n int, d int")
+    out = df.groupBy("k").agg(*aggregates.ratio_of_sums(["n"], "d", "share_", 100.0)).collect()
+    assert {r.k: r.share_n for r in out} == {"a": 10.0, "b": 0.0, "c": None}
+
+
+def test_weighted_mean_and_deviation(spark):
+    rows = [("a", 1e9 + 1, 1.0), ("a", 1e9 + 3, 3.0), ("a", None, 5.0), ("b", 2.0, 0.0), ("c", 7.0, 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double, w double")
+    assert {r[0]: r[1] for r in df.groupBy("k").agg(aggregates.weighted_mean("v", "w")).collect()} == {
+        "a": 1e9 + 2.5, "b": None, "c": 7.0,
+    }
+    out = {r.k: (r.m, r.s) for r in aggregates.weighted_mean_std(df, "k", "v", "w", "m", "s").collect()}
+    assert out["a"][1] == pytest.approx(math.sqrt(np.average([1.5**2, 0.5**2], weights=[1, 3])))
+    assert out["b"] == (None, None) and out["c"] == (7.0, 0.0)
+
+
+def test_harmonic_mean_distance_like_pandas(spark):
+    rows = [
+        ("a", 10.0, 5.0), ("a", 20.0, 10.0), ("zero", 0.0, 5.0), ("zero", 10.0, 5.0), ("skip", 0.0, 0.0),
+        ("skip", 4.0, 2.0), ("empty", 3.0, 0.0), ("null", 3.0, None), ("null", 6.0, 6.0),
+    ]
+    df = spark.createDataFrame(rows, "k string, d double, p double")
+    out = df.groupBy("k").agg(*aggregates.harmonic_mean_distance("d", ["p"], "_m")).collect()
+    got = {r.k: r.p_m for r in out}
+    for k, g in pd.DataFrame(rows, columns=["k", "d", "p"]).groupby("k"):
+        below = (g.p / g.d).sum()
+        expected = g.p.sum() / below if below != 0 else None
+        assert got[k] == (None if expected is None else pytest.approx(expected)), k
+
+
+def test_padded_extent(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (10.0, 20.0)], "x double, y double")
+    assert tuple(aggregates.padded_extent(df, "x", "y").first()) == (-0.5, -1.0, 10.5, 21.0)
+
+
+def test_value_counts(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "c string")
+    assert list(map(tuple, aggregates.value_counts(df, "c").collect())) == [("a", 1), ("b", 2)]
