@@ -30,9 +30,9 @@ def _school_key(key: str) -> str:
 _TITLES = K.EXPANDED_TITLES + ["algebra i", "world history", "studio art", "physical education"]
 
 
-def _title(number: str) -> str:
-    cases = " ".join(f"when {i} then '{t.upper()}'" for i, t in enumerate(_TITLES))
-    return f"case {number} {cases} end"
+def _titles() -> str:
+    rows = ", ".join(f"({i}, '{t.upper()}')" for i, t in enumerate(_TITLES))
+    return f"(values {rows}) as titles(title_no, title)"
 
 
 _COURSE_NO = "case when l_suppkey % 4 = 3 then 16 + p_partkey % 4 else (p_partkey * 3 + l_suppkey) % 20 end"
@@ -135,7 +135,7 @@ VIEWS = {
         select cast(600 + l_suppkey % 25 as int) as system_id,
             cast(l_suppkey as int) as school_id,
             p_brand as course_number,
-            {_title(_COURSE_NO)} as course_title,
+            title as course_title,
             cast(l_quantity as bigint) as takers,
             {_part_of('cast(l_quantity as bigint)', 1)} as asian,
             {_part_of('cast(l_quantity as bigint)', 3)} as black,
@@ -143,13 +143,13 @@ VIEWS = {
             {_part_of('cast(l_quantity as bigint)', 2)} as hispanic,
             {_part_of('cast(l_quantity as bigint)', 6)} as female,
             {_part_of('cast(l_quantity as bigint)', 4)} as male
-        from {{lineitem}} join {{part}} on l_partkey = p_partkey
+        from {{lineitem}} join {{part}} on l_partkey = p_partkey join {_titles()} on title_no = {_COURSE_NO}
         where l_suppkey % 37 <> 11""",
     "b_roster": f"""
         select cast(600 + l_suppkey % 25 as int) as system_id,
             cast(l_suppkey as int) as school_id,
             case when l_orderkey % 41 = 0 then 'X-' || p_brand else p_brand end as course_number,
-            {_title(_COURSE_NO)} as course_title,
+            title as course_title,
             case when o_custkey % 7 = 0 then 'n/a'
                 when o_custkey % 11 = 0 then '.'
                 when o_custkey % 13 = 0 then ''
@@ -162,6 +162,7 @@ VIEWS = {
                 when o_orderkey % 8 = 2 then 'Short-term Substitute'
                 else o_orderpriority end as teacher_last_name
         from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join {{part}} on l_partkey = p_partkey
+            join {_titles()} on title_no = {_COURSE_NO}
         where l_suppkey % 37 <> 12 and (l_orderkey + l_linenumber) % 3 <> 0""",
     # Segments of a path through the zones, ten zones a path (road).
     "b_segment": """

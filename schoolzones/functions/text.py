@@ -6,9 +6,8 @@ from pyspark.sql import Column, functions as F
 
 from . import constants as K
 
-_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+_NUMBER = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 _WHOLE = r"^\s*[+-]?\d+\s*$"
-_INFINITE = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 
 
 def as_col(c: Column | str) -> Column:
@@ -21,13 +20,9 @@ def composite_key(*parts: Column | str, width: int = 4) -> Column:
 
 
 def zfill(c: Column | str, width: int) -> Column:
-    """Left-pad with zeros behind a sign; longer text is kept whole."""
+    """Left-pad a code with zeros; longer text is kept whole."""
     s = as_col(c).cast("string")
-    signed = F.substring(s, 1, 1).isin("+", "-")
-    padded = F.when(
-        signed, F.concat(F.substring(s, 1, 1), F.lpad(F.substr(s, F.lit(2)), width - 1, "0"))
-    ).otherwise(F.lpad(s, width, "0"))
-    return F.when(F.length(s) < width, padded).otherwise(s)
+    return F.lpad(s, F.greatest(F.length(s), F.lit(width)), F.lit("0"))
 
 
 def zfill_key(*parts: Column | str, width: int = 4) -> Column:
@@ -43,29 +38,18 @@ def null_if_in(c: Column | str, markers=K.MISSING_MARKERS) -> Column:
 def to_number(c: Column | str) -> Column:
     """Double of a numeric text; anything else is NULL. NaN counts as missing."""
     s = as_col(c).cast("string")
-    finite = F.when(s.rlike(_NUMBER), F.trim(s).try_cast("double"))
-    infinite = F.when(
-        s.rlike(_INFINITE),
-        F.when(F.trim(s).startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))),
-    )
-    return F.coalesce(finite, infinite)
+    return F.when(s.rlike(_NUMBER), F.trim(s).try_cast("double"))
 
 
 def to_whole_number(c: Column | str, strict: bool = True) -> Column:
     """Long of a numeric text. A fraction is an error, or NULL with ``strict=False``."""
     s = as_col(c).cast("string")
     number = to_number(s)
-    fraction = (
-        F.raise_error(F.concat(F.lit("not a whole number: "), s)).cast("long")
-        if strict
-        else F.lit(None).cast("long")
-    )
-    return (
-        F.when(s.rlike(_WHOLE), F.trim(s).try_cast("long"))
-        .when(number.isNull(), F.lit(None).cast("long"))
-        .when(number == F.floor(number), number.try_cast("long"))
-        .otherwise(fraction)
-    )
+    whole = F.when(number == F.floor(number), number.try_cast("long"))
+    if strict:
+        message = F.concat(F.lit("not a whole number: "), s)
+        whole = whole.when(number.isNotNull(), F.raise_error(message).cast("long"))
+    return F.when(s.rlike(_WHOLE), F.trim(s).try_cast("long")).otherwise(whole)
 
 
 def number_or_zero(c: Column | str) -> Column:

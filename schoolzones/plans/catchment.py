@@ -53,7 +53,8 @@ def assign_zones(zones: DataFrame, schools: DataFrame) -> DataFrame:
 
 
 def coverage(assignment: DataFrame, zones: DataFrame, schools: DataFrame) -> DataFrame:
-    """Checks of an assignment as one row of counts; each input is read once."""
+    """Checks of an assignment as one row of counts."""
+    assignment = fixed(assignment.select("geoid", SCHOOL))  # read by three of the checks
     per_zone = assignment.groupBy("geoid").agg(F.count(F.lit(1)).alias("_n"))
     assigned = per_zone.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("assigned_zones"),
@@ -110,6 +111,7 @@ def income_statistics(assignment: DataFrame, census: DataFrame) -> DataFrame:
         )
         .dropna()
     )
+    zones = fixed(zones)  # read by several passes below
     median = ranks.weighted_median(
         zones, SCHOOL, "median_income", "total_population", "geoid", "weighted_median_income"
     )

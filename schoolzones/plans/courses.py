@@ -20,7 +20,8 @@ def clean_roster(roster: DataFrame) -> DataFrame:
     """School id, numeric certificate, lower-case title and teacher, virtual flag."""
     return (
         clean.lower_text(keyed(roster), "course_title", "teacher_last_name")
-        .withColumn("certificate_id", text.to_whole_number(text.null_if_in("certificate_id")))
+        .withColumn("certificate_id", text.null_if_in("certificate_id"))
+        .withColumn("certificate_id", text.to_whole_number("certificate_id"))
         .withColumn("is_virtual", text.is_virtual("teacher_last_name"))
         .select(*COURSE_KEYS, "certificate_id", "teacher_last_name", "is_virtual")
     )
@@ -53,29 +54,41 @@ def course_logic(courses: DataFrame, roster: DataFrame, titles=K.APPROVED_TITLES
     )
 
 
-def school_logic(course_rows: DataFrame, title_lists: dict[str, list[str]]) -> DataFrame:
+def school_logic(course_rows: DataFrame, title_lists: dict[str, list[str]], certified: str | None = None) -> DataFrame:
     """Three-digit code per school and title list: in person, virtual, extra teacher.
 
     ``title_lists`` maps the output column to its titles. All lists are served by one
-    aggregate per school and certificate, then one per school.
+    aggregate per school and certificate, then one per school; ``certified`` adds the number
+    of certificates. Repeated rows and rows without a teacher do not change the answer, so
+    the cleaned roster serves as well as the course logic table.
     """
-    per_teacher, per_school = [], []
-    for i, (out, titles) in enumerate(title_lists.items()):
-        approved = F.coalesce(F.col("course_title").isin(*titles), F.lit(False))
-        per_teacher += [
-            F.bool_or(approved & ~F.col("is_virtual")).alias(f"_in_person{i}"),
-            F.bool_or(approved & F.col("is_virtual")).alias(f"_virtual{i}"),
-            F.bool_or(approved).alias(f"_valid{i}"),
-        ]
-        per_school.append(
-            text.flags_to_code(
-                text.as_flag(F.bool_or(f"_in_person{i}")),
-                text.as_flag(F.bool_or(f"_virtual{i}")),
-                text.as_flag(F.bool_or(F.col("certificate_id").isNotNull() & ~F.col(f"_valid{i}"))),
-            ).alias(out)
-        )
-    teachers = course_rows.filter(F.col(SCHOOL).isNotNull()).groupBy(SCHOOL, "certificate_id").agg(*per_teacher)
-    return teachers.groupBy(SCHOOL).agg(*per_school)
+    # Bit i of a row's mask: its title is in list i. Three aggregates then serve all lists.
+    bits = [2**i for i in range(len(title_lists))]
+    listed = [
+        F.when(F.col("course_title").isin(*titles), bit).otherwise(0)
+        for bit, titles in zip(bits, title_lists.values())
+    ]
+    masked = course_rows.filter(F.col(SCHOOL).isNotNull()).select(
+        SCHOOL, "certificate_id", "is_virtual", sum(listed, F.lit(0)).alias("_mask")
+    )
+    teachers = masked.groupBy(SCHOOL, "certificate_id").agg(
+        F.bit_or(F.when(~F.col("is_virtual"), F.col("_mask")).otherwise(0)).alias("_in_person"),
+        F.bit_or(F.when(F.col("is_virtual"), F.col("_mask")).otherwise(0)).alias("_virtual"),
+        F.bit_or("_mask").alias("_valid"),
+    )
+    unlisted = F.when(F.col("certificate_id").isNotNull(), F.bitwise_not("_valid")).otherwise(0)
+    schools = teachers.groupBy(SCHOOL).agg(
+        F.bit_or("_in_person").alias("_in_person"),
+        F.bit_or("_virtual").alias("_virtual"),
+        F.bit_or(unlisted).alias("_extra"),
+        F.count("certificate_id").alias(certified or "_certified"),
+    )
+    flags = ("_in_person", "_virtual", "_extra")
+    codes = [
+        text.flags_to_code(*[F.col(f).bitwiseAND(bit) != 0 for f in flags]).alias(out)
+        for bit, out in zip(bits, title_lists)
+    ]
+    return schools.select(SCHOOL, *codes, *([certified] if certified else []))
 
 
 def enrolment_totals(enrolment: DataFrame) -> DataFrame:
@@ -114,33 +127,25 @@ def school_representation(
     courses, roster = clean_courses(courses), clean_roster(roster)
     cs = ["cs_enrollment", *[f"cs_{g}" for g in K.DEMOGRAPHICS]]
     # Only rows with enrolment are joined, so a school without any keeps a NULL total: those
-    # are the schools to append, and no second pass has to look for them.
+    # are the schools to append, and no second pass has to look for them. The roster gives
+    # codes and certificates in one pass.
     enrolled = enrolment_totals(enrolment).filter(F.col("total_enrollment") > 0)
+    titles = {"logic_class": K.APPROVED_TITLES, "logic_class_2": K.EXPANDED_TITLES}
     merged = (
         schools.select(SCHOOL)
         .join(enrolled, SCHOOL, "left")
         .join(cs_totals(courses), SCHOOL, "left")
-        .join(aggregates.distinct_count(roster, [SCHOOL], "certificate_id", "certified_teachers"), SCHOOL, "left")
+        .join(school_logic(roster, titles, "certified_teachers"), SCHOOL, "left")
+        .fillna("000", subset=list(titles))
     )
     appended = F.col("total_enrollment").isNull()
     zero_if_appended = {
         c: F.when(appended, F.lit(0)).otherwise(F.col(c)) for c in [*cs, "certified_teachers"]
     }
     indexed = with_representation_index(clean.fill_zero(merged, cs))
-    complete = indexed.withColumns(
+    return indexed.withColumns(
         {**zero_if_appended, **{f"ri_{g}": F.when(~appended, F.col(f"ri_{g}")) for g in K.RI_GROUPS}}
-    )
-    codes = school_logic(
-        course_logic(courses, roster),
-        {"logic_class": K.APPROVED_TITLES, "logic_class_2": K.EXPANDED_TITLES},
-    )
-    return (
-        complete.join(codes, SCHOOL, "left")
-        .fillna("000", subset=["logic_class", "logic_class_2"])
-        .select(
-            SCHOOL, *cs, "certified_teachers", *[f"ri_{g}" for g in K.RI_GROUPS], "logic_class", "logic_class_2"
-        )
-    )
+    ).select(SCHOOL, *cs, "certified_teachers", *[f"ri_{g}" for g in K.RI_GROUPS], *titles)
 
 
 def representation_by_locale(representation: DataFrame, schools: DataFrame, group: str) -> DataFrame:
