@@ -38,18 +38,20 @@ def salted_join(
     how: str = "inner",
     hot_rows: int = 2_000_000,
     slice_rows: int = 500_000,
+    left_rows: int | None = None,
 ) -> DataFrame:
     """Equi join whose heavy left keys are cut into slices.
 
     A key with more than ``hot_rows`` left rows is spread over several slices by a hash of
     the whole left row; the right rows of that key go to every slice. Without such a key
     this is a plain join. ``how`` is one of inner, left, left_semi, left_anti: each left
-    row lands in exactly one slice, so none of these sees a row twice.
+    row lands in exactly one slice, so none of these sees a row twice. ``left_rows``, if the
+    caller knows it, saves the count where no key can be that heavy.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot slice a {how} join by its left rows")
     keys = list(keys)
-    hot = hot_keys(left, keys, hot_rows)
+    hot = None if left_rows is not None and left_rows <= hot_rows else hot_keys(left, keys, hot_rows)
     if hot is None:
         return left.join(right, keys, how)
     slices = F.broadcast(  # at most MAX_HOT_KEYS rows

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import classify
 from ..session import fixed
+from .joins import salted_join
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -168,7 +169,7 @@ def density(df: DataFrame, keys: Sequence[str], value: str, bandwidth: float, po
     at = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("grid_no") / (points - 1)
     z = F.try_divide(F.col("grid_x") - v, F.col("_h"))
     curve = (
-        counted.join(stats, list(keys))
+        salted_join(counted, stats, list(keys))
         .withColumn("grid_no", F.explode(grid))
         .withColumn("grid_x", at)
         .groupBy(*keys, "grid_no", "grid_x")

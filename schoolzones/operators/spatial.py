@@ -77,6 +77,8 @@ class Grid:
     y0: float
     side: float
     top: int
+    left_rows: int
+    right_rows: int
 
     def cells(self, x: str, y: str) -> list[str]:
         """SQL text of the finest cell of a point."""
@@ -99,6 +101,7 @@ def grid_for(left: DataFrame, right: DataFrame, left_xy, right_xy, per_cell: flo
     both = points(left, left_xy, "false").unionByName(points(right, right_xy, "true"))
     s = both.selectExpr(
         "count_if(r) as n",
+        "count_if(not r) as n_left",
         *[f"{f}({c}) as {f}_{c}" for f in ("min", "max") for c in ("x", "y")],
         *[f"{f}({c}) filter (where r) as {f}_{c}_r" for f in ("min", "max") for c in ("x", "y")],
     ).first()
@@ -109,7 +112,7 @@ def grid_for(left: DataFrame, right: DataFrame, left_xy, right_xy, per_cell: flo
     high = max(s["max_y_r"] - s["min_y_r"], 1.0)
     side = max(math.sqrt(wide * high * per_cell / s["n"]), extent / 2**20)
     side = min(side, extent)
-    return Grid(s["min_x"], s["min_y"], side, math.ceil(math.log2(extent / side)) + 1)
+    return Grid(s["min_x"], s["min_y"], side, math.ceil(math.log2(extent / side)) + 1, s["n_left"], s["n"])
 
 
 _BOX = ("min_x", "min_y", "max_x", "max_y")
@@ -272,16 +275,20 @@ def _nearest_pairs(spots: DataFrame, places: DataFrame, depth: int = 0) -> DataF
 
     candidates = fixed(pruned(split(coarse)))
     crowded = f"_rows * _places > {PAIR_LIMIT} and _places > 1"
-    for _ in range(math.ceil(top / 3)):
+
+    def any_crowd(condition: str) -> bool:
+        if grid.left_rows * grid.right_rows <= PAIR_LIMIT:
+            return False
+        return not candidates.filter(f"{crowded} and {condition}").isEmpty()
+
+    while any_crowd("_k > 0"):  # each round takes these cells three levels down
         heavy = f"({crowded} and _k > 0)"
-        if candidates.filter(heavy).isEmpty():
-            break
         candidates = fixed(pruned(candidates.filter(f"not {heavy}").unionByName(split(candidates.filter(heavy)))))
 
     # 3. Crowds within the finest cells: the same again on these rows only.
     again = None
-    crowds = candidates.filter(crowded).select("_zx", "_zy").distinct()
-    if depth < MAX_DEPTH and grid.side > 1e-3 and not crowds.isEmpty():
+    if depth < MAX_DEPTH and grid.side > 1e-3 and any_crowd("true"):
+        crowds = candidates.filter(crowded).select("_zx", "_zy").distinct()
         left_over = salted_join(spotted, crowds, ["_zx", "_zy"], "left_semi").select(*spots.columns)
         asked_for = candidates.join(crowds, ["_zx", "_zy"], "left_semi").select(*cell).distinct()
         right_over = (
@@ -300,7 +307,7 @@ def _nearest_pairs(spots: DataFrame, places: DataFrame, depth: int = 0) -> DataF
     )
     load = candidates.groupBy(*cell).agg(F.sum("_rows").alias("_rows")).filter(F.col("_rows") > SLICE_ROWS)
     wanted = candidates.select("_zx", "_zy", *cell, "_bound", *_RIGHT_BOX)
-    if load.isEmpty():
+    if grid.left_rows <= SLICE_ROWS or load.isEmpty():
         wanted = wanted.selectExpr("*", "1 as _slices")
         targets = targets.selectExpr("*", "0 as _slice")
     else:
@@ -313,7 +320,7 @@ def _nearest_pairs(spots: DataFrame, places: DataFrame, depth: int = 0) -> DataF
         )
     to_box = _hypot(*[f"greatest(0d, r_min_{c} - _{c}, _{c} - r_max_{c})" for c in "xy"])
     asked = (
-        salted_join(spotted, wanted, ["_zx", "_zy"])
+        salted_join(spotted, wanted, ["_zx", "_zy"], left_rows=grid.left_rows)
         .filter(f"{to_box} <= _bound")
         .selectExpr(*spots.columns, *cell, "cast(pmod(xxhash64(_left), _slices) as int) as _slice")
     )
