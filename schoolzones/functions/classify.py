@@ -89,14 +89,6 @@ def cut_bins(c: Column | str, edges: Sequence[float], include_lowest: bool = Fal
     return F.when(above_low & (v <= edges[-1]), number)
 
 
-def bins_from_edges(c: Column | str, edges: Column) -> Column:
-    """Bin number against an array of edges, lowest edge included."""
-    v = as_col(c)
-    inner = F.slice(edges, F.lit(2), F.greatest(F.size(edges) - 2, F.lit(0)))
-    below = F.size(F.filter(inner, lambda e: e < v))
-    return F.when(v.isNotNull() & (F.size(edges) >= 2), below)
-
-
 def population_ratio(part: Column | str, whole: Column | str) -> Column:
     return F.try_divide(as_col(part), as_col(whole))
 

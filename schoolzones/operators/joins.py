@@ -96,20 +96,16 @@ def delete_in(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 def not_in(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """SQL ``NOT IN``: a NULL in the list, or a NULL key against a non-empty list, gives no row.
 
-    One row says whether the list has a NULL and whether it has rows; the rest is an anti join.
+    One small row says whether the list has a NULL and whether it has rows; the rest is an
+    anti join, which unlike the null-aware join can be spread over the cluster.
     """
     listed = ids.select(F.col(key).alias("_id"))
-    facts = listed.agg(
-        F.coalesce(F.max(F.col("_id").isNull()), F.lit(False)).alias("_has_null"),
-        (F.count(F.lit(1)) > 0).alias("_has_rows"),
-    ).withColumn("_one", F.lit(1))
-    kept = df.join(listed.filter("_id is not null").distinct(), F.col(key) == F.col("_id"), "left_anti")
-    return (
-        kept.withColumn("_one", F.lit(1))
-        .join(F.broadcast(facts), "_one")  # one row
-        .filter(~F.col("_has_null") & (F.col(key).isNotNull() | ~F.col("_has_rows")))
-        .drop("_one", "_has_null", "_has_rows")
-    )
+    facts = listed.agg(F.count(F.lit(1)).alias("rows"), F.count("_id").alias("present")).first()
+    if facts["rows"] > facts["present"]:
+        return df.filter(F.lit(False))
+    if facts["rows"]:
+        df = df.filter(F.col(key).isNotNull())
+    return df.join(listed.distinct(), F.col(key) == F.col("_id"), "left_anti")
 
 
 def append_missing(base: DataFrame, kept: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:

@@ -99,17 +99,15 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[f
 
 
 def quantile_bins(df: DataFrame, column: str, bins: int, out: str) -> DataFrame:
-    """Number of the equal-count bin, right-closed, equal edges merged, NULL stays NULL."""
-    edges = quantiles(df, [], column, [i / bins for i in range(bins + 1)], "_edges").select(
-        F.array_distinct("_edges").alias("_edges"), F.lit(1).alias("_one")
-    )
-    value = F.when(~F.isnan(F.col(column)), F.col(column).cast("double"))
-    return (
-        df.withColumn("_one", F.lit(1))
-        .join(F.broadcast(edges), "_one", "left")  # one row: the edges
-        .withColumn(out, classify.bins_from_edges(value, F.col("_edges")))
-        .drop("_one", "_edges")
-    )
+    """Number of the equal-count bin, right-closed, equal edges merged, NULL stays NULL.
+
+    The few edges are read first and written into the expression, so binning needs no join.
+    """
+    found = quantiles(df, [], column, [i / bins for i in range(bins + 1)]).first()
+    edges = sorted({e for e in (found["q"] if found else []) if e is not None})
+    if len(edges) < 2:
+        return df.withColumn(out, F.lit(None).cast("int"))
+    return df.withColumn(out, classify.cut_bins(column, edges, include_lowest=True))
 
 
 def weighted_median(df: DataFrame, key: str, value: str, weight: str, row_id: str, out: str) -> DataFrame:

@@ -63,10 +63,8 @@ def coverage(assignment: DataFrame, zones: DataFrame, schools: DataFrame) -> Dat
     total = zones.agg(F.count(F.lit(1)).alias("total_zones"))
     missing = reshape.missing_keys(zones, assignment, "geoid").agg(F.count(F.lit(1)).alias("unassigned_zones"))
     idle = reshape.missing_keys(schools, assignment, SCHOOL).agg(F.count(F.lit(1)).alias("schools_without_zone"))
-    out = assigned.withColumn("_one", F.lit(1))
-    for part in (total, missing, idle):  # one row each
-        out = out.join(part.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+    parts = reshape.concat(assigned, total, missing, idle)  # one row each, other columns NULL
+    return parts.agg(*[F.sum(c).alias(c) for c in parts.columns])
 
 
 def zones_per_school(assignment: DataFrame, schools: DataFrame) -> DataFrame:
