@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from schoolzones.llm import quality_rules, simhash_dedup
+from schoolzones.llm import decontaminate, mixing, quality_rules, simhash_dedup, token_files
+from schoolzones.llm.queries import table, tokenizer
 from schoolzones.llm.store import stored
 
 
@@ -22,9 +23,27 @@ def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return simhash_dedup.keep_one(docs)
 
 
+def no_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, or one made from it, go."""
+    return decontaminate.without_leaks(docs, table(spark, folder, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Every document stays; those of smaller sources come again, until the weights have their tokens."""
+    return mixing.repeat_rows(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The token files of all rows, as read back from them."""
+    return token_files.encoded(docs, tokenizer())
+
+
 STAGES = [
     ("quality rules", good_quality),
     ("SimHash near-dedup", one_of_each),
+    ("benchmark decontamination", no_benchmark),
+    ("mixing sources to target weights", mixed),
+    ("token-ID / binary output", token_ids),
 ]
 
 #: Fingerprint groups are a closure and the last stages pack and encode, which SQL can't express; see tests/llm.
@@ -35,5 +54,5 @@ def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, folder), name.replace(" ", "-").replace("/", "-").lower())
+        docs = stored(stage(spark, docs, folder), "stage-" + name.split()[0].lower())
     return docs

@@ -5,18 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, simhash_dedup
+from . import decontaminate, mixing, quality_rules, simhash_dedup, substring_dedup, token_files
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    """The vocabulary file of the token files, where the driver has it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
+def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return simhash_dedup.components(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.encoded(table(spark, folder, "documents"), tokenizer())
+
+
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality_rules.verdicts(docs, name="q").select(
@@ -26,5 +49,15 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_source_mixing,
+        op4_simhash_near_dedup,
+        op5_token_files,
+        op8_decontamination,
+        op10_quality_rules,
+    )
+}
 ORACLE: dict[str, str] = {}

@@ -51,3 +51,34 @@ class Words:
         first = np.concatenate(([0], np.cumsum((buffer & 0xC0) != 0x80)))
         ends = np.cumsum(np.fromiter(map(len, self.words), np.int64, len(self.words)))
         return np.diff(first[ends], prepend=0)
+
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_powers: dict[str, np.ndarray] = {}
+
+
+def _power(name: str, n: int) -> np.ndarray:
+    """The powers of the base, or of its inverse modulo 2^64, at least ``n`` of them."""
+    held = _powers.get(name, np.zeros(0, np.uint64))
+    if len(held) < n:
+        base = _BASE if name == "up" else pow(_BASE, -1, 1 << 64)
+        row = np.full(max(n, 1 << 16), base, np.uint64)
+        row[0] = 1
+        held = _powers[name] = np.multiply.accumulate(row)
+    return held
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A one-to-one scrambling of 64-bit values."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def stable_codes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit code of every word that is the same in all processes."""
+    buffer = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    starts = np.concatenate(([0], ends[:-1])).astype(np.int64) if len(words) else ends
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(buffer * _power("up", len(buffer))[: len(buffer)])))
+    return _mixed((sums[ends] - sums[starts]) * _power("down", len(buffer) + 1)[starts])
