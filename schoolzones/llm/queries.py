@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality_rules, simhash_dedup, substring_dedup, token_files
+from . import (
+    chat_format,
+    decontaminate,
+    html_text,
+    license_scan,
+    mixing,
+    quality_rules,
+    simhash_dedup,
+    substring_dedup,
+    surrogates,
+    token_files,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +38,30 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(probe)
+    done = chat_format.format_conversations(rows)
+    read = done.select(
+        "conv_id",
+        chat_format.read_turns(F.col("formatted")).alias("turns"),
+        F.array_join(chat_format.read_loss(F.col("formatted"), F.col("loss")), "").alias("learned"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    flat = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(flat, 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return simhash_dedup.components(docs).select("doc_id", "fingerprint", "component_id")
@@ -36,10 +71,29 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.encoded(table(spark, folder, "documents"), tokenizer())
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    place = F.concat_ws("/", F.lit("corpus"), "source", "lang", F.expr("doc_id div 100").cast("string"), F.col("doc_id").cast("string"))
+    files = table(spark, folder, "documents").select(place.alias("path"), "text")
+    doc_id = F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id")
+    return license_scan.scan(files).select(doc_id, "path", "license", "cosine", "origin", "directory")
+
+
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_text(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+#: The key of the surrogates; a release of data takes its own.
+SURROGATE_KEY = "a key for each release"
+
+
+def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.pseudonymized(table(spark, folder, "documents"), SURROGATE_KEY)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality_rules.verdicts(docs, name="q").select(
@@ -54,9 +108,13 @@ QUERIES = {
     for f in (
         op1_substring_dedup,
         op2_source_mixing,
+        op3_chat_formatting,
         op4_simhash_near_dedup,
         op5_token_files,
+        op6_license_scan,
+        op7_html_extraction,
         op8_decontamination,
+        op9_pii_surrogates,
         op10_quality_rules,
     )
 }
