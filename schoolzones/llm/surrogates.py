@@ -4,8 +4,9 @@ Found are e-mail addresses, phone numbers, card numbers, IPv4 addresses, social
 name (token, key, password), and person names after a title. Each is reduced to a key (letters in lower case, digits
 only), so mentions written differently are one entity; a name is an entity per given name or surname, so that "Mr. Smith"
 stays the "John Smith" of before. A surrogate is drawn from a keyed hash of the key and has its shape: digits for digits,
-letters for letters of the same script, hexadecimal for hexadecimal, a card that passes the Luhn test again if the card
-did, an address part in 0-255, a name of the same gender. It is written in the form of the mention (separators, case).
+letters for letters of the same script, hexadecimal for hexadecimal, a card that passes the Luhn test if the card did,
+an address that is private if it was, a phone
+number of the same country code, a name of the same gender. It is written in the form of the mention (separators, case).
 
 Collisions are checked over the entities of the whole table, in Spark: no two entities of a type may get one surrogate,
 and no surrogate may be an entity that occurs. The least entity keeps its surrogate, the others draw again until all
@@ -152,7 +153,10 @@ def surrogate(kind: str, key: str, attempt: int, secret: str) -> str:
         # A domain has one surrogate by itself, so addresses that share it still do.
         return f"{_shape(local, draw)}@{_shape(host, _Draw(secret, 'domain', domain))}.{top}"
     if kind == "ip":
-        return ".".join(str(draw.below(256)) for _ in key.split("."))
+        parts = key.split(".")
+        inner = 2 if parts[:2] == ["192", "168"] else 1 if parts[0] in ("10", "127") else 0
+        first = parts[:inner] or [str(x if (x := 1 + draw.below(221)) < 10 else x + 1 + (x > 125))]
+        return ".".join([*first, *(str(draw.below(256)) for _ in parts[len(first) : 3]), str(1 + draw.below(254))])
     if kind == "secret":
         digits = "0123456789abcdef"
         if re.fullmatch("[0-9a-f]+", key):
@@ -168,8 +172,9 @@ def surrogate(kind: str, key: str, attempt: int, secret: str) -> str:
             out = out[:-1] + str((int(out[-1]) + 1) % 10)
         return out
     if kind in ("phone", "ssn"):
-        lead = "" if key[0] == "0" else str(1 + draw.below(9))
-        return (lead + "".join(str(draw.below(10)) for _ in key))[: len(key)]
+        code = key[:-10] if kind == "phone" else ""  # the country's
+        rest = "".join(str(draw.below(10)) for _ in key[len(code) + 1 :])
+        return code + ("0" if key[len(code)] == "0" else str(2 + draw.below(8))) + rest
     script = next((s for s in _SCRIPTS if unicodedata.name(key[0], "").startswith(s)), None)
     if script is None:
         return _shape(key, draw)

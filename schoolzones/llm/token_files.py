@@ -107,7 +107,14 @@ def blocks_in(content: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.
 
 
 def write(
-    docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    path: str,
+    tokenizer: str,
+    end_id: int = 2,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    part_bytes: int = PART_BYTES,
+    block_ids: int = BLOCK_IDS,
 ) -> None:
     """Encode every whole text with the tokenizer file at ``tokenizer`` and write the block files to ``path``."""
     spark = docs.sparkSession
@@ -126,9 +133,9 @@ def write(
                 some = [x or "" for x in texts[begin : begin + 256].to_pylist()]
                 for key, found in zip(ids_of[begin : begin + 256], encoder.encode_batch_fast(some, add_special_tokens=False)):
                     waiting.add(key, np.array([*found.ids, end_id], np.int64))
-                while waiting.total >= BLOCK_IDS:
+                while waiting.total >= block_ids:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([waiting.cut(BLOCK_IDS).block(part, number, vocabulary)], pa.binary())], ["block"]
+                        [pa.array([waiting.cut(block_ids).block(part, number, vocabulary)], pa.binary())], ["block"]
                     )
                     number += 1
         if waiting.total:
@@ -138,7 +145,7 @@ def write(
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size // PART_BYTES))
+    parts = max(1, -(-size // part_bytes))
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     packed = ordered.mapInArrow(pack, "block binary")
     packed.select(F.col("block").cast("string").alias("value")).write.text(path)
