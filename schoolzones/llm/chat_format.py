@@ -41,7 +41,7 @@ def unescape(text: Column) -> Column:
 
 
 def _escape_role(role: Column) -> Column:
-    return F.regexp_replace(escape(role), "\n", "\\\\\\\\\n")
+    return F.regexp_replace(escape(role), "\n", "\\\\\n")
 
 
 def messages_of(messages: DataFrame, tree: str, node: str, parent: str, role: str, text: str, score: str | None) -> DataFrame:
