@@ -48,9 +48,8 @@ _NUMBERS = [
     ("phone", re.compile(r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)")),
     ("phone", re.compile(r"(?<![\d+])\+\d{8,15}(?!\d)")),
 ]
-_NAME = re.compile(
-    r"\b(?P<t>" + "|".join(_TITLES) + r")\.?[ \t]+(?P<v>[^\W\d_]+(?:[-'’][^\W\d_]+)*(?:[ \t]+[^\W\d_]+(?:[-'’][^\W\d_]+)*){0,2})"
-)
+_TITLE = re.compile(r"\b(?P<t>" + "|".join(_TITLES) + r")\b\.?(?=[ \t])")
+_NEXT = re.compile(r"[ \t]+(?P<v>[^\W\d_]+(?:[-'’][^\W\d_]+)*)")
 _PART = re.compile(r"[^\W\d_]+")
 
 Find = tuple[int, int, str, str]  # begin, end, type, key
@@ -59,12 +58,14 @@ Find = tuple[int, int, str, str]  # begin, end, type, key
 def _names(text: str) -> Iterator[Find]:
     if not any(t in text for t in _TITLES):
         return
-    for m in _NAME.finditer(text):
-        parts = []
-        for p in _PART.finditer(text, m.start("v"), m.end("v")):
-            if not p.group()[0].isupper():
+    for m in _TITLE.finditer(text):
+        parts, at = [], m.end()
+        for _ in range(3):
+            word = _NEXT.match(text, at)
+            if not word or not word["v"][0].isupper() or word["v"] in _TITLES:
                 break
-            parts.append(p)
+            parts += _PART.finditer(text, *word.span("v"))
+            at = word.end()
         for i, p in enumerate(parts):
             low, given = p.group().lower(), len(parts) > 1 and i < len(parts) - 1
             if not given:
