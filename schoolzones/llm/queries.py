@@ -118,4 +118,45 @@ QUERIES = {
         op10_quality_rules,
     )
 }
-ORACLE: dict[str, str] = {}
+#: Equal rows in SQL. The other operators are closures, coders, tree matches or keyed draws: see tests/llm.
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": f"""
+        with w as (select doc_id, {_WORDS} as ws from documents),
+        starts as (select doc_id, ws, unnest(range(1, len(ws) - 48)) as s from w where len(ws) >= 50),
+        windows as (select doc_id, s, md5(array_to_string(ws[s : s + 49], ' ')) as h from starts),
+        first as (select h, min(doc_id) as least from windows group by h),
+        gone as (
+            select distinct doc_id, unnest(range(s, s + 50)) as i
+            from windows join first using (h) where doc_id > least
+        ),
+        each as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as i from w),
+        kept as (
+            select doc_id, count(*) as n, string_agg(word, ' ' order by i) as rest
+            from each anti join gone using (doc_id, i) group by doc_id
+        )
+        select doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n, 0) as bigint) as n_removed,
+            sha256(coalesce(rest, '')) as kept_sha256
+        from w left join kept using (doc_id)""",
+    "op3_chat_formatting": f"""
+        with turns as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+        ),
+        sized as (
+            select *, length(role) + length(text) + {len(chat_format.START + chat_format.END) + 2}
+                + {' + '.join(
+                    f"(length({c}) - length(replace({c}, '{mark}', ''))) // {len(mark)}"
+                    for mark in ["\\", *chat_format.CONTROL] for c in ("role", "text")
+                )} as chars
+            from turns
+        )
+        select conv_id, count(*) as n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+            cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+            sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), ''))
+                as loss_sha256,
+            cast(sum(chars) as bigint) as formatted_chars
+        from sized group by conv_id""",
+}
