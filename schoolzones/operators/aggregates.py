@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify, constants as K, text
-from .joins import salted_join
 
 
 def group_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
@@ -29,9 +28,12 @@ def none_valid(df: DataFrame, keys: Sequence[str], valid: Column, out: str) -> D
 
 
 def extra_teacher_rows(df: DataFrame, school: str, certificate: str, valid: Column, out: str) -> DataFrame:
-    """Per row: 1 if no row of the same school and certificate is valid (NULL certificate: 1)."""
+    """Per row: 1 if no row of the same school and certificate is valid (NULL certificate: 1).
+
+    The groups are unique on one side, so a heavy key is a skewed join that Spark splits.
+    """
     groups = none_valid(df, [school, certificate], valid, out)
-    return salted_join(df, groups, [school, certificate], "left").fillna(1, subset=[out])
+    return df.join(groups, [school, certificate], "left").fillna(1, subset=[out])
 
 
 def extra_teacher_schools(df: DataFrame, school: str, certificate: str, valid: Column) -> DataFrame:
@@ -116,7 +118,7 @@ def weighted_mean_std(df: DataFrame, key: str, value: str, weight: str, mean: st
     means = rows.groupBy(key).agg(weighted_mean("_v", "_w").alias(mean))
     off = F.col("_v") - F.col(mean)
     return (
-        salted_join(rows, means, [key])
+        rows.join(means, key)
         .groupBy(key)
         .agg(
             F.first(mean).alias(mean),

@@ -7,70 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_HOT_KEYS = 10_000
-
 
 def keys_equal(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """All keys equal, NULL equal to NULL."""
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows and their counts, or None if there are none.
-
-    The answer has at most rows / ``hot_rows`` keys. It is read here only up to
-    ``MAX_HOT_KEYS``; with more than that, the threshold doubles until it fits.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    while True:
-        found = counts.filter(F.col("_rows") > hot_rows).limit(MAX_HOT_KEYS + 1).collect()
-        if not found:
-            return None
-        if len(found) <= MAX_HOT_KEYS:
-            return df.sparkSession.createDataFrame(found, counts.schema)
-        hot_rows *= 2
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    hot_rows: int = 2_000_000,
-    slice_rows: int = 500_000,
-    left_rows: int | None = None,
-) -> DataFrame:
-    """Equi join whose heavy left keys are cut into slices.
-
-    A key with more than ``hot_rows`` left rows is spread over several slices by a hash of
-    the whole left row; the right rows of that key go to every slice. Without such a key
-    this is a plain join. ``how`` is one of inner, left, left_semi, left_anti: each left
-    row lands in exactly one slice, so none of these sees a row twice. ``left_rows``, if the
-    caller knows it, saves the count where no key can be that heavy.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"cannot slice a {how} join by its left rows")
-    keys = list(keys)
-    hot = None if left_rows is not None and left_rows <= hot_rows else hot_keys(left, keys, hot_rows)
-    if hot is None:
-        return left.join(right, keys, how)
-    slices = F.broadcast(  # at most MAX_HOT_KEYS rows
-        hot.select(*keys, F.ceil(F.col("_rows") / slice_rows).cast("int").alias("_slices"))
-    )
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    cut_left = (
-        left.join(slices, keys, "left")
-        .withColumn("_slice", F.coalesce(F.pmod(row_hash, F.col("_slices")), F.lit(0)).cast("int"))
-        .drop("_slices")
-    )
-    cut_right = (
-        right.join(slices, keys, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
-        .drop("_slices")
-    )
-    return cut_left.join(cut_right, keys + ["_slice"], how).drop("_slice")
-
-
 def null_safe_anti(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys are not in ``other``; NULL keys match each other."""
     return df.join(other, keys_equal(df, other, keys), "left_anti")

@@ -7,23 +7,22 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import geo
 from ..session import fixed
-from .joins import salted_join
 
-SLICE_ROWS = 500_000  # left rows of one cell in one task
-PAIR_LIMIT = 20_000_000  # row pairs of two cells that are worth splitting the cells
-MAX_DEPTH = 5
-_LOWEST, _HIGHEST = -10, 26  # cell sides of 2^-10 m to 2^26 m
+LEAF_PAIRS = 4096  # row pairs of two cells that are compared one by one
+STEP = 2  # levels from a cell to its parts
+DEEPEST = 40  # the finest cells are the extent over 2^40, about the digits of a coordinate
+_LOWEST, _HIGHEST = -10, 1000  # cell sides of 2^-10 m up to beyond any finite distance
 
 
-def _present(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows with usable numbers in all columns."""
-    return df.dropna(subset=list(columns))
+def _present(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Rows with a finite place."""
+    return df.filter(f"abs({x}) < double('Infinity') and abs({y}) < double('Infinity')")
 
 
 def distance_join(
@@ -39,18 +38,21 @@ def distance_join(
     A right row goes to the cells its circle's box covers, on the grid whose cells are just
     wider than its radius (two or three cells each way); a left row goes to its own cell on
     each grid in use. So a pair meets once, small circles are tested against small cells, and
-    a crowded cell is sliced by its left rows. Rows without coordinates or radius match nothing.
+    Spark splits crowded cells by their left rows. Rows without finite coordinates, or without a
+    radius, match nothing; an infinite radius reaches everything.
     """
     (lx, ly), (rx, ry) = left_xy, right_xy
-    level = f"greatest(least(coalesce(cast(ceil(log2({radius})) as int), {_LOWEST}), {_HIGHEST}), {_LOWEST})"
-    circles = _present(right, rx, ry, radius).filter(f"{radius} >= 0").selectExpr("*", f"{level} as _level")
-    # At most 37 levels exist.
+    level = f"cast(greatest(least(coalesce(log2({radius}), {_LOWEST}), {_HIGHEST}), {_LOWEST}) + 0.999999999 as int)"
+    usable = f"{radius} >= 0 and not isnan({radius})"
+    circles = _present(right, rx, ry).filter(usable).selectExpr("*", f"{level} as _level")
+    # One row per power of two, so a bounded number.
     levels = sorted(r[0] for r in circles.select("_level").distinct().collect()) or [0]
 
     def cell(value: str) -> str:
         return f"cast(floor(({value}) / pow(2d, _level)) as bigint)"
 
-    reach = f"({radius} * (1 + 1e-9) + 1e-6)"  # rounding must not lose a pair on the rim
+    # Rounding must not lose a pair on the rim.
+    reach = f"(least({radius}, pow(2d, {_HIGHEST})) * (1 + 1e-9) + 1e-6)"
 
     def covered(c: str) -> str:
         return f"explode(sequence({cell(f'{c} - {reach}')}, {cell(f'{c} + {reach}')}))"
@@ -61,60 +63,14 @@ def distance_join(
         .selectExpr("*", f"{cell(lx)} as _cx", f"{cell(ly)} as _cy")
     )
     areas = circles.selectExpr("*", f"{covered(rx)} as _cx").selectExpr("*", f"{covered(ry)} as _cy")
-    met = salted_join(spots, areas, ["_level", "_cx", "_cy"], slice_rows=SLICE_ROWS)
     return (
-        met.withColumn(out, geo.distance(lx, ly, rx, ry))
+        spots.join(areas, ["_level", "_cx", "_cy"])
+        .withColumn(out, geo.distance(lx, ly, rx, ry))
         .filter(f"{out} <= {radius}")
         .drop("_level", "_cx", "_cy")
     )
 
 
-@dataclass(frozen=True)
-class Grid:
-    """Nested square grids: level 0 has the finest cells, the top level a single one."""
-
-    x0: float
-    y0: float
-    side: float
-    top: int
-    left_rows: int
-    right_rows: int
-
-    def cells(self, x: str, y: str) -> list[str]:
-        """SQL text of the finest cell of a point."""
-        return [
-            f"cast(floor(({v} - {_text(o)}) / {_text(self.side)}) as bigint)"
-            for v, o in ((x, self.x0), (y, self.y0))
-        ]
-
-
-def _text(value: float) -> str:
-    return f"cast({value!r} as double)"
-
-
-def grid_for(left: DataFrame, right: DataFrame, left_xy, right_xy, per_cell: float = 4.0) -> Grid | None:
-    """Grid over both sides with a few right points per finest cell on average (one small row is read)."""
-
-    def points(df, xy, is_right):
-        return _present(df, *xy).selectExpr(f"{xy[0]} as x", f"{xy[1]} as y", f"{is_right} as r")
-
-    both = points(left, left_xy, "false").unionByName(points(right, right_xy, "true"))
-    s = both.selectExpr(
-        "count_if(r) as n",
-        "count_if(not r) as n_left",
-        *[f"{f}({c}) as {f}_{c}" for f in ("min", "max") for c in ("x", "y")],
-        *[f"{f}({c}) filter (where r) as {f}_{c}_r" for f in ("min", "max") for c in ("x", "y")],
-    ).first()
-    if not s["n"]:
-        return None
-    extent = max(s["max_x"] - s["min_x"], s["max_y"] - s["min_y"], 1.0)
-    wide = max(s["max_x_r"] - s["min_x_r"], 1.0)
-    high = max(s["max_y_r"] - s["min_y_r"], 1.0)
-    side = max(math.sqrt(wide * high * per_cell / s["n"]), extent / 2**20)
-    side = min(side, extent)
-    return Grid(s["min_x"], s["min_y"], side, math.ceil(math.log2(extent / side)) + 1, s["n_left"], s["n"])
-
-
 _BOX = ("min_x", "min_y", "max_x", "max_y")
 _LEFT_BOX = [f"l_{c}" for c in _BOX]
 _RIGHT_BOX = [f"r_{c}" for c in _BOX]
@@ -136,6 +92,34 @@ _FURTHEST = _hypot(*[f"greatest(l_max_{c} - r_min_{c}, r_max_{c} - l_min_{c})" f
 _CLOSEST = _hypot(*[f"greatest(0d, l_min_{c} - r_max_{c}, r_min_{c} - l_max_{c})" for c in "xy"])
 
 
+def _text(value: float) -> str:
+    return f"cast({value!r} as double)"
+
+
+def _scaled(df: DataFrame, x: str, y: str, corner: tuple[float, float], extent: float) -> DataFrame:
+    """``df`` with the place as shares ``_u``, ``_v`` of the extent; cells of any level come from these."""
+    return df.selectExpr(
+        "*", *[f"({c} - {_text(o)}) / {_text(extent)} as {n}" for c, o, n in ((x, corner[0], "_u"), (y, corner[1], "_v"))]
+    )
+
+
+def _cells(level: str, prefix: str) -> list[str]:
+    """The cell of a place on a level with 2^level cells each way; levels are nested."""
+    n = f"pow(2d, {level})"
+    return [f"cast(least(floor({c} * {n}), {n} - 1) as bigint) as {prefix}{i}" for c, i in (("_u", "x"), ("_v", "y"))]
+
+
+def _with_parent(cells: DataFrame, *columns: str) -> DataFrame:
+    """Cells with the cell they are a part of."""
+    return cells.selectExpr("*", *[f"shiftright({c}, {STEP}) as {c}_up" for c in columns])
+
+
+def _within(rows: DataFrame, cells: list[str], wanted: DataFrame) -> DataFrame:
+    """The rows in wanted cells, with the columns of ``rows``."""
+    kept = rows.selectExpr("*", *cells).join(wanted.distinct(), wanted.columns, "left_semi")
+    return kept.select(*rows.columns)
+
+
 def nearest_join(
     left: DataFrame,
     right: DataFrame,
@@ -148,39 +132,39 @@ def nearest_join(
 ) -> DataFrame:
     """Each left row with its nearest right row; ties go to the smallest right id.
 
-    With ``reach`` (a radius column of ``right`` with few distinct values) a left row prefers
-    the nearest right row whose own radius covers it; only if there is none, the nearest of
-    all. Rows of one radius form a class: if any of them covers a point, the nearest one does,
-    so one nearest row per class answers the question and no list of all pairs is built.
+    With ``reach`` (a radius column of ``right``) a left row prefers the nearest right row whose
+    own radius covers it; only if there is none, the nearest of all. Both questions are answered
+    side by side, as two classes of right rows: with their own radius, and with an endless one.
 
-    Exact for any data. Left rows without coordinates, and all rows if ``right`` is empty, get
-    NULLs.
+    Exact for any data. Left rows without a finite place, and all rows if ``right`` is empty, get
+    NULLs. ``left`` is evaluated once.
     """
     (lx, ly), (rx, ry) = left_xy, right_xy
     payload = [c for c in right.columns if c not in (right_id, rx, ry)]
-    located = _present(right, rx, ry)
-    # Class of right rows: its radius, or NULL for "all rows". Equal points: the smallest id stays.
-    classed = located.selectExpr("*", "cast(null as double) as _reach")
-    if reach:
-        own = located.filter(f"{reach} >= 0 and not isnan({reach})")
-        classed = classed.unionByName(own.selectExpr("*", f"cast({reach} as double) as _reach"))
+    left = fixed(left)
     row = ", ".join([f"{right_id} as _id", *[f"{c} as {c}" for c in payload]])
+    classes = ["struct('all' as _class, double('Infinity') as _reach)"]
+    if reach:
+        classes.append(f"struct('own' as _class, nanvl(cast({reach} as double), cast(null as double)) as _reach)")
     places = (
-        classed.selectExpr(f"coalesce(_reach, -1d) as _class", f"{rx} as _rx", f"{ry} as _ry", f"struct({row}) as _r")
-        .groupBy("_class", "_rx", "_ry")
+        _present(right, rx, ry)
+        .selectExpr(f"{rx} as _rx", f"{ry} as _ry", f"struct({row}) as _r", f"explode(array({', '.join(classes)})) as _c")
+        .selectExpr("_c._class as _class", "_c._reach as _reach", "_rx", "_ry", "_r")
+        .filter("_reach >= 0")
+        .groupBy("_class", "_reach", "_rx", "_ry")  # equal places: the smallest id stays
         .agg(F.min("_r").alias("_r"))
     )
     spots = _present(left, lx, ly).selectExpr(f"{left_id} as _left", f"{lx} as _x", f"{ly} as _y")
-    pairs = _nearest_pairs(spots, places)
+    pairs = _nearest_pairs(spots, fixed(places))
     if pairs is None:
         nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in (right_id, rx, ry, *payload)]
         return left.select("*", *nothing, F.lit(None).cast("double").alias(out))
 
     # A task sorts what it met by left row and passes on one best row for each.
     best = (
-        pairs.filter("_class < 0 or _d <= _class")
+        pairs.filter("_d <= _reach")
         .groupBy("_left")
-        .agg(F.expr("min(struct(_class < 0 as _any, _d, _r, _rx, _ry)) as _b"))
+        .agg(F.expr("min(struct(_class = 'all' as _any, _d, _r, _rx, _ry)) as _b"))
         .selectExpr(
             f"_left as {left_id}", f"_b._r._id as {right_id}", f"_b._rx as {rx}", f"_b._ry as {ry}",
             *[f"_b._r.{c} as {c}" for c in payload], f"_b._d as {out}",
@@ -189,142 +173,80 @@ def nearest_join(
     return left.join(best, left_id, "left")
 
 
-def _nearest_pairs(spots: DataFrame, places: DataFrame, depth: int = 0) -> DataFrame | None:
-    """Pairs of spots and places that contain the nearest place of each class for each spot.
-
-    Occupied cells are compared first, rows last:
+def _nearest_pairs(spots: DataFrame, places: DataFrame) -> DataFrame | None:
+    """Pairs of spots and places that contain the nearest place of each class within its reach, for each spot.
 
-    1. per occupied left cell and class, a bound: the best "furthest distance" to an occupied
-       right cell among the 3x3 neighbours on every level (the top level always has one);
-    2. right cells within that bound, at a level where they are few, split three levels
-       further with the bound tightened; pairs of cells that still hold very many pairs of
-       rows are split on, down to the finest cells;
-    3. left cells still crowded against crowded finest cells start over on a grid of their own;
-    4. left rows meet the places of the cells that remain, heavy cells in slices.
+    Occupied cells are compared before rows, from one cell that holds everything down to pairs of
+    cells with few row pairs. In each round the pairs that still hold many are cut into parts on
+    both sides. For a left cell and class the least "furthest distance" to a right cell, all of
+    whose places reach that far, is a bound; right cells beyond it, or beyond their own greatest
+    reach, fall away. So only crowded spots go deeper, and nothing depends on the number of rows.
     """
-    grid = grid_for(spots, places.filter("_class < 0"), ("_x", "_y"), ("_rx", "_ry"))
-    if grid is None:
-        return None
-    side, top = _text(grid.side), grid.top
-    every_level = f"explode(sequence(0, {top})) as _k"
-    cell = ["_class", "_k", "_cx", "_cy"]
-
-    def up(c: str, by: str, name: str) -> str:
-        """The cell ``by`` levels further up."""
-        return f"shiftright({c}, {by}) as {name}"
-
-    placed = places.selectExpr("*", *[f"{e} as {n}" for e, n in zip(grid.cells("_rx", "_ry"), ("_cx", "_cy"))])
-    spotted = spots.selectExpr("*", *[f"{e} as {n}" for e, n in zip(grid.cells("_x", "_y"), ("_zx", "_zy"))])
-    finest = _boxed(placed, ["_class", "_cx", "_cy"], "_rx", "_ry", "r_", "count(1) as _places")
-    pyramid = fixed(
-        finest.selectExpr(every_level, "*")
-        .selectExpr("_class", "_k", up("_cx", "_k", "_cx"), up("_cy", "_k", "_cy"), *_RIGHT_BOX, "_places")
-        .groupBy(*cell)
-        .agg(*[F.expr(f"{c[2:5]}({c}) as {c}") for c in _RIGHT_BOX], F.sum("_places").alias("_places"))
-    )
-    zone = ["_zx", "_zy", "_rows", *_LEFT_BOX]
-    zones = _boxed(spotted, ["_zx", "_zy"], "_x", "_y", "l_", "count(1) as _rows")
-
-    # 1. A bound per left cell and class. A class is of no use beyond its radius.
-    around = (
-        zones.selectExpr("*", every_level)
-        .selectExpr("*", "explode(array(-1, 0, 1)) as _dx")
-        .selectExpr("*", "explode(array(-1, 0, 1)) as _dy")
-        .selectExpr(*zone, "_k", "shiftright(_zx, _k) + _dx as _cx", "shiftright(_zy, _k) + _dy as _cy")
-    )
-    capped = "if(_class < 0, _bound, least(_bound, _class))"
-    bounded = (
-        around.join(pyramid, cell[1:])
-        .groupBy("_class", *zone)
-        .agg(F.expr(f"min({_FURTHEST}) as _bound"))
-        .selectExpr("_class", *zone, f"{capped} {_PAD} as _bound")
+    s = (
+        spots.selectExpr("_x as x", "_y as y", "false as r")
+        .unionByName(places.selectExpr("_rx as x", "_ry as y", "true as r"))
+        .selectExpr("count_if(r) as n", *[f"{f}({c}) as {f}_{c}" for f in ("min", "max") for c in ("x", "y")])
+        .first()
     )
-
-    # 2. Right cells within the bound.
-    level = f"greatest(least(cast(ceil(log2(greatest(_bound / 2 / {side}, 1d))) as int), {top}), 0) as _k"
-
-    def span(c: str, origin: float) -> str:
-        def index(v: str) -> str:
-            return f"cast(floor(({v} - {_text(origin)}) / ({side} * pow(2d, _k))) as bigint)"
-
-        last = f"shiftleft(1L, {top} - _k) - 1"
-        low, high = index(f"l_min_{c} - _bound"), index(f"l_max_{c} + _bound")
-        return f"explode(sequence(greatest({low}, 0L), greatest(least({high}, {last}), 0L))) as _c{c}"
-
-    coarse = (
-        bounded.selectExpr("*", level)
-        .selectExpr("*", span("x", grid.x0))
-        .selectExpr("*", span("y", grid.y0))
-        .join(pyramid, cell)
-        .filter(f"{_CLOSEST} <= _bound")
-    )
-    parts = pyramid.selectExpr(
-        "*", "explode(if(_k = 0, array(0, 1, 2, 3), array(_k + 3))) as _pk"
-    ).selectExpr("*", up("_cx", "_pk - _k", "_px"), up("_cy", "_pk - _k", "_py"))
-    columns = ["_class", *zone, "_bound", "_k", "_cx", "_cy", *_RIGHT_BOX, "_places"]
-    tighter = f"least(_bound, min({_FURTHEST}) over (partition by _class, _zx, _zy) {_PAD}) as _near"
-
-    def split(cells: DataFrame) -> DataFrame:
-        parents = cells.selectExpr("_class", *zone, "_bound", "_k as _pk", "_cx as _px", "_cy as _py")
-        return parents.join(parts, ["_class", "_pk", "_px", "_py"]).select(*columns)
-
-    def pruned(cells: DataFrame) -> DataFrame:
-        """Drop cells beyond the bound; a left cell has a few dozen cells of at most 64 parts."""
-        near = cells.selectExpr("*", tighter).filter(f"{_CLOSEST} <= _near")
-        return near.drop("_bound").withColumnRenamed("_near", "_bound").select(*columns)
-
-    candidates = fixed(pruned(split(coarse)))
-    crowded = f"_rows * _places > {PAIR_LIMIT} and _places > 1"
-
-    def any_crowd(condition: str) -> bool:
-        if grid.left_rows * grid.right_rows <= PAIR_LIMIT:
-            return False
-        return not candidates.filter(f"{crowded} and {condition}").isEmpty()
-
-    while any_crowd("_k > 0"):  # each round takes these cells three levels down
-        heavy = f"({crowded} and _k > 0)"
-        candidates = fixed(pruned(candidates.filter(f"not {heavy}").unionByName(split(candidates.filter(heavy)))))
-
-    # 3. Crowds within the finest cells: the same again on these rows only.
-    again = None
-    if depth < MAX_DEPTH and grid.side > 1e-3 and any_crowd("true"):
-        crowds = candidates.filter(crowded).select("_zx", "_zy").distinct()
-        left_over = salted_join(spotted, crowds, ["_zx", "_zy"], "left_semi").select(*spots.columns)
-        asked_for = candidates.join(crowds, ["_zx", "_zy"], "left_semi").select(*cell).distinct()
-        right_over = (
-            placed.selectExpr(every_level, "*")
-            .selectExpr(*places.columns, "_k", up("_cx", "_k", "_cx"), up("_cy", "_k", "_cy"))
-            .join(asked_for, cell, "left_semi")
-            .select(*places.columns)
-            .distinct()
+    if not s["n"]:
+        return None
+    corner, extent = (s["min_x"], s["min_y"]), max(s["max_x"] - s["min_x"], s["max_y"] - s["min_y"], 1e-300)
+    if not math.isfinite(extent):
+        raise ValueError("places are too far apart for distances")
+    spots = fixed(_scaled(spots, "_x", "_y", corner, extent))
+    places = fixed(_scaled(places, "_rx", "_ry", corner, extent))
+
+    pair = ["_class", "_lx", "_ly", "_gx", "_gy", "_bound"]
+    none = [f"0L as {c}" for c in pair[1:5]]
+    open_ = places.select("_class").distinct().selectExpr("_class", *none, "double('Infinity') as _bound")
+    left_open, right_open, done, level = spots, places, [], 0
+    while True:
+        above = open_.selectExpr("_class", *[f"{c} as {c}_up" for c in pair[1:5]], "_bound")
+        level += STEP
+        cells_l, cells_r = _cells(str(level), "_l"), _cells(str(level), "_g")
+        parts_l = _boxed(
+            left_open.selectExpr("_x", "_y", *cells_l), ["_lx", "_ly"], "_x", "_y", "l_", "count(1) as _rows"
         )
-        again = _nearest_pairs(fixed(left_over), fixed(right_over), depth + 1)
-        candidates = candidates.join(crowds, ["_zx", "_zy"], "left_anti")
-
-    # 4. Rows. From the stored cells the load of each right cell is known.
-    targets = placed.selectExpr(every_level, "*").selectExpr(
-        "_class", "_rx", "_ry", "_r", "_k", up("_cx", "_k", "_cx"), up("_cy", "_k", "_cy")
-    )
-    load = candidates.groupBy(*cell).agg(F.sum("_rows").alias("_rows")).filter(F.col("_rows") > SLICE_ROWS)
-    wanted = candidates.select("_zx", "_zy", *cell, "_bound", *_RIGHT_BOX)
-    if grid.left_rows <= SLICE_ROWS or load.isEmpty():
-        wanted = wanted.selectExpr("*", "1 as _slices")
-        targets = targets.selectExpr("*", "0 as _slice")
-    else:
-        slices = load.selectExpr(*cell, f"cast(ceil(_rows / {SLICE_ROWS}) as int) as _n")
-        wanted = wanted.join(slices, cell, "left").selectExpr("*", "coalesce(_n, 1) as _slices").drop("_n")
-        targets = (
-            targets.join(slices, cell, "left")
-            .selectExpr("*", "explode(sequence(0, coalesce(_n, 1) - 1)) as _slice")
-            .drop("_n")
+        parts_r = _boxed(
+            right_open.selectExpr("_class", "_reach", "_rx", "_ry", *cells_r), ["_class", "_gx", "_gy"],
+            "_rx", "_ry", "r_", "count(1) as _places", "min(_reach) as _least", "max(_reach) as _most",
         )
+        near = (
+            above.join(_with_parent(parts_l, "_lx", "_ly"), ["_lx_up", "_ly_up"])
+            .join(_with_parent(parts_r, "_gx", "_gy"), ["_class", "_gx_up", "_gy_up"])
+            .selectExpr("*", f"{_CLOSEST} as _closest", f"{_FURTHEST} {_PAD} as _furthest")
+            .filter(f"_closest <= least(_bound, _most {_PAD})")
+            .selectExpr(
+                "*",
+                "least(_bound, min(if(_furthest <= _least, _furthest, null)) "
+                "over (partition by _class, _lx, _ly)) as _near",
+            )
+            .filter("_closest <= _near")
+            .selectExpr(*pair[:5], "_near as _bound", *_RIGHT_BOX, "_rows * _places as _pairs", "_places")
+        )
+        near = fixed(near.selectExpr("*", f"{level} as _level"))
+        many = f"_places > 1 and _pairs > {LEAF_PAIRS}" if level < DEEPEST else "false"
+        done.append(near.filter(f"not ({many})"))
+        open_ = near.filter(many).select(*pair)
+        if open_.isEmpty():
+            break
+        # Only rows in cells of open pairs go on.
+        left_open = fixed(_within(left_open, cells_l, open_.select("_lx", "_ly")))
+        right_open = fixed(_within(right_open, cells_r, open_.select("_class", "_gx", "_gy")))
+
+    # Rows. A spot is in one cell of each level.
+    levels = f"explode(array({', '.join(str(k) for k in range(STEP, level + 1, STEP))})) as _level"
     to_box = _hypot(*[f"greatest(0d, r_min_{c} - _{c}, _{c} - r_max_{c})" for c in "xy"])
     asked = (
-        salted_join(spotted, wanted, ["_zx", "_zy"], left_rows=grid.left_rows)
+        spots.selectExpr("*", levels)
+        .selectExpr("_left", "_x", "_y", "_level", *_cells("_level", "_l"))
+        .join(reduce(DataFrame.unionByName, done), ["_level", "_lx", "_ly"])
         .filter(f"{to_box} <= _bound")
-        .selectExpr(*spots.columns, *cell, "cast(pmod(xxhash64(_left), _slices) as int) as _slice")
+        .select("_left", "_x", "_y", "_class", "_level", "_gx", "_gy")
+    )
+    targets = places.selectExpr("*", levels).selectExpr(
+        "_class", "_reach", "_rx", "_ry", "_r", "_level", *_cells("_level", "_g")
     )
-    pairs = asked.join(targets, [*cell, "_slice"]).selectExpr(
-        "_left", "_class", f"{geo.distance_text('_x', '_y', '_rx', '_ry')} as _d", "_r", "_rx", "_ry"
+    return asked.join(targets, ["_class", "_level", "_gx", "_gy"]).selectExpr(
+        "_left", "_class", "_reach", f"{geo.distance_text('_x', '_y', '_rx', '_ry')} as _d", "_r", "_rx", "_ry"
     )
-    return pairs if again is None else pairs.unionByName(again)

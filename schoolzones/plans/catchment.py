@@ -9,7 +9,6 @@ from ..operators import aggregates, ranks, reshape, spatial
 from ..session import fixed
 
 SCHOOL = "unique_school_id"
-MAX_RADII = 16
 
 
 def zone_centroids(zones: DataFrame, rings: str = "rings") -> DataFrame:
@@ -31,30 +30,18 @@ def within_buffer(zones: DataFrame, schools: DataFrame) -> DataFrame:
 def assign_zones(zones: DataFrame, schools: DataFrame) -> DataFrame:
     """Each zone to one school: the nearest whose buffer holds it, else the nearest of all.
 
-    Equal distances go to the smallest school id. ``zones`` has geoid, x, y. Buffers come
-    from a short lookup, so there are few distinct radii and one nearest school per radius
-    decides. With many radii the pairs inside the buffers are reduced to the nearest, and
-    only zones without one look at all schools.
+    Equal distances go to the smallest school id. ``zones`` has geoid, x, y.
     """
     spots = zones.select("geoid", "x", "y")
     places = schools.select(SCHOOL, "school_x", "school_y", "buffer_distance")
-    radii = places.select("buffer_distance").dropna().distinct().limit(MAX_RADII + 1).count()
-    if radii <= MAX_RADII:
-        sided = places.withColumn("_radius", classify.miles_to_metres("buffer_distance"))
-        return spatial.nearest_join(spots, sided, "geoid", SCHOOL, reach="_radius").drop("_radius")
-    pairs = within_buffer(spots, places).drop("x", "y")
-    best = ranks.first_per_key(pairs, ["geoid"], ["distance", SCHOOL])
-    # Stored once: it decides which zones the second step has to look at.
-    state = fixed(spots.join(best, "geoid", "left"))
-    left = state.filter(F.col(SCHOOL).isNull()).select("geoid", "x", "y")
-    return state.filter(F.col(SCHOOL).isNotNull()).unionByName(
-        spatial.nearest_join(left, places, "geoid", SCHOOL)
-    )
+    sided = places.withColumn("_radius", classify.miles_to_metres("buffer_distance"))
+    return spatial.nearest_join(spots, sided, "geoid", SCHOOL, reach="_radius").drop("_radius")
 
 
 def coverage(assignment: DataFrame, zones: DataFrame, schools: DataFrame) -> DataFrame:
-    """Checks of an assignment as one row of counts."""
-    assignment = fixed(assignment.select("geoid", SCHOOL))  # read by three of the checks
+    """Checks of an assignment as one row of counts; a row without a school assigns nothing."""
+    # Read by three of the checks.
+    assignment = fixed(assignment.select("geoid", SCHOOL).where(F.col(SCHOOL).isNotNull()))
     per_zone = assignment.groupBy("geoid").agg(F.count(F.lit(1)).alias("_n"))
     assigned = per_zone.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("assigned_zones"),

@@ -9,24 +9,6 @@ def ids(df, column="id"):
     return sorted((r[column] for r in df.collect()), key=lambda v: (v is None, v))
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
-    left = spark.range(3000).select(
-        F.expr("case when id % 3 = 0 then 7 when id % 50 = 1 then null else id % 40 end").alias("k"), F.col("id").alias("v")
-    )
-    right = spark.range(60).select((F.col("id") % 45).alias("k"), F.col("id").alias("w"))
-    plain = sorted(map(tuple, left.join(right, "k", how).collect()), key=str)
-    cut = joins.salted_join(left, right, ["k"], how, hot_rows=100, slice_rows=50)
-    assert sorted(map(tuple, cut.collect()), key=str) == plain
-    assert joins.hot_keys(left, ["k"], 100).count() == 1
-    assert joins.hot_keys(left, ["k"], 10_000) is None
-
-
-def test_salted_join_refuses_outer(spark):
-    with pytest.raises(ValueError):
-        joins.salted_join(spark.range(1), spark.range(1), ["id"], "full")
-
-
 def test_outer_enrich_is_a_distinct_outer_merge(spark):
     keys = ["s", "n", "t"]
     base = [("a", "1", "x"), ("a", "1", "x"), ("a", None, "y"), ("b", "2", "x"), ("c", None, None)]

@@ -61,15 +61,49 @@ def test_assignment_equals_brute_force(spark, crowd):
     check_assignment(spark, *points(1, 400, 60, crowd))
 
 
-def test_crowded_cells_are_split_and_sliced(spark, monkeypatch):
-    monkeypatch.setattr(spatial, "PAIR_LIMIT", 500)
-    monkeypatch.setattr(spatial, "SLICE_ROWS", 40)
-    check_assignment(spark, *points(2, 600, 200, True))
+def test_a_third_of_both_sides_in_one_spot(spark):
+    check_assignment(spark, *points(2, 3000, 900, True))
 
 
-def test_assignment_with_many_radii(spark, monkeypatch):
-    monkeypatch.setattr(catchment, "MAX_RADII", 2)
-    check_assignment(spark, *points(3, 300, 50, True))
+def test_spots_within_spots(spark):
+    """Crowds at very different scales: each goes down as far as it must, nothing else does."""
+    z, s = points(5, 1500, 600, True)
+    z.loc[:400, ["x", "y"]] = 1e4 + np.random.default_rng(8).normal(0, 1e-3, (401, 2))
+    s.loc[:200, ["school_x", "school_y"]] = 1e4 + np.random.default_rng(9).normal(0, 1e-3, (201, 2))
+    z.loc[400:420, ["x", "y"]] = 7e6
+    check_assignment(spark, z, s)
+
+
+def test_equal_places(spark):
+    z, s = points(6, 500, 300, False)
+    z[["x", "y"]] = 5.0
+    s[["school_x", "school_y"]] = 5.0
+    check_assignment(spark, z, s)
+
+
+def test_assignment_with_a_hundred_radii(spark):
+    z, s = points(3, 800, 400, True)
+    s["buffer_distance"] = np.random.default_rng(1).permutation(np.linspace(0.05, 20, 100).repeat(4))
+    s.loc[5, "buffer_distance"] = np.nan
+    s.loc[7, "buffer_distance"] = 0.0
+    check_assignment(spark, z, s)
+
+
+def test_infinite_values(spark):
+    inf = float("inf")
+    zones = spark.createDataFrame(
+        [("a", 0.0, 0.0), ("b", inf, 0.0), ("c", float("nan"), 1.0), ("d", 1e6, 0.0)], "z string, x double, y double"
+    )
+    schools = spark.createDataFrame(
+        [("far", 2e6, 0.0, inf), ("near", 1.0, 0.0, 0.5), ("no", inf, 0.0, 9.0), ("nan", 0.0, 0.0, float("nan"))],
+        "s string, school_x double, school_y double, radius_m double",
+    )
+    pairs = spatial.distance_join(zones, schools).select("z", "s").collect()
+    assert sorted(map(tuple, pairs)) == [("a", "far"), ("d", "far")]
+    own = spatial.nearest_join(zones, schools, "z", "s", reach="radius_m").collect()
+    assert {(r.z, r.s) for r in own} == {("a", "far"), ("b", None), ("c", None), ("d", "far")}
+    any_ = spatial.nearest_join(zones, schools, "z", "s").collect()
+    assert {(r.z, r.s) for r in any_} == {("a", "nan"), ("b", None), ("c", None), ("d", "near")}
 
 
 def test_distance_join_equals_brute_force(spark):
@@ -108,10 +142,12 @@ def test_nearest_ties_nulls_and_no_schools(spark):
 def test_coverage_and_counts(spark):
     zones = spark.createDataFrame([("z1",), ("z2",), ("z3",)], "geoid string")
     schools = spark.createDataFrame([("s1",), ("s2",)], "unique_school_id string")
-    assignment = spark.createDataFrame([("z1", "s1"), ("z2", "s1"), ("z2", "s1")], "geoid string, unique_school_id string")
+    rows = [("z1", "s1"), ("z2", "s1"), ("z2", "s1"), ("z3", None)]
+    assignment = spark.createDataFrame(rows, "geoid string, unique_school_id string")
     row = catchment.coverage(assignment, zones, schools).first().asDict()
     assert row == {
         "assigned_zones": 3, "zones_assigned_twice": 1, "total_zones": 3, "unassigned_zones": 1, "schools_without_zone": 1,
     }
     counts = catchment.zones_per_school(assignment, schools).collect()
     assert list(map(tuple, counts)) == [("s2", 0), ("s1", 3)]
+    assert catchment.coverage(assignment.limit(0), zones, schools).first()["unassigned_zones"] == 3
