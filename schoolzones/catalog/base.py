@@ -163,7 +163,7 @@ VIEWS = {
                 else o_orderpriority end as teacher_last_name
         from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join {{part}} on l_partkey = p_partkey
             join {_titles()} on title_no = {_COURSE_NO}
-        where l_suppkey % 37 <> 12 and (l_orderkey + l_linenumber) % 3 <> 0""",
+        where l_suppkey % 37 <> 12""",
     # Segments of a path through the zones, ten zones a path (road).
     "b_segment": """
         select cast(floor(a.c_custkey / 10) as bigint) as road, a.c_custkey as step,

@@ -59,16 +59,24 @@ def _(t):
     return older.disproportion_index(shares(t)).select("unique_school_id", *[f"di_{g.lower()}" for g in K.RACES])
 
 
+_CATEGORY = "case when {ri} is null then 'Missing' when {ri} > 0.05 then 'Overrepresented' when {ri} < -0.05 then 'Underrepresented' else 'Parity' end"
+
+
 @query(
     "c4_ri_category",
-    "select unique_school_id, race, category from (select school as unique_school_id, 'White' as race, case when ri_white is null then 'Missing' when ri_white > 0.05 then 'Overrepresented' when ri_white < -0.05 then 'Underrepresented' else 'Parity' end as category from o_indexed)",
+    " union all ".join(
+        f"select school as unique_school_id, '{race}' as race, {_CATEGORY.format(ri='ri_' + race.lower())} as category from o_indexed"
+        for race in K.RACES
+    ),
 )
 def _(t):
     from .grouping import indexed_schools
 
-    return indexed_schools(t).select(
-        "unique_school_id", F.lit("White").alias("race"), classify.ri_category("ri_white").alias("category")
-    )
+    categories = [
+        F.struct(F.lit(race).alias("race"), classify.ri_category(f"ri_{race.lower()}").alias("category"))
+        for race in K.RACES
+    ]
+    return indexed_schools(t).select("unique_school_id", F.inline(F.array(*categories)))
 
 
 def _logic_sql(titles: str) -> str:
@@ -112,8 +120,11 @@ CHECKS["o_logic"] = f"""
 
 
 def school_codes(t):
-    rows = course_plans.course_logic(course_plans.clean_courses(t.b_course), course_plans.clean_roster(t.b_roster))
-    return course_plans.school_logic(rows, {"logic_class": K.APPROVED_TITLES, "logic_class_2": K.EXPANDED_TITLES})
+    """Codes need the roster only; a school that has courses but no roster has none of the three marks."""
+    titles = {"logic_class": K.APPROVED_TITLES, "logic_class_2": K.EXPANDED_TITLES}
+    codes = course_plans.school_logic(course_plans.clean_roster(t.b_roster), titles)
+    others = course_plans.clean_courses(t.b_course).select("unique_school_id").distinct()
+    return others.join(codes, "unique_school_id", "full").fillna("000", subset=list(titles))
 
 
 @query("c7_school_logic", "select * from o_logic")

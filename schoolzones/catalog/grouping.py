@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, constants as K, geo
 from ..operators import aggregates, ranks
 from ..plans import courses as course_plans, layers
+from ..session import fixed
 from .base import CHECKS, query
 from .joining import _APPROVED
 from .shapes import zone_polygons
@@ -161,6 +162,20 @@ def _(t):
     return _rounded(ranks.weighted_median(t.b_member, SCHOOL, "income", "pop", "geoid", "median"), 6, "median")
 
 
+@query(
+    "j6_weighted_statistics",
+    """
+    select m.unique_school_id, round(median, 6) as median, round(s.mean, 6) as mean, round(deviation, 6) as deviation
+    from o_median m join o_spread s on m.unique_school_id = s.unique_school_id
+    """,
+)
+def _(t):
+    rows = fixed(t.b_member.select(SCHOOL, "geoid", "income", "pop").dropna())
+    median = ranks.weighted_median(rows, SCHOOL, "income", "pop", "geoid", "median")
+    spread = aggregates.weighted_mean_std(rows, SCHOOL, "income", "pop", "mean", "deviation")
+    return _rounded(median.join(spread, SCHOOL), 6, "median", "mean", "deviation")
+
+
 @query(
     "a13_counts",
     "select count(*) as total_zones, count(income) as with_income, count(*) filter (where pop = 0) as empty_zones from b_member",

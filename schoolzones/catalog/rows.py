@@ -91,13 +91,19 @@ def _(t):
     return rows.groupBy("teacher", text.is_virtual("teacher").alias("is_virtual")).agg(F.count(F.lit(1)).alias("n"))
 
 
+_OLDER_LABELS = ", ".join(f"'{x}'" for x in K.OLDER_VIRTUAL_LABELS)
+
+
 @query(
     "f10_virtual_prefix",
-    "select school_id, count(*) as n from b_roster where starts_with(teacher_last_name, 'DE:') group by 1",
+    f"""
+    select school_id, count(*) as n, count(*) filter (starts_with(teacher_last_name, 'DE:')) as by_prefix from b_roster
+    where starts_with(teacher_last_name, 'DE:') or teacher_last_name in ({_OLDER_LABELS}) group by 1
+    """,
 )
 def _(t):
-    return t.b_roster.filter(F.col("teacher_last_name").startswith("DE:")).groupBy("school_id").agg(
-        F.count(F.lit(1)).alias("n")
+    return t.b_roster.filter(text.is_virtual_older("teacher_last_name")).groupBy("school_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("teacher_last_name").startswith("DE:")).alias("by_prefix")
     )
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import constants as K, geo
 from ..sources.tables import points_from_lonlat
 from .base import CHECKS, query
+from .joining import conic_sql
 
+_X, _Y = conic_sql("lon", "lat")
 _KIND = "case when zone_no % 40 = 17 then 'flat' when zone_no % 3 = 0 then 'square' when zone_no % 3 = 1 then 'corner' else 'holed' end"
 
 # Corners of each shape in units of its size, from its lower left corner.
@@ -63,7 +65,7 @@ def _(t):
     )
 
 
-@query("g2_conic_metres", "select geoid, round(x, 3) as x, round(y, 3) as y from o_spot")
+@query("g2_conic_metres", f"select geoid, round({_X}, 3) as x, round({_Y}, 3) as y from b_zone")
 def _(t):
     x, y = geo.conic_xy("lon", "lat")
     return t.b_zone.select("geoid", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))

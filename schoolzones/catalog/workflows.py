@@ -50,7 +50,8 @@ CHECKS["o_approved_located"] = f"""
 
 
 def approved_located(t):
-    buffers = school_plans.default_buffers(t.spark)
+    empty = t.spark.createDataFrame([], "locale_type string, buffer_distance double")
+    buffers = school_plans.buffer_lookup(empty)
     return school_plans.locale_and_buffer(approved(t), t.b_district, buffers)
 
 
@@ -92,10 +93,10 @@ def _(t):
 @query(
     "l4_coverage",
     """
-    select (select count(*) from o_assignment) as assigned_zones, 0::bigint as zones_assigned_twice,
+    select (select count(unique_school_id) from o_assignment) as assigned_zones, 0::bigint as zones_assigned_twice,
         (select count(*) from b_zone) as total_zones,
-        (select count(*) from b_zone where geoid not in (select geoid from o_assignment)) as unassigned_zones,
-        (select count(*) from b_school where unique_school_id not in (select unique_school_id from o_assignment)) as schools_without_zone
+        (select count(*) from b_zone where geoid not in (select geoid from o_assignment where unique_school_id is not null)) as unassigned_zones,
+        (select count(*) from b_school where unique_school_id not in (select unique_school_id from o_assignment where unique_school_id is not null)) as schools_without_zone
     """,
 )
 def _(t):
@@ -158,12 +159,7 @@ def _by_locale_sql(group: str) -> str:
 
 @query("l7_representation_by_locale", " union all ".join(_by_locale_sql(g) for g in ("asian", "black", "hispanic", "white")))
 def _(t):
-    rows, schools = representation(t), places(t)
-    out = None
-    for group in ("asian", "black", "hispanic", "white"):
-        table = course_plans.representation_by_locale(rows, schools, group).withColumn("race", F.lit(group))
-        out = table if out is None else out.unionByName(table)
-    return out
+    return course_plans.representation_by_locale(representation(t), places(t), ("asian", "black", "hispanic", "white"))
 
 
 # --- Catchment metrics ----------------------------------------------------------------------------------
@@ -240,6 +236,23 @@ def _(t):
     return rows.withColumns({"ri": F.round("ri", 6), "value": F.round("value", 4)})
 
 
+CHECKS["o_counted"] = " union all ".join(
+    f"select '{race}' as race, locale, ri_{race.lower()} as ri from o_school_metrics "
+    f"where ri_{race.lower()} is not null and locale is not null"
+    for race in K.RACES
+)
+
+
+@query("l9_counts_by_race", f"select race, {_SIDES} from o_counted group by 1")
+def _(t):
+    return layers.counts_by_race(school_metrics(t))
+
+
+@query("l9_counts_by_locale", f"select locale, {_SIDES} from o_counted group by 1")
+def _(t):
+    return layers.counts_by_locale(school_metrics(t))
+
+
 _QUARTILES = ", ".join(f"round(quantile_cont(value, {q}), 4) as q{i + 1}" for i, q in enumerate((0.25, 0.5, 0.75)))
 
 
@@ -369,6 +382,30 @@ def _(t):
     return layers.modality_legend(layers.modality_layer(places(t), coded_schools(t)))
 
 
+@query(
+    "l10_expanded_modality_legend",
+    f"select m.modality, count(c.unique_school_id) as schools from (values {_NAMES}) m(modality) left join (select *, {_MODALITY.format(c='logic_class_2')} as k from o_school_code) c on c.k = m.modality group by 1",
+)
+def _(t):
+    return layers.modality_legend(layers.modality_layer(places(t), coded_schools(t), "logic_class_2"))
+
+
+def _register_marker_legend(name: str, prefixes: list[str]) -> None:
+    shown = ", ".join(f"('{p}{s}', '{m}')" for p, s, m, *_ in K.MARKERS if p in prefixes)
+
+    @query(
+        name,
+        f"select m.marker, count(c.unique_school_id) as schools from (values {shown}) m(code, marker) "
+        "left join o_school_code c on c.logic_class = m.code group by 1",
+    )
+    def _(t):
+        return layers.marker_legend(layers.marker_layer(places(t), coded_schools(t), prefixes), prefixes)
+
+
+_register_marker_legend("l10_in_person_marker_legend", ["11", "10"])
+_register_marker_legend("l10_other_marker_legend", ["01", "00"])
+
+
 @query(
     "l10_marker_legend",
     "select m.marker, count(c.unique_school_id) as schools from (values "
@@ -426,6 +463,34 @@ def _(t):
     return layers.disparity_legend(layers.disparity_layer(places(t), indices(t), "female"), "female")
 
 
+def _register_disparity_legend(name: str, group: str, colours: list[str], layer_sql: str, box=None) -> None:
+    @query(
+        name,
+        f"select m.colour, count(c.unique_school_id) as schools from (values {', '.join(f"('{c}')" for c in dict.fromkeys(colours))}) "
+        f"m(colour) left join ({layer_sql}) c on c.colour = m.colour group by 1",
+    )
+    def _(t):
+        layer = layers.disparity_layer(places(t), indices(t), group, box)
+        return layers.disparity_legend(layer, group, box)
+
+
+for _group, (_ranges, _otherwise) in layers.DISPARITY_LAYERS.items():
+    if _group != "female":  # above
+        _register_disparity_legend(
+            f"l11_{_group}_legend",
+            _group,
+            [c for *_, c in _ranges] + ([_otherwise] if _otherwise else []),
+            _disparity_sql(_group, _ranges, _otherwise),
+        )
+_register_disparity_legend(
+    "l11_regional_black_legend",
+    "black",
+    [c for *_, c in layers.REGIONAL_BLACK[0]],
+    _disparity_sql("black", *layers.REGIONAL_BLACK, box=True),
+    K.REGION_BOX,
+)
+
+
 def _quintile_sql(group: str) -> str:
     return f"""
         , shares as (select lpad(geoid, 12, '0') as geoid, {group} / nullif(total_population, 0) as ratio from b_census),

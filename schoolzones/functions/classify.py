@@ -20,7 +20,9 @@ def locale_class(code: Column | str) -> Column:
 
 def share_gap(part: Column | str, part_total: Column | str, whole: Column | str, whole_total: Column | str) -> Column:
     """Share in the part minus share in the whole; 0 where the part is empty."""
-    part, part_total, whole, whole_total = map(as_col, (part, part_total, whole, whole_total))
+    part, part_total, whole, whole_total = (
+        no_nan(as_col(c).cast("double")) for c in (part, part_total, whole, whole_total)
+    )
     return F.when(part_total == 0, F.lit(0.0)).otherwise(
         F.try_divide(part, part_total) - F.try_divide(whole, whole_total)
     )

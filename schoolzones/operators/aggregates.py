@@ -10,10 +10,14 @@ from ..functions import classify, constants as K, text
 
 
 def group_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
-    """Sums under new names; NULL is skipped, a group of NULLs gives 0."""
-    return df.groupBy(*keys).agg(
-        *[F.coalesce(F.sum(F.col(f"`{c}`")), F.lit(0)).alias(out) for c, out in sums.items()]
-    )
+    """Sums under new names; NULL and NaN are skipped, a group without a value gives 0."""
+    kinds = dict(df.dtypes)
+
+    def value(c: str) -> Column:
+        column = F.col(f"`{c}`")
+        return text.no_nan(column) if kinds[c] in ("double", "float") else column
+
+    return df.groupBy(*keys).agg(*[F.coalesce(F.sum(value(c)), F.lit(0)).alias(out) for c, out in sums.items()])
 
 
 def distinct_count(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
@@ -73,10 +77,11 @@ def category_counts(ri: Column | str) -> list[Column]:
     ]
 
 
-def category_counts_by(df: DataFrame, group: str, ri: str) -> DataFrame:
-    """Category counts per group and a Total row, which also counts rows without a group."""
+def category_counts_by(df: DataFrame, group: str, ri: str, within: Sequence[str] = ()) -> DataFrame:
+    """Category counts per group and a Total row, which also counts rows without a group; all that ``within`` keys."""
+    within = [F.col(c) for c in within]
     return (
-        df.rollup(group)
+        df.groupingSets([[*within, F.col(group)], within], *within, F.col(group))
         .agg(F.grouping(group).alias("_total"), *category_counts(ri))
         .filter((F.col("_total") == 1) | F.col(group).isNotNull())
         .withColumn(group, F.when(F.col("_total") == 1, "Total").otherwise(F.col(group)))
@@ -95,10 +100,11 @@ def class_counts(df: DataFrame, column: str, labels: Sequence[str], out: str = "
 
 
 def ratio_of_sums(columns: Sequence[str], denominator: str, prefix: str = "", factor: float = 1.0) -> list[Column]:
-    """``sum(c) / sum(denominator)``; each sum skips NULL on its own, 0 below gives NULL."""
-    total = F.sum(F.col(denominator).cast("double"))
+    """``sum(c) / sum(denominator)``; each sum skips NULL and NaN on its own, 0 below gives NULL."""
+    number = lambda c: text.no_nan(F.col(c).cast("double"))
+    total = F.sum(number(denominator))
     return [
-        (F.try_divide(F.coalesce(F.sum(F.col(c).cast("double")), F.lit(0.0)), total) * factor).alias(prefix + c)
+        (F.try_divide(F.coalesce(F.sum(number(c)), F.lit(0.0)), total) * factor).alias(prefix + c)
         for c in columns
     ]
 
@@ -133,10 +139,10 @@ def harmonic_mean_distance(distance: str, populations: Sequence[str], suffix: st
     People at distance 0 make the sum below infinite, hence the mean 0; an empty row at
     distance 0 is skipped; a zero sum below gives NULL.
     """
-    d = F.col(distance).cast("double")
+    d = text.no_nan(F.col(distance).cast("double"))
     out = []
     for name in populations:
-        p = F.col(name).cast("double")
+        p = text.no_nan(F.col(name).cast("double"))
         at_zero = F.coalesce(F.bool_or((d == 0) & (p > 0)), F.lit(False))
         mean = F.try_divide(F.coalesce(F.sum(p), F.lit(0.0)), F.sum(F.when(d != 0, p / F.nullif(d, F.lit(0.0)))))
         out.append(F.when(at_zero, F.lit(0.0)).otherwise(mean).alias(f"{name}{suffix}"))

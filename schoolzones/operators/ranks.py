@@ -14,6 +14,9 @@ from ..functions import classify
 from ..session import fixed
 
 
+BLOCK_ROWS = 2_000_000  # rows that one task sorts
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the smallest order columns per key, NULL last.
 
@@ -32,7 +35,7 @@ def running_sum(
     weight: str,
     out: str,
     total: str | None = None,
-    blocks: int | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Running sum of ``weight`` within ``keys`` in ``order``, and optionally the key's total.
 
@@ -42,7 +45,8 @@ def running_sum(
     """
     spark = df.sparkSession
     keys, order = list(keys), list(order)
-    n = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = fixed(df)  # its rows are counted, sampled and dealt out
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // block_rows))
     ranged = df.repartitionByRange(n, *keys, *order).withColumn("_block", F.spark_partition_id())
     ranged = fixed(ranged)
 

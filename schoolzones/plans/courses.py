@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import classify, constants as K, text
@@ -148,7 +150,14 @@ def school_representation(
     ).select(SCHOOL, *cs, "certified_teachers", *[f"ri_{g}" for g in K.RI_GROUPS], *titles)
 
 
-def representation_by_locale(representation: DataFrame, schools: DataFrame, group: str) -> DataFrame:
-    """Schools over, at and under parity per locale, with a Total row."""
-    located = representation.select(SCHOOL, f"ri_{group}").join(schools.select(SCHOOL, "locale"), SCHOOL, "left")
-    return aggregates.category_counts_by(located, "locale", f"ri_{group}")
+def representation_by_locale(representation: DataFrame, schools: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Schools over, at and under parity per group and locale, with a Total row per group.
+
+    All groups go through one join and one aggregate.
+    """
+    located = representation.select(SCHOOL, *[f"ri_{g}" for g in groups]).join(
+        schools.select(SCHOOL, "locale"), SCHOOL, "left"
+    )
+    each = F.array(*[F.struct(F.lit(g).alias("race"), F.col(f"ri_{g}").alias("ri")) for g in groups])
+    rows = located.select("locale", F.inline(each))
+    return aggregates.category_counts_by(rows, "locale", "ri", ["race"])

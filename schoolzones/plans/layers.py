@@ -81,8 +81,8 @@ def disparity_layer(schools: DataFrame, representation: DataFrame, group: str, b
     return _mapped(filters.classified(out, "colour"))
 
 
-def disparity_legend(layer: DataFrame, group: str) -> DataFrame:
-    ranges, otherwise = DISPARITY_LAYERS[group]
+def disparity_legend(layer: DataFrame, group: str, box=None) -> DataFrame:
+    ranges, otherwise = REGIONAL_BLACK if box and group == "black" else DISPARITY_LAYERS[group]
     colours = [c for *_, c in ranges] + ([otherwise] if otherwise else [])
     return aggregates.class_counts(layer, "colour", colours, "schools")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,31 +27,36 @@ def local_session(cpus: int | str = 8, app: str = "schoolzones", **extra) -> Spa
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="schoolzones-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder inside ``spark.checkpoint.dir``, which all executors must share.
+
+    Only a purely local session (one process) gets a folder of its own where none is set.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="schoolzones-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/schoolzones-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for a table in the application's folder."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def fixed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder, so that a retry reads the same rows.
+    """Store ``df`` as Parquet and read it back, so that every reader and every retry sees the same rows.
 
-    Needed where row contents depend on sampled partition bounds or on task order.
+    Readers take only the columns they need.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "fixed")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for a table in the shared checkpoint folder."""
-    _ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/tables/{name}-{uuid.uuid4().hex}"
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has stored; no DataFrame that reads it may be used after."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -45,5 +45,6 @@ def lookup_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[s
 
 
 def points_from_lonlat(df: DataFrame, lon: str, lat: str) -> DataFrame:
-    """Rows that have both coordinates."""
-    return df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    """Rows that have both coordinates (NULL and NaN are missing)."""
+    present = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return df.filter(present(lon) & present(lat))

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from schoolzones.functions import classify
 from schoolzones.operators import aggregates
 
 
@@ -99,3 +100,19 @@ def test_padded_extent(spark):
 def test_value_counts(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "c string")
     assert list(map(tuple, aggregates.value_counts(df, "c").collect())) == [("a", 1), ("b", 2)]
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    rows = [("a", 1.0, 2.0, 5.0), ("a", nan, 4.0, 5.0), ("a", 3.0, nan, nan), ("b", nan, nan, 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double, w double, d double")
+    pdf = pd.DataFrame(rows, columns=["k", "v", "w", "d"])
+    sums = {r.k: (r.v, r.w) for r in aggregates.group_sums(df, ["k"], {"v": "v", "w": "w"}).collect()}
+    want = pdf.groupby("k")[["v", "w"]].sum()
+    assert sums == {k: tuple(want.loc[k]) for k in "ab"}
+    ratios = df.groupBy("k").agg(*aggregates.ratio_of_sums(["v"], "w", "r_"))
+    assert {r.k: r.r_v for r in ratios.collect()} == {"a": 4.0 / 6.0, "b": None}
+    means = df.groupBy("k").agg(*aggregates.harmonic_mean_distance("d", ["v"], "_d"))
+    assert {r.k: r.v_d for r in means.collect()} == {"a": pytest.approx(4.0 / (1.0 / 5.0)), "b": None}
+    gap = df.select("k", classify.share_gap("v", "w", "d", "d").alias("g")).collect()
+    assert not any(r.g is not None and math.isnan(r.g) for r in gap)

@@ -118,7 +118,10 @@ def test_school_without_cs_enrolment_is_at_parity(spark, approved, enrolment, co
 def test_representation_by_locale(spark):
     ri = spark.createDataFrame([("a", 0.2), ("b", -0.2), ("c", None), ("d", 0.0)], "unique_school_id string, ri_asian double")
     places = spark.createDataFrame([("a", "City"), ("b", "City"), ("c", "Town"), ("d", None)], "unique_school_id string, locale string")
-    out = {r[0]: tuple(r)[1:] for r in courses.representation_by_locale(ri, places, "asian").collect()}
+    ri = ri.selectExpr("*", "-ri_asian as ri_black")
+    rows = courses.representation_by_locale(ri, places, ["asian", "black"]).collect()
+    out = {r.locale: (r.overrepresentation, r.parity, r.underrepresentation) for r in rows if r.race == "asian"}
+    assert len(rows) == 6
     assert out == {"City": (1, 0, 1), "Town": (0, 0, 0), "Total": (1, 1, 1)}
 
 

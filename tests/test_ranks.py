@@ -21,7 +21,7 @@ def skewed():
 
 
 def test_running_sum(spark, skewed):
-    out = ranks.running_sum(spark.createDataFrame(skewed), ["k"], ["v", "id"], "w", "upto", "total", blocks=7).toPandas()
+    out = ranks.running_sum(spark.createDataFrame(skewed), ["k"], ["v", "id"], "w", "upto", "total", block_rows=len(skewed) // 7).toPandas()
     out = out.sort_values(["k", "v", "id"])
     assert (out.groupby("k").w.cumsum() == out.upto).all() and len(out) == len(skewed)
     assert (out.groupby("k").w.transform("sum") == out.total).all()

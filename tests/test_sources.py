@@ -33,3 +33,14 @@ def test_headings(spark):
 def test_points_need_both_coordinates(spark):
     df = spark.createDataFrame([(1.0, 2.0), (None, 2.0), (1.0, None)], "lon double, lat double")
     assert tables.points_from_lonlat(df, "lon", "lat").count() == 1
+
+
+def test_points_without_nan(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (float("nan"), 2.0), (1.0, float("nan"))], "lon double, lat double")
+    assert tables.points_from_lonlat(df, "lon", "lat").count() == 1
+
+
+def test_fixed_reads_only_what_is_asked_for(spark):
+    df = fixed(spark.range(10).selectExpr("id", "id * 2 as twice", "array(id) as many"))
+    plan = df.select("twice")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<twice:bigint>" in plan
