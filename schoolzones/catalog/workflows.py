@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import constants as K, text
+from ..functions import constants as K, geo, text
 from ..plans import catchment, courses as course_plans, layers, older, schools as school_plans
+from ..session import fixed
 from .base import CHECKS, query
 from .classes import _ri_sql, cut_sql, ranges_sql, school_codes, shares
 from .grouping import _SIDES, harmonic_sql
 from .joining import conic_sql, places, spots
 from .rows import _APPROVED
-from .shapes import _MX, _MY, _pieces_sql, zone_polygons
+from .shapes import _CENTRES, _MX, _MY, _pieces_sql, zone_polygons
 
 SCHOOL = "unique_school_id"
 
@@ -306,6 +307,44 @@ def _(t):
     return _rounded_density(layers.distribution_density(layers.representation_rows(school_metrics(t)), "locale"))
 
 
+# --- The whole chain ----------------------------------------------------------------------------------------
+# Polygons, approved schools and raw rosters to quartiles: every step takes what the one before it made.
+
+_CENTRE = {
+    c: "case kind " + " ".join(f"when '{k}' then {at[i]!r}::double" for k, at in _CENTRES.items()) + " end"
+    for i, c in enumerate(("lon", "lat"))
+}
+_CX, _CY = conic_sql(f"(lon + h * {_CENTRE['lon']})", f"(lat + h * {_CENTRE['lat']})")
+CHECKS["o_chain_spot"] = f"select geoid, {_CX} as x, {_CY} as y from o_shape"
+CHECKS["o_chain_pair"] = """
+    select geoid, unique_school_id, buffer_distance,
+        sqrt((x - school_x) * (x - school_x) + (y - school_y) * (y - school_y)) as distance
+    from o_chain_spot cross join o_approved_located where school_x is not null"""
+CHECKS["o_chain_assignment"] = CHECKS["o_assignment"].replace("o_pair", "o_chain_pair")
+CHECKS["o_chain_metrics"] = CHECKS["o_metrics"].replace("o_assignment", "o_chain_assignment")
+CHECKS["o_chain_school_metrics"] = f"""
+    select r.*, s.locale, {', '.join('m.' + m for m in _METRICS)} from o_approved_located s
+    join o_representation r on r.unique_school_id = s.unique_school_id
+    left join o_chain_metrics m on s.unique_school_id = m.unique_school_id"""
+CHECKS["o_chain_distribution"] = CHECKS["o_distribution"].replace("o_school_metrics", "o_chain_school_metrics")
+
+
+@query(
+    "l9_quartiles_of_the_whole_chain",
+    f"select metric, race, representation, {_QUARTILES} from o_chain_distribution where representation <> 'Parity' group by 1, 2, 3",
+)
+def _(t):
+    x, y = geo.conic_xy("lon", "lat")
+    centres = catchment.zone_centroids(zone_polygons(t)).withColumnsRenamed({"x": "lon", "y": "lat"})
+    schools = fixed(approved_located(t))
+    chosen = catchment.assign_zones(centres.select("geoid", x.alias("x"), y.alias("y")), schools)
+    index = course_plans.school_representation(schools, t.b_enrolment, t.b_course, t.b_roster)
+    of_schools = catchment.school_metrics(
+        schools.select(SCHOOL, "locale"), index, catchment.catchment_metrics(chosen, census(t))
+    )
+    return _rounded_quartiles(layers.distribution_quartiles(layers.representation_rows(of_schools), "race"))
+
+
 # --- Map layers -------------------------------------------------------------------------------------------
 
 _MODALITY = "case substr({c}, 1, 2) when '11' then 'Both' when '10' then 'In Person' when '01' then 'Virtual' else 'No' end"
