@@ -99,8 +99,65 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(docs, name="q").select(
         "doc_id",
         *(f"q.{x}" for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
-        *(f"q.{x}" for x in ("base_failed", "kept", "dup_line_chars", "ngram_chars")),
+        *(f"q.{x}" for x in ("base_failed", "kept", "line_chars", "dup_line_chars")),
+        *(
+            F.col("q.ngram_chars")[i].alias(f"chars_in_repeated_{n}_grams")
+            for i, n in enumerate(quality_rules.Rules().lengths)
+        ),
+    )
+
+
+def _quality_sql() -> str:
+    rules = quality_rules.Rules()
+    covered = "".join(
+        f"""
+        repeated_{n} as (
+            select doc_id, sum(length(word)) as chars, count(*) as words
+            from each semi join (
+                select distinct doc_id, unnest(range(s, s + {n})) as i from (
+                    select doc_id, s from (
+                        select doc_id, ws, unnest(range(1, len(ws) - {n - 2})) as s from w where len(ws) >= {n}
+                    ) qualify count(*) over (partition by doc_id, array_to_string(ws[s : s + {n - 1}], ' ')) > 1
+                )
+            ) using (doc_id, i) group by doc_id
+        ),"""
+        for n in rules.lengths
     )
+    joins = " ".join(
+        f"left join (select doc_id, chars as chars_{n}, words as words_{n} from repeated_{n}) using (doc_id)"
+        for n in rules.lengths
+    )
+    long = lambda x: f"cast(coalesce({x}, 0) as bigint)"
+    grams = ", ".join(f"{long(f'chars_{n}')} as chars_in_repeated_{n}_grams" for n in rules.lengths)
+    too_much = " or ".join(
+        f"chars_in_repeated_{n}_grams > {share!r}::double * word_chars"
+        for n, share in zip(rules.lengths, rules.max_ngram_share)
+    )
+    return f"""
+        with w as (select doc_id, coalesce(text, '') as text, {_WORDS} as ws from documents),
+        each as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as i from w),{covered}
+        lines as (
+            select doc_id, sum(length(line)) as line_chars, count(*) filter (k > 1) as n_dup,
+                sum(length(line)) filter (k > 1) as dup_chars
+            from (
+                select doc_id, line, row_number() over (partition by doc_id, line) as k
+                from (select doc_id, unnest(string_split(text, chr(10))) as line from w)
+                where regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+            ) group by doc_id
+        ),
+        measured as (
+            select doc_id, cast(len(ws) as bigint) as n_words,
+                {long("list_sum(list_transform(ws, lambda x: length(x)))")} as word_chars,
+                cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+                {long("n_dup")} as n_dup_lines, {long(f"words_{rules.window}")} as n_repeat_words,
+                {long("line_chars")} as line_chars, {long("dup_chars")} as dup_line_chars, {grams}
+            from w left join lines using (doc_id) {joins}
+        )
+        select *, base_failed = false and not (
+            dup_line_chars > {rules.max_line_share!r}::double * line_chars or {too_much}) as kept
+        from (
+            select *, n_words < {rules.min_words} or 100 * n_repeat_words > {rules.max_repeat_pct} * n_words as base_failed
+            from measured)"""
 
 
 QUERIES = {
@@ -159,4 +216,5 @@ ORACLE: dict[str, str] = {
                 as loss_sha256,
             cast(sum(chars) as bigint) as formatted_chars
         from sized group by conv_id""",
+    "op10_quality_rules": _quality_sql(),
 }
