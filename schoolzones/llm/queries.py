@@ -86,6 +86,64 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def _leaks_sql() -> str:
+    """The same definition in SQL, over all pairs of windows with equal templates."""
+    token, size = decontaminate._TOKEN.replace("'", "''"), decontaminate.WINDOW
+    units = ", ".join(f"'{u}'" for u in decontaminate.UNITS)
+    number, unit, name = (f"chr({i})" for i in (1, 2, 3))
+    slot = f"in ({number}, {unit}, {name})"
+
+    def texts(table: str, key: str) -> str:
+        return f"""
+            select key, raw, list_transform(raw, lambda x, i: case
+                when x >= '0' and x < ':' then {number}
+                when rtrim(x, '.!?') <> lower(rtrim(x, '.!?')) and length(rtrim(x, '.!?')) > 1
+                    and rtrim(x, '.!?')[2:] = lower(rtrim(x, '.!?'))[2:]
+                    and i > 1 and right(raw[i - 1], 1) not in ('.', '!', '?') then {name}
+                when i > 1 and raw[i - 1] >= '0' and raw[i - 1] < ':' and lower(rtrim(x, '.!?')) in ({units}) then {unit}
+                else lower(rtrim(x, '.!?')) end) as keys
+            from (select {key} as key, regexp_extract_all(coalesce(text, ''), '{token}') as raw from {table})"""
+
+    def windows(table: str) -> str:
+        return f"""
+            select key, pos, array_to_string(keys[pos + 1 : pos + {size}], ' ') as t, keys[pos + 1 : pos + {size}] as part
+            from (select *, unnest(range(0, len(keys) - {size - 1})) as pos from {table} where len(keys) >= {size})"""
+
+    return f"""
+        with items as ({texts('benchmark', 'item_id')}),
+        docs as ({texts('documents', 'doc_id')}),
+        wanted as (
+            select key as item, t, min(pos) as wpos from ({windows('items')})
+            where len(list_filter(part, lambda x: x {slot})) <= {decontaminate.MAX_PLACEHOLDERS} group by 1, 2
+        ),
+        sizes as (select item, count(*) as n_windows from wanted group by 1),
+        met as (select key as doc, item, t, pos - wpos as shift from ({windows('docs')}) join wanted using (t)),
+        enough as (
+            select doc, item, count(distinct t) as n_matched, n_windows from met join sizes using (item)
+            group by doc, item, n_windows having count(distinct t) >= {decontaminate.MIN_SHARE} * n_windows
+        ),
+        best as (
+            select doc, item, arg_max(shift, (n, -shift)) as shift
+            from (select doc, item, shift, count(distinct t) as n from met group by 1, 2, 3) group by 1, 2
+        ),
+        slots as (
+            select doc, item, kind, lower(rtrim(a, '.!?')) as a, lower(rtrim(b, '.!?')) as b from (
+                select doc, item, i.keys[p] as kind, i.raw[p] as a, d.keys[p + shift] as other, d.raw[p + shift] as b
+                from (select *, unnest(range(1, 1 + (select max(len(keys)) from items))) as p from best)
+                join items i on i.key = item join docs d on d.key = doc
+                where p + shift between 1 and len(d.keys)
+            ) where kind {slot} and kind = other
+        ),
+        renamed as (
+            select doc, item, count(*) as n_slots, count(distinct (kind, a, b)) as pairs,
+                count(distinct (kind, a)) as n_a, count(distinct (kind, b)) as n_b
+            from slots group by 1, 2
+        )
+        select doc as doc_id, item as item_id, n_windows, n_matched, cast(coalesce(n_slots, 0) as bigint) as n_slots
+        from enough left join renamed using (doc, item)
+        where n_slots is null or (pairs = n_a and pairs = n_b)"""
+
+
 #: The key of the surrogates; a release of data takes its own.
 SURROGATE_KEY = "a key for each release"
 
@@ -216,5 +274,6 @@ ORACLE: dict[str, str] = {
                 as loss_sha256,
             cast(sum(chars) as bigint) as formatted_chars
         from sized group by conv_id""",
+    "op8_decontamination": _leaks_sql(),
     "op10_quality_rules": _quality_sql(),
 }
