@@ -75,7 +75,65 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     place = F.concat_ws("/", F.lit("corpus"), "source", "lang", F.expr("doc_id div 100").cast("string"), F.col("doc_id").cast("string"))
     files = table(spark, folder, "documents").select(place.alias("path"), "text")
     doc_id = F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id")
-    return license_scan.scan(files).select(doc_id, "path", "license", "cosine", "origin", "directory")
+    found = license_scan.scan(files).withColumn("cosine", F.round("cosine", 6))
+    return found.select(doc_id, "path", "license", "cosine", "origin", "directory")
+
+
+def _licenses_sql() -> str:
+    """The same definition in SQL; here all files lie in directories of one depth, so one step up is enough."""
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    templates = ", ".join(f"({i}, {quoted(name)}, {quoted(text)})" for i, (name, text) in enumerate(license_scan.TEMPLATES))
+    cue, term = quoted(license_scan._CUE), quoted(license_scan._TERM)
+    return f"""
+        with files as (
+            select doc_id, concat_ws('/', 'corpus', source, lang, doc_id // 100, doc_id) as path,
+                coalesce(text, '') as text from documents
+        ),
+        said as (
+            select doc_id, path, n_words, part, regexp_extract_all(lower(part), {term}) as terms from (
+                select doc_id, path, len(regexp_split_to_array(trim(text), '[\\x20\\x09-\\x0D]+')) as n_words,
+                    unnest(string_split(regexp_replace(text, '([.!?])[ \\t]+(\\p{{Lu}})', '\\1' || chr(10) || '\\2', 'g'), chr(10))) as part
+                from files
+            ) where regexp_matches(part, {cue})
+        ),
+        templates(template, license, text) as (values {templates}),
+        known as (select template, license, regexp_extract_all(lower(text), {term}) as terms from templates),
+        total as (select (select count(*) from said) + (select count(*) from known) as n),
+        seen as (
+            select term, count(*) as df from (
+                select unnest(list_distinct(terms)) as term from said
+                union all select unnest(list_distinct(terms)) from known
+            ) group by 1
+        ),
+        idf as (select term, ln((1 + n) / (1 + df)) + 1 as idf from seen, total),
+        vectors as (
+            select id, term, tf * idf / sqrt(sum(tf * idf * tf * idf) over (partition by id)) as w from (
+                select id, term, count(*) as tf from (
+                    select part as id, unnest(terms) as term from (select distinct part, terms from said)
+                    union all select '#' || template, unnest(terms) from known
+                ) group by 1, 2
+            ) join idf using (term)
+        ),
+        close as (
+            select a.id as part, b.id as template, round(sum(a.w * b.w), 9) as cosine
+            from vectors a join vectors b using (term)
+            where b.id in (select '#' || template from known) and a.id not in (select '#' || template from known)
+            group by 1, 2 having round(sum(a.w * b.w), 9) >= {license_scan.MIN_COSINE}
+        ),
+        own as (
+            select doc_id, path, arg_min(license, (-cosine, license)) as license, max(cosine) as cosine,
+                max(len(said.terms) / n_words) as share
+            from said join close using (part) join known k on '#' || k.template = close.template group by 1, 2
+        ),
+        home as (
+            select regexp_replace(path, '/[^/]*$', '') as directory, arg_min(license, path) as license2,
+                arg_min(cosine, path) as cosine2
+            from own where share >= 0.5 group by 1
+        )
+        select f.doc_id, f.path, coalesce(license, license2) as license, round(coalesce(cosine, cosine2), 6) as cosine,
+            case when license is not null then 'own' when license2 is not null then 'inherited' end as origin,
+            case when license is null and license2 is not null then directory end as directory
+        from files f left join own using (doc_id) left join home on home.directory = regexp_replace(f.path, '/[^/]*$', '')"""
 
 
 def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
@@ -274,6 +332,7 @@ ORACLE: dict[str, str] = {
                 as loss_sha256,
             cast(sum(chars) as bigint) as formatted_chars
         from sized group by conv_id""",
+    "op6_license_scan": _licenses_sql(),
     "op8_decontamination": _leaks_sql(),
     "op10_quality_rules": _quality_sql(),
 }
