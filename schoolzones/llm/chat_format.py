@@ -75,25 +75,29 @@ def paths(messages: DataFrame, best: int = 1) -> DataFrame:
         F.col("score").alias("total"),
         F.lit(1).cast("long").alias("depth"),
     )
-    jumps, rounds = [stored(start, "jumps")], math.ceil(math.log2(ids.count() + 1)) + 1
-    while len(jumps) <= rounds and not jumps[-1].where("up is not null").isEmpty():
-        near = jumps[-1].alias("a")
-        far = jumps[-1].select(
+    state, rounds = stored(start, "jumps"), math.ceil(math.log2(ids.count() + 1)) + 1
+    done, jumps = state.where("up is null"), []
+    open_ = state.where("up is not null")
+    while len(jumps) < rounds and not open_.isEmpty():  # only messages below a root not yet reached go on
+        jumps.append(open_)
+        far = done.union(open_).select(
             *_KEY,
             F.col("node").alias("up"),
             F.col("up").alias("up2"),
             F.col("total").alias("total2"),
             F.col("depth").alias("depth2"),
         )
-        joined = near.join(far, [*_KEY, "up"], "left").select(
-            *_KEY,
-            "node",
-            F.col("up2").alias("up"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
+        state = stored(
+            open_.join(far, [*_KEY, "up"]).select(
+                *_KEY,
+                "node",
+                F.col("up2").alias("up"),
+                (F.col("total") + F.col("total2")).alias("total"),
+                (F.col("depth") + F.col("depth2")).alias("depth"),
+            ),
+            "jumps",
         )
-        jumps.append(stored(joined, "jumps"))
-    done = jumps[-1].where("up is null")
+        done, open_ = done.union(state.where("up is null")), state.where("up is not null")
     parents = ids.where("parent is not null").select(*_KEY, F.col("parent").alias("node"))
     ranked = Window.partitionBy(*_KEY).orderBy(F.desc("total"), "node")
     reached = (
@@ -103,8 +107,8 @@ def paths(messages: DataFrame, best: int = 1) -> DataFrame:
         .select(*_KEY, F.col("node").alias("leaf"), "branch", "node", F.col("depth").alias("pos"))
     )
     reached = stored(reached, "reached")
-    for k, jump in enumerate(jumps[:-1]):
-        up = jump.where("up is not null").select(*_KEY, "node", "up")
+    for k, jump in enumerate(jumps):
+        up = jump.select(*_KEY, "node", "up")
         higher = reached.join(up, [*_KEY, "node"]).select(
             *_KEY, "leaf", "branch", F.col("up").alias("node"), (F.col("pos") - (1 << k)).alias("pos")
         )
