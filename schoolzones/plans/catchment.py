@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify, constants as K, geo, text
 from ..operators import aggregates, ranks, reshape, spatial
@@ -83,6 +83,12 @@ def school_metrics(schools: DataFrame, representation: DataFrame, metrics: DataF
     return schools.join(representation.select(SCHOOL, *ri), SCHOOL, "left").join(metrics, SCHOOL, "left")
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    """A double; only text has to be parsed."""
+    is_text = dict(df.dtypes)[column] == "string"
+    return text.no_nan(text.to_number(column) if is_text else F.col(column).cast("double"))
+
+
 def income_statistics(assignment: DataFrame, census: DataFrame) -> DataFrame:
     """Weighted median, mean and deviation of the zones' income per school."""
     zones = (
@@ -91,8 +97,8 @@ def income_statistics(assignment: DataFrame, census: DataFrame) -> DataFrame:
         .select(
             SCHOOL,
             "geoid",
-            text.no_nan(text.to_number("total_population")).alias("total_population"),
-            text.no_nan(text.to_number("median_income")).alias("median_income"),
+            _number(census, "total_population").alias("total_population"),
+            _number(census, "median_income").alias("median_income"),
         )
         .dropna()
     )
