@@ -20,8 +20,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _own(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A new path in this application's folder there."""
+    return f"{_own(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application has stored; no DataFrame that reads it may be used after."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
