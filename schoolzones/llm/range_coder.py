@@ -16,7 +16,9 @@ import numpy as np
 
 _U = np.uint64
 _TOP, _BOTTOM, _WORD = _U(1 << 48), _U(1 << 32), _U(16)
-_LANE_IDS, _MOST_LANES = 512, 2048
+_LANE_IDS, _MOST_LANES = 512, 4096
+#: Steps after which the sums of the counts are made anew; at first after every step.
+_EVERY, _AT_FIRST = 4, 32
 _MOST_SURE = 7
 _TABLE_BITS = 20
 
@@ -30,46 +32,47 @@ def _shape(n: int) -> tuple[int, int]:
 
 class _Model:
     def __init__(self, vocabulary: int, lanes: int):
-        self.counts = np.ones(vocabulary, np.int64)
-        self.right = np.ones(((_MOST_SURE + 1) * (_MOST_SURE + 1) * 2, 3), np.int64)
-        self.guess1, self.sure1 = np.zeros(vocabulary, np.int64), np.zeros(vocabulary, np.int64)
-        self.guess2, self.sure2 = np.zeros(1 << _TABLE_BITS, np.int64), np.zeros(1 << _TABLE_BITS, np.int64)
+        self.counts, self.steps = np.ones(vocabulary, np.int64), 0
+        self.right = np.ones((_MOST_SURE + 1) * (_MOST_SURE + 1) * 2 * 3, np.int64)
+        self.guess1, self.sure1 = np.zeros(vocabulary, np.int32), np.zeros(vocabulary, np.int8)
+        self.guess2, self.sure2 = np.zeros(1 << _TABLE_BITS, np.int32), np.zeros(1 << _TABLE_BITS, np.int8)
         self.last, self.older = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
     def predict(self, k: int) -> None:
         """For the first ``k`` lanes: the two named ids, and the counts of who was right at such confidences."""
-        self.at1 = self.last[:k]
+        self.at1 = self.last[:k].copy()
         self.at2 = ((self.older[:k] * 0x9E3779B1 + self.at1 * 0x85EBCA6B) >> 7) & ((1 << _TABLE_BITS) - 1)
         self.id1, self.id2 = self.guess1[self.at1], self.guess2[self.at2]
-        s1, s2 = self.sure1[self.at1], self.sure2[self.at2]
-        self.state = (s2 * (_MOST_SURE + 1) + s1) * 2 + (self.id1 == self.id2)
-        weights = self.right[self.state]
-        self.edge1 = weights[:, 0]
-        self.edge0 = self.edge1 + weights[:, 1]
-        self.sum = self.edge0 + weights[:, 2]
-        self.ends = np.cumsum(self.counts)
+        self.now1, self.now2 = self.sure1[self.at1], self.sure2[self.at2]
+        state = (self.now2 * np.int64(_MOST_SURE + 1) + self.now1) * 2 + (self.id1 == self.id2)
+        edges = np.cumsum(self.right.reshape(-1, 3), axis=1).astype(_U)
+        self.state, self.edge1, self.edge0, self.sum = state, edges[state, 0], edges[state, 1], edges[state, 2]
+        if self.steps < _AT_FIRST or self.steps % _EVERY == 0:
+            self.sizes = self.counts.astype(_U)
+            self.ends = np.cumsum(self.sizes)
+        self.steps += 1
 
     def who(self, ids: np.ndarray) -> np.ndarray:
         """0 where order 2 is right, 1 where only order 1 is, else 2."""
         return np.where(ids == self.id2, 0, np.where(ids == self.id1, 1, 2))
 
     def learn(self, ids: np.ndarray, who: np.ndarray) -> None:
-        np.add.at(self.right, (self.state, who), 8)
+        self.right += 8 * np.bincount(self.state * 3 + who, minlength=len(self.right))
         np.add.at(self.counts, ids, 24)
-        for guess, sure, at, named in (
-            (self.guess1, self.sure1, self.at1.copy(), self.id1),
-            (self.guess2, self.sure2, self.at2, self.id2),
+        for guess, sure, at, named, now in (
+            (self.guess1, self.sure1, self.at1, self.id1, self.now1),
+            (self.guess2, self.sure2, self.at2, self.id2, self.now2),
         ):
-            hit, now = named == ids, sure[at]
+            hit = named == ids
             guess[at] = np.where(hit | (now > 1), named, ids)
-            sure[at] = np.where(hit, np.minimum(now + 1, _MOST_SURE), np.where(now > 1, now >> 1, 1))
+            sure[at] = np.where(hit, np.minimum(now + 1, _MOST_SURE), np.maximum(now >> 1, 1))
         k = len(ids)
         self.older[:k] = self.last[:k]
         self.last[:k] = ids
 
 
 def _interval(model: _Model, who: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    below = np.where(who == 0, 0, np.where(who == 1, model.edge1, model.edge0))
+    below = np.where(who == 0, _U(0), np.where(who == 1, model.edge1, model.edge0))
     above = np.where(who == 0, model.edge1, np.where(who == 1, model.edge0, model.sum))
     return below, above - below
 
@@ -98,9 +101,9 @@ def encode(ids: np.ndarray, vocabulary: int) -> np.ndarray:
 
     def narrow(which, below, size, of) -> None:
         l, w = low[which], width[which]
-        part = w // of.astype(_U)
-        l = l + part * below.astype(_U)
-        w = part * size.astype(_U)
+        part = w // of
+        l = l + part * below
+        w = part * size
         while len(out := _settled(l, w)):
             by.append(which[out])
             words.append((l[out] >> _U(48)).astype(np.uint16))
@@ -117,8 +120,8 @@ def encode(ids: np.ndarray, vocabulary: int) -> np.ndarray:
         narrow(every[:k], *_interval(model, who), model.sum)
         new = np.flatnonzero(who == 2)
         if len(new):
-            size = model.counts[x[new]]
-            narrow(new, model.ends[x[new]] - size, size, np.broadcast_to(model.ends[-1:], len(new)))
+            size = model.sizes[x[new]]
+            narrow(new, model.ends[x[new]] - size, size, model.ends[-1])
         model.learn(x, who)
     given = sum(map(len, by))
     for _ in range(4):
@@ -150,16 +153,14 @@ def decode(words: np.ndarray, n: int, vocabulary: int) -> np.ndarray:
         at += lanes
 
     def place(which, of) -> np.ndarray:
-        return np.minimum((code[which] - low[which]) // (width[which] // of.astype(_U)), of.astype(_U) - _U(1)).astype(
-            np.int64
-        )
+        return np.minimum((code[which] - low[which]) // (width[which] // of), of - _U(1))
 
     def narrow(which, below, size, of) -> None:
         nonlocal at
         l, w, c = low[which], width[which], code[which]
-        part = w // of.astype(_U)
-        l = l + part * below.astype(_U)
-        w = part * size.astype(_U)
+        part = w // of
+        l = l + part * below
+        w = part * size
         while len(out := _settled(l, w)):
             l[out] <<= _WORD
             w[out] <<= _WORD
@@ -174,12 +175,12 @@ def decode(words: np.ndarray, n: int, vocabulary: int) -> np.ndarray:
         v = place(every[:k], model.sum)
         who = (v >= model.edge1).astype(np.int64) + (v >= model.edge0)
         narrow(every[:k], *_interval(model, who), model.sum)
-        x = np.where(who == 0, model.id2, model.id1)
+        x = np.where(who == 0, model.id2, model.id1).astype(np.int64)
         new = np.flatnonzero(who == 2)
         if len(new):
-            of = np.broadcast_to(model.ends[-1:], len(new))
+            of = model.ends[-1]
             found = np.searchsorted(model.ends, place(new, of), side="right")
-            size = model.counts[found]
+            size = model.sizes[found]
             narrow(new, model.ends[found] - size, size, of)
             x[new] = found
         model.learn(x, who)

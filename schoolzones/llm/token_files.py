@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .range_coder import decode, encode
-from .store import new_path
+from .store import new_path, stored
 
 MAGIC = b"ACM1"
 _HEAD = struct.Struct("<4s6I")
 _CHECK = struct.Struct("<I")
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 21
 #: Bytes of text for each file.
 PART_BYTES = 32 << 20
 
@@ -199,6 +199,8 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     found = files.mapInArrow(unpack, schema)
+    if not with_ids:
+        found = stored(found, "token-counts")  # decoded once; it is summed and then joined
     totals = found.groupBy("part").agg(F.sum("n_tokens").alias("held"))
     before = totals.select(
         F.col("part").alias("p"),
