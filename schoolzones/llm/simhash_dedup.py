@@ -83,7 +83,9 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
         docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints"
     )
     distinct = points.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = connected(links(distinct.select("fp")))
+    # The distinct fingerprints are few bytes but 65 variants each, so they are spread before they fan out.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    roots = connected(links(distinct.select("fp").repartition(parts, F.xxhash64("fp"))))
     labelled = stored(
         distinct.join(roots, distinct.fp == roots.node, "left").select(
             "fp", "least", F.coalesce("root", "fp").alias("root")
