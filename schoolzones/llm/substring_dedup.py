@@ -37,8 +37,8 @@ from .text import Words, _mixed, chunks, encoded, stable_codes
 
 DEPTH = 50
 GRAM = 10
-#: Regions of one prefix that are put into one tree; with about 70 words each, some megabytes.
-GROUP_REGIONS = 16_384
+#: Regions of one prefix that are put into one tree; with about 70 words each, a megabyte or two.
+GROUP_REGIONS = 2_048
 BATCH_BYTES = 8 << 20
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 

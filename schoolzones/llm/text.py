@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -34,8 +35,8 @@ def chunks(texts: Iterable[str | None], size: int = 1 << 20) -> Iterator[list[by
 class Words:
     """The words of several texts in one sequence.
 
-    ``text_of[i]`` is the text of word ``i``, ``count`` the words per text, ``codes`` a 64-bit code per word and
-    ``chars`` its code points.
+    ``text_of[i]`` is the text of word ``i``, ``count`` the words per text, ``codes`` a 64-bit code per word (good
+    within this process) and ``chars`` its code points.
     """
 
     def __init__(self, texts: list[bytes]):
@@ -43,7 +44,10 @@ class Words:
         self.words = list(chain.from_iterable(split))
         self.count = np.fromiter(map(len, split), np.int64, len(split))
         self.text_of = np.repeat(np.arange(len(split)), self.count)
-        self.codes = np.fromiter(map(hash, self.words), np.int64, len(self.words)).view(np.uint64)
+
+    @cached_property
+    def codes(self) -> np.ndarray:
+        return np.fromiter(map(hash, self.words), np.int64, len(self.words)).view(np.uint64)
 
     @property
     def chars(self) -> np.ndarray:
