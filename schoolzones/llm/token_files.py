@@ -127,12 +127,17 @@ def write(
         encoder = Tokenizer.from_str(shipped.value)
         vocabulary, part, number, waiting = encoder.get_vocab_size(), TaskContext.get().partitionId(), 0, Entries()
         vocabulary = max(vocabulary, end_id + 1)
+        last, ids = None, None  # repeated rows follow each other; their text is encoded once
         for batch in batches:
             ids_of, texts = batch.column(0).to_pylist(), batch.column(1)
             for begin in range(0, len(ids_of), 256):
                 some = [x or "" for x in texts[begin : begin + 256].to_pylist()]
-                for key, found in zip(ids_of[begin : begin + 256], encoder.encode_batch_fast(some, add_special_tokens=False)):
-                    waiting.add(key, np.array([*found.ids, end_id], np.int64))
+                new = [t for t, before in zip(some, [last, *some]) if t != before]
+                encoded_new = iter(encoder.encode_batch_fast(new, add_special_tokens=False))
+                for key, text in zip(ids_of[begin : begin + 256], some):
+                    if text != last:
+                        last, ids = text, np.array([*next(encoded_new).ids, end_id], np.int64)
+                    waiting.add(key, ids)
                 while waiting.total >= block_ids:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([waiting.cut(block_ids).block(part, number, vocabulary)], pa.binary())], ["block"]

@@ -53,6 +53,7 @@ def test_small_vocabulary():
 def test_files_equal_the_tokenizer(spark, documents, texts, part_bytes, block_ids, tmp_path):
     values = texts(60) + ["<|endoftext|> # \u0000 \U0001f600", None, "", "#"]
     ids = [(i * 31) % 997 for i in range(len(values) - 4)] + [None, None, 5000, 5000]
+    values, ids = values + [values[4], values[4], values[7]], ids + [6000] * 3  # repeated rows
     folder = str(tmp_path / "files")
     token_files.write(documents(values, ids), folder, path(), part_bytes=part_bytes, block_ids=block_ids)
     got = token_files.read(spark, folder, with_ids=True)
