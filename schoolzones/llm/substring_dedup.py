@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import stored
-from .text import Words, _mixed, chunks, encoded, stable_codes
+from .text import Words, scrambled, chunks, encoded, stable_codes
 
 DEPTH = 50
 GRAM = 10
@@ -50,13 +50,13 @@ def _grams(codes: np.ndarray, n: int, step: np.uint64 = _STEP) -> np.ndarray:
     rolled = codes[: len(codes) - n + 1].copy()
     for j in range(1, n):
         rolled = rolled * step + codes[j : len(codes) - n + 1 + j]
-    return _mixed(rolled)
+    return scrambled(rolled)
 
 
 def routes(codes: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with the same least gram: (first window, number of windows, gram), in order of the words."""
     if len(codes) < DEPTH:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.int64),)
+        return (np.zeros(0, np.int64),) * 3
     least, span, wanted = _grams(codes, GRAM), 1, DEPTH - GRAM + 1
     while span < wanted:  # a sliding minimum whose span doubles
         more = min(span, wanted - span)
@@ -127,7 +127,7 @@ def _cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first, n = first[use], n[use]
             at = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])).astype(np.int64), n) + np.arange(n.sum())
             if len(at):
-                h1, h2 = _grams(codes, DEPTH), _grams(_mixed(codes), DEPTH, np.uint64(0xA0761D6478BD642F))
+                h1, h2 = _grams(codes, DEPTH), _grams(scrambled(codes), DEPTH, np.uint64(0xA0761D6478BD642F))
                 same = np.full(len(at), doc_id)
                 yield _rows([h1[at].view(np.int64), h2[at].view(np.int64), same, np.full(len(at), key), at], kinds)
 

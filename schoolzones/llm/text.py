@@ -72,7 +72,7 @@ def _power(name: str, n: int) -> np.ndarray:
     return held
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def scrambled(x: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -85,4 +85,4 @@ def stable_codes(words: list[bytes]) -> np.ndarray:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
     starts = np.concatenate(([0], ends[:-1])).astype(np.int64) if len(words) else ends
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(buffer * _power("up", len(buffer))[: len(buffer)])))
-    return _mixed((sums[ends] - sums[starts]) * _power("down", len(buffer) + 1)[starts])
+    return scrambled((sums[ends] - sums[starts]) * _power("down", len(buffer) + 1)[starts])
