@@ -1,7 +1,9 @@
 """Personal data replaced by surrogates.
 
 Found are e-mail addresses, phone numbers, card numbers, IPv4 addresses, social security numbers, secrets assigned to a
-name (token, key, password), and person names after a title. Each is reduced to a key (letters in lower case, digits
+name (token, key, password), and person names after a title, to their last word, with the particles between. Where a name
+was found, its words are also found without a title anywhere in the same text (written with a capital; a final s may
+follow); initials before a name and particles stay as they are. Each is reduced to a key (letters in lower case, digits
 only), so mentions written differently are one entity; a name is an entity per given name or surname, so that "Mr. Smith"
 stays the "John Smith" of before. A surrogate is drawn from a keyed hash of the key and has its shape: digits for digits,
 letters for letters of the same script, hexadecimal for hexadecimal, a card that passes the Luhn test if the card did,
@@ -21,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,6 +39,13 @@ OTHER_TITLES = "Dr Prof Professor Mx".split()
 FEMALE = set("mary anna emma maria laura sarah julia lisa sophie marie claire lucia elena carmen jane susan linda karen".split())
 MALE = set("john james robert michael david peter paul thomas hans klaus pierre jean luis carlos juan jose mark george".split())
 
+#: What may stand between the words of a name in small letters, and what may follow it.
+PARTICLES = set(
+    "de la las los del della dalla dell dall di da do das dos d du des le l van von vom der den het t ter ten te zu zum "
+    "zur af av y e i al el ad ibn bin bint ben ap".split()
+)
+SUFFIXES = set("Jr Jnr Snr II III IV".split())
+
 _TITLES = MALE_TITLES + FEMALE_TITLES + OTHER_TITLES
 _EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
 _SECRET = re.compile(
@@ -49,31 +59,80 @@ _NUMBERS = [
     ("phone", re.compile(r"(?<![\d+])\+\d{8,15}(?!\d)")),
 ]
 _TITLE = re.compile(r"\b(?P<t>" + "|".join(_TITLES) + r")\b\.?(?=[ \t])")
-_NEXT = re.compile(r"[ \t]+(?P<v>[^\W\d_]+(?:[-'’][^\W\d_]+)*)")
+_NEXT = re.compile(r"(?:[ \t]+['’]?|(?<=\.)|(?<=['’]))(?P<v>[^\W\d_]+(?:[-'’][^\W\d_]+)*)")
 _PART = re.compile(r"[^\W\d_]+")
 
 Find = tuple[int, int, str, str]  # begin, end, type, key
 
 
+def _words(text: str, at: int) -> Iterator[re.Match]:
+    """The parts of the name that begins at ``at``, with the particles that lead to one of them."""
+    waiting: list[re.Match] = []
+    while word := _NEXT.match(text, at):
+        if word["v"] in _TITLES or word["v"] in SUFFIXES:
+            return
+        parts = list(_PART.finditer(text, *word.span("v")))
+        at = word.end()
+        first = next((i for i, p in enumerate(parts) if p.group()[0].isupper()), len(parts))
+        if any(p.group() not in PARTICLES for p in parts[:first]):
+            return
+        waiting += parts
+        if first < len(parts):
+            yield from waiting
+            waiting = []
+            if len(word["v"]) == 1 and text[at : at + 1] == "." and (then := _NEXT.match(text, at + 1)):
+                # An initial, if a name goes on after it; it may also end a sentence.
+                if then["v"][0].isupper() or then["v"] in PARTICLES:
+                    at += 1
+
+
 def _names(text: str) -> Iterator[Find]:
     if not any(t in text for t in _TITLES):
         return
+    kinds: dict[str, dict[str, str]] = {"given": {}, "surname": {}}
     for m in _TITLE.finditer(text):
-        parts, at = [], m.end()
-        for _ in range(3):
-            word = _NEXT.match(text, at)
-            if not word or not word["v"][0].isupper() or word["v"] in _TITLES:
-                break
-            parts += _PART.finditer(text, *word.span("v"))
-            at = word.end()
+        parts = list(_words(text, m.end()))
+        family = False  # after a particle, all is surname
         for i, p in enumerate(parts):
-            low, given = p.group().lower(), len(parts) > 1 and i < len(parts) - 1
-            if not given:
-                yield p.start(), p.end(), "surname", low
+            word, last = p.group(), i == len(parts) - 1
+            low = word.lower()
+            if not word[0].isupper():
+                family = True
+                continue
+            if len(word) == 1 and not last and text[p.end()] == ".":
                 continue
-            female = m["t"] in FEMALE_TITLES or m["t"] not in MALE_TITLES and low in FEMALE
-            male = m["t"] in MALE_TITLES or m["t"] not in FEMALE_TITLES and low in MALE
-            yield p.start(), p.end(), "given_f" if female else "given_m" if male else "given", low
+            if last or family:
+                kind = "surname"
+            else:
+                female = m["t"] in FEMALE_TITLES or m["t"] not in MALE_TITLES and low in FEMALE
+                male = m["t"] in MALE_TITLES or m["t"] not in FEMALE_TITLES and low in MALE
+                kind = "given_f" if female else "given_m" if male else "given"
+            if len(word) > 1 and low not in PARTICLES:
+                kinds["surname" if kind == "surname" else "given"].setdefault(low, kind)
+            yield p.start(), p.end(), kind, low
+    if kinds["given"] or kinds["surname"]:
+        yield from _untitled(text, **kinds)
+
+
+def _untitled(text: str, given: dict[str, str], surname: dict[str, str]) -> Iterator[Find]:
+    """Every mention of the names (in small letters, with their types) that a text has after titles."""
+
+    def known(p: re.Match) -> str | None:
+        low = p.group().lower()
+        if not p.group()[0].isupper():
+            return None
+        for key in (low, low[:-1]) if low.endswith("s") else (low,):
+            if key in given or key in surname:
+                return key
+
+    before: tuple[re.Match, str] | None = None
+    for p in [*_PART.finditer(text), None]:
+        if before:
+            q, key = before
+            # What can be both is a given name if another name follows.
+            first = key not in surname or p is not None and known(p) and text[q.end() : p.start()].strip(" \t") == ""
+            yield q.start(), q.start() + len(key), given[key] if key in given and first else surname[key], key
+        before = (p, key) if p is not None and (key := known(p)) else None
 
 
 def detect(text: str | None) -> list[Find]:
@@ -90,12 +149,12 @@ def detect(text: str | None) -> list[Find]:
             keep = (lambda s: s) if kind == "ip" else (lambda s: re.sub(r"\D", "", s))
             found += [(*m.span(), kind, keep(m.group())) for m in pattern.finditer(text)]
     found += _names(text)
-    taken, out = [], []
-    for f in found:  # few in any text
-        if all(f[1] <= b or f[0] >= e for b, e in taken):
-            taken.append(f[:2])
-            out.append(f)
-    return sorted(out)
+    out: list[Find] = []
+    for f in found:
+        at = bisect_left(out, f[:2])
+        if (at == 0 or out[at - 1][1] <= f[0]) and (at == len(out) or f[1] <= out[at][0]):
+            out.insert(at, f)
+    return out
 
 
 class _Draw:

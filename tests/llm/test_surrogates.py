@@ -116,3 +116,29 @@ def test_long_text(documents, n):
     long = "word " * n + "a@b.example " + "x" * n
     row = surrogates.pseudonymized(documents([long]), "key").first()
     assert row["n_found"] == 1 and len(row["text"]) == len(long) and "a@b.example" not in row["text"]
+
+
+NAMES = [
+    ("Mr. John Ronald Reuel Tolkien wrote.", "John:given_m Ronald:given_m Reuel:given_m Tolkien:surname"),
+    ("Mr. Juan de la Cruz and Frau von der Leyen", "Juan:given_m Cruz:surname Leyen:surname"),
+    ("Monsieur Valéry Giscard d'Estaing; Mr. Harun al-Rashid", "Valéry:given_m Giscard:given_m Estaing:surname Harun:given_m Rashid:surname"),
+    ("Mr. J. R. R. Tolkien, Mr. J.R.R. Tolkien and Mr. John F. Kennedy", "Tolkien:surname Tolkien:surname John:given_m Kennedy:surname"),
+    ("Dr. Anna Weber came. WEBER said that Anna went; Weber's and Webers weber", "Anna:given_f Weber:surname WEBER:surname Anna:given_f Weber:surname Weber:surname"),
+    ("Weber? Who is Dr. Weber of de Weber-Haus", "Weber:surname Weber:surname Weber:surname"),
+    ("Mr. Paul Smith met Mr. Peter Paul. Paul Smith left Paul.", "Paul:given_m Smith:surname Peter:given_m Paul:surname Paul:given_m Smith:surname Paul:surname"),
+    ("Mr. John Smith Jr. de novo", "John:given_m Smith:surname"),
+]
+
+
+@pytest.mark.parametrize("text,want", NAMES)
+def test_whole_names_and_untitled_mentions(text, want):
+    assert " ".join(f"{text[b:e]}:{k}" for b, e, k, _ in detect(text)) == want
+
+
+def test_no_name_is_left(documents):
+    text = "Dr. Anna Weber met Mr. John Ronald Reuel Tolkien. Weber said: Tolkien and Anna stay. " * 300
+    row = surrogates.pseudonymized(documents([text, "Weber alone"], ids=[1, 2]), "key").where("doc_id = 1").first()
+    assert row["n_found"] == 300 * 9
+    words = row["text"].split()
+    assert not {"Anna", "Weber", "John", "Ronald", "Reuel", "Tolkien"} & set(re.findall(r"\w+", row["text"]))
+    assert words[2] == words[9] and words[1] == words[13] and words[8] == words[11] + "."
