@@ -121,3 +121,60 @@ def test_empty_table_and_long_text(spark):
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([("a/b", "Released under the MIT License.")], "path string, text string")
     assert not re.search("Python|Pandas|Arrow", license_scan.scan(df)._jdf.queryExecution().toString())
+
+
+WRAPPED = {
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "BSD-3-Clause": """Copyright (c) 2020, Someone
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "Apache-2.0": """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+}
+WRAPPED["GPL-2.0"] = WRAPPED["GPL-3.0"].replace("software:", "software;").replace("version 3", "version 2")
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_wrapped_headers(spark, copies):
+    rows = []
+    for name, text in WRAPPED.items():
+        hashed = "\n".join(("# " + line).rstrip() for line in text.split("\n"))
+        starred = "/*\n" + "\n".join((" * " + line).rstrip() for line in text.split("\n")) + "\n */"
+        for k, t in enumerate([text, hashed, starred, text.replace("\n", "\r\n")]):
+            for c in range(copies):
+                rows.append((f"{name}/{k}-{c}/f", t + "\n\ncode = 1\n" + "word%d " % c * 200))
+    df = spark.createDataFrame(rows, "path string, text string")
+    got = {r["path"]: (r["license"], r["origin"]) for r in license_scan.scan(df).collect()}
+    assert {p: x for p, x in got.items() if x != (p.split("/")[0], "own")} == {}
