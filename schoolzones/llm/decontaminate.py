@@ -2,9 +2,9 @@
 
 Texts become word sequences in which numbers, names and units are typed placeholders, so a question with other values
 has the template of the original. Five-word template windows of the benchmark meet those of the documents in a hash
-join. A document that holds at least 0.8 of an item's windows is a candidate; it is reported if, on the best alignment,
-the values filled into the placeholders are a consistent renaming of the item's (equal values stay equal, different
-ones stay different).
+join. A document that holds at least 0.8 of an item's windows is a candidate; it is reported if the
+values filled into the placeholders are a consistent renaming of the item's (equal values stay equal, different ones
+stay different) on the best alignment, or on any other that by itself has 0.8 of the windows.
 
 All main work is Spark's own functions. The benchmark side of the join is broadcast only if its windows, counted
 first, are at most ``max_broadcast``; a larger benchmark is joined by shuffle.
@@ -146,9 +146,14 @@ def contaminated(
         .groupBy("doc_id", "row", "item_id")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("hs")))).alias("n_matched"),
-            F.max_by("shift", F.struct("n", -F.col("shift"))).alias("shift"),
+            F.max(F.struct("n", (-F.col("shift")).alias("less"))).alias("best"),
+            F.collect_list(F.struct("n", (-F.col("shift")).alias("less"))).alias("shifts"),
         )
     )
+    enough = lambda x: x.n >= F.col("n_windows") * MIN_SHARE
+    # The best alignment first, then the others that have enough windows of their own.
+    others = F.reverse(F.array_sort(F.filter("shifts", lambda x: enough(x) & (x != F.col("best")))))
+    shifts = F.transform(F.concat(F.array("best"), others), lambda x: -x.less)
     source = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.col(item_text)).alias("item_raw")).where(
         "item_id is not null"
     )
@@ -169,14 +174,16 @@ def contaminated(
             ),
         )
 
-    whole = F.struct("raw", "keys", "item_raw", "item_keys", "shift")
+    whole = F.transform("shifts", lambda at: F.struct("raw", "keys", "item_raw", "item_keys", at.alias("shift")))
+    consistent = F.filter(F.transform(whole, slots), _consistent)
     return (
         words.dropDuplicates(["doc_id", "row", "item_id"])
         .join(aligned, ["doc_id", "row", "item_id"])
         .where(F.col("n_matched") >= F.col("n_windows") * MIN_SHARE)
+        .withColumn("shifts", shifts)
         .join(source, "item_id")
-        .select("doc_id", "item_id", "n_windows", "n_matched", let(whole, slots).alias("slots"))
-        .where(_consistent(F.col("slots")))
+        .select("doc_id", "item_id", "n_windows", "n_matched", F.get(consistent, 0).alias("slots"))
+        .where("slots is not null")
         .groupBy("doc_id", "item_id")
         .agg(
             F.max("n_windows").cast("long").alias("n_windows"),

@@ -118,3 +118,12 @@ def test_no_python_in_the_plan(spark, documents):
     plan = decontaminate.contaminated(documents([QUESTION]), bench)
     text = plan._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", text)
+
+
+def test_exact_item_behind_an_inconsistent_copy(spark, documents):
+    bench = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    other = QUESTION.replace("36", "24")  # two values became one: not the item
+    docs = documents([f"{other} Then. {QUESTION}", f"{other} Then. {other}", f"{other} Then. {other} So. {OTHER} End. {other}"])
+    rows = decontaminate.contaminated(docs, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["n_slots"]) for r in rows) == [(0, 1, 10), (2, 1, 10)]
+    assert [r["doc_id"] for r in decontaminate.without_leaks(docs, bench).collect()] == [1]
