@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from . import (
     chat_format,
     decontaminate,
+    filter_audit,
     html_text,
     license_scan,
     mixing,
     quality_rules,
+    resampling,
     simhash_dedup,
     substring_dedup,
     surrogates,
     token_files,
+    warc,
 )
+from .store import new_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -276,6 +280,139 @@ def _quality_sql() -> str:
             from measured)"""
 
 
+def op11_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write(table(spark, folder, "pages"), path)
+    read = warc.records(warc.read(spark, path, with_payload=False))
+    return read.select(
+        warc.key_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        warc.key_of("refers_to").alias("refers_to"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("words", filter_audit.words_of(F.col("text")))
+    filters = filter_audit.standard_filters(F.col("text"), F.col("words"))
+    return filter_audit.audit(docs, table(spark, folder, "labels"), filters, copies="E")
+
+
+def _audit_sql() -> str:
+    """The same definition in SQL, over every order and row."""
+    letters = "['A', 'B', 'C', 'D', 'E']"
+    return f"""
+        with docs as (
+            select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, {_WORDS} as ws,
+                min(doc_id) over (partition by coalesce(text, '')) as least
+            from documents
+        ),
+        tagged as (
+            select doc_id, max(cast(quality = 1 as int)) as good, max(cast(toxic = 1 as int)) as toxic
+            from labels group by doc_id
+        ),
+        failing as (
+            select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic, list_filter([
+                case when len(ws) < 100 then 'A' end,
+                case when 100 * len(list_distinct(ws)) < 80 * len(ws) then 'B' end,
+                case when 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text) then 'C' end,
+                case when regexp_matches(text, '[#$%&*|]') then 'D' end,
+                case when doc_id > least then 'E' end
+            ], lambda x: x is not null) as fails
+            from docs left join tagged using (doc_id)
+        ),
+        orders as (
+            select a || b || c || d || e as filter_order
+            from (select unnest({letters}) as a), (select unnest({letters}) as b), (select unnest({letters}) as c),
+                (select unnest({letters}) as d), (select unnest({letters}) as e)
+            where len(list_distinct([a, b, c, d, e])) = 5
+        ),
+        steps as (
+            select filter_order, cast(step as int) as step, filter_order[step] as f, string_split(filter_order[1 : step - 1], '') as earlier
+            from (select *, unnest(range(1, 6)) as step from orders)
+        ),
+        kinds as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from failing group by all),
+        each as (
+            select part, filter_order, step, f, list_contains(fails, f) as hit,
+                len(list_intersect(fails, earlier)) > 0 as gone, len(fails) as n_fails, n, good, toxic
+            from kinds, steps
+        ),
+        counts as (
+            select part, filter_order, step, f,
+                coalesce(sum(n) filter (not gone and not hit), 0) as kept,
+                coalesce(sum(n) filter (hit and not gone), 0) as removed,
+                coalesce(sum(n) filter (hit and gone), 0) as redundant,
+                coalesce(sum(n) filter (hit and n_fails = 1), 0) as unique_fails,
+                coalesce(sum(good) filter (hit and not gone), 0) as good_lost,
+                coalesce(sum(toxic) filter (hit and not gone), 0) as toxic_lost
+            from each group by all
+        )
+        select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+            unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+            (sum(removed) over (partition by part, f))::bigint as shapley
+        from counts"""
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs, target = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return resampling.resample(docs, target).drop("n_words")
+
+
+def _resampling_sql() -> str:
+    """The same definition in SQL; CRC-32 byte by byte, over the distinct words."""
+    spec = resampling.Spec()
+    word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    step = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+    return f"""
+        with recursive bits as (
+            select i as byte, i::bigint as c, 0 as k from range(256) t(i)
+            union all select byte, {step}, k + 1 from bits where k < 8
+        ),
+        bytes as (select byte, c from bits where k = 8),
+        docs as (select doc_id, regexp_extract_all({lower}, '{word}') as ws from documents),
+        items as (select regexp_extract_all({lower}, '{word}') as ws from benchmark),
+        in_docs as (select doc_id, unnest(ws) as word from docs),
+        in_items as (select unnest(ws) as word from items),
+        words as (
+            select word, hex(encode(word)) as h from (select word from in_docs union select word from in_items)
+        ),
+        crc as (
+            select word, h, 4294967295::bigint as c, 0 as k from words
+            union all
+            select word, h, xor(crc.c >> 8, bytes.c), k + 1
+            from crc join bytes on bytes.byte = xor(crc.c & 255, ('0x' || h[2 * k + 1 : 2 * k + 2])::bigint)
+            where 2 * k < length(h)
+        ),
+        bucket_of as (select word, xor(c, 4294967295) % {spec.buckets} as bucket from crc where 2 * k = length(h)),
+        s as (select bucket, count(*) as s from in_docs join bucket_of using (word) group by 1),
+        t as (select bucket, count(*) as t from in_items join bucket_of using (word) group by 1),
+        totals as (select (select coalesce(sum(s), 0) from s) as ss, (select coalesce(sum(t), 0) from t) as tt),
+        gain as (
+            select b.bucket, floor(1000 * ln((coalesce(t, 0) + 1)::double * (ss + {spec.buckets})::double
+                / ((coalesce(s, 0) + 1)::double * (tt + {spec.buckets})::double)))::bigint as gain
+            from range({spec.buckets}) b(bucket) left join s using (bucket) left join t using (bucket), totals
+        ),
+        weights as (
+            select doc_id, count(*) as n, floor(sum(gain) / count(*))::bigint as weight
+            from in_docs join bucket_of using (word) join gain using (bucket) group by 1
+        ),
+        scored as (
+            select doc_id, coalesce(n, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+                coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln(
+                    (('0x' || sha256('{spec.key}:' || doc_id)[1:8])::bigint + 0.5)::double / 4294967296::double)))::bigint as score
+            from docs left join weights using (doc_id)
+        ),
+        ranked as (
+            select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n
+            from scored where n_features >= {spec.min_words}
+        )
+        select doc_id, n_features, weight, score, rank
+        from scored left join (select doc_id, rank from ranked where rank <= floor({spec.percent} * n / 100)) using (doc_id)"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -289,6 +426,9 @@ QUERIES = {
         op8_decontamination,
         op9_pii_surrogates,
         op10_quality_rules,
+        op11_warc_salvage,
+        op12_filter_audit,
+        op13_importance_resampling,
     )
 }
 #: Equal rows in SQL. The other operators are closures, coders, tree matches or keyed draws: see tests/llm.
@@ -335,4 +475,16 @@ ORACLE: dict[str, str] = {
     "op6_license_scan": _licenses_sql(),
     "op8_decontamination": _leaks_sql(),
     "op10_quality_rules": _quality_sql(),
+    "op11_warc_salvage": """
+        with p as (
+            select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as digest,
+                min(page_id) over (partition by coalesce(html, '')) as least
+            from pages
+        )
+        select page_id, n::bigint as payload_bytes, digest as payload_digest,
+            case when n >= 100 and least < page_id then 'revisit' else 'response' end as record_type,
+            case when n >= 100 and least < page_id then least end as refers_to
+        from p""",
+    "op12_filter_audit": _audit_sql(),
+    "op13_importance_resampling": _resampling_sql(),
 }

@@ -61,7 +61,7 @@ def test_run_is_all_stages(spark):
 
 def test_registered(spark):
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert {"pipeline", *queries.QUERIES} <= set(driver.queries())
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
