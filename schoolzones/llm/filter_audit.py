@@ -82,6 +82,7 @@ def _copies(rows: DataFrame) -> DataFrame:
         .where("n > 1")
         .select(F.col("digest").alias("of"), "least")
     )
+    least = stored(least, "least-ids")  # so that both sides are dealt out anew, and large groups can be split
     return rows.join(least, (F.col("digest") == F.col("of")) & (F.col("doc_id") > F.col("least")))
 
 
