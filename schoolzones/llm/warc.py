@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import stored
+
 #: Fixed values of the format.
 MAGIC = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/\d+\.\d+\r?\n")
@@ -74,6 +76,7 @@ def _with_first(rows: DataFrame, min_revisit: int) -> DataFrame:
         .where("rows > 1")
         .select(F.col("digest").alias("of"), "first")
     )
+    first = stored(first, "first-keys")  # so that both sides are dealt out anew, and large groups can be split
     # short payloads, which may all be equal, have nothing to meet
     alone = F.concat(F.lit("-"), F.xxhash64("key", "url").cast("string"))
     return rows.join(first, F.when(long, F.col("digest")).otherwise(alone) == F.col("of"), "left")
