@@ -6,10 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..functions import classify, constants as K
-from ..operators import reshape
 from ..plans import schools as school_plans
 from ..session import scratch_path
-from ..sources import tables as T
+from ..sources import tables as T, versions
 from .base import query
 
 
@@ -71,8 +70,9 @@ def _(t):
 @query("s6_replace_table", "select s_suppkey, s_nationkey from supplier")
 def _(t):
     path = scratch_path(t.spark, "replaced")
-    T.write_replace(t.nation, path)
-    return T.write_replace(t.supplier.select("s_suppkey", "s_nationkey"), path)
+    versions.replace(t.nation, path)
+    versions.replace(t.supplier.select("s_suppkey", "s_nationkey"), path)
+    return versions.read(t.spark, path)
 
 
 @query("s7_create_table", "select c_custkey, c_nationkey, true as second_refused from customer")
@@ -101,7 +101,10 @@ def _(t):
         F.lit("old").alias("origin"), F.max("c_acctbal").alias("v")
     )
     new = t.supplier.select(F.col("s_nationkey").alias("k"), F.lit("new").alias("origin"), F.col("s_acctbal").alias("v"))
-    return reshape.insert_if_absent(old, new, "k")
+    path = scratch_path(t.spark, "inserted")
+    versions.create(old, path)
+    versions.insert_absent(new, path, "k")
+    return versions.read(t.spark, path)
 
 
 @query("s9_csv_export", "select geoid, total_population, edu_hs_or_more from b_census")
@@ -126,7 +129,10 @@ def _(t):
     metrics = t.lineitem.filter("l_suppkey % 3 <> 0").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(
         F.sum("l_quantity").alias("quantity"), F.count(F.lit(1)).alias("lines")
     )
-    return reshape.update_columns(target, metrics, "s_suppkey")
+    path = scratch_path(t.spark, "updated")
+    versions.create(target, path)
+    versions.update(metrics, path, "s_suppkey")
+    return versions.read(t.spark, path)
 
 
 @query(

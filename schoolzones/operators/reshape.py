@@ -36,12 +36,18 @@ def unpivot_groups(
     return df.select(*keep, F.inline(rows))
 
 
+def absent_rows(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """The new rows whose key is not present; the first of equal new keys by value wins. NULL is a key like others."""
+    rest = [c for c in new.columns if c != key]
+    one = new.groupBy(key).agg(F.min(F.struct(*rest) if rest else F.struct(F.lit(0))).alias("_r"))
+    known = existing.select(F.col(key).alias("_known"))
+    fresh = one.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+    return fresh.select(key, *[F.col("_r")[c].alias(c) for c in rest])
+
+
 def insert_if_absent(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Add the new rows whose key is not present; the first of equal new keys by value wins."""
-    rest = [c for c in new.columns if c != key]
-    one = new.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r")).select(key, "_r.*")
-    fresh = one.join(existing.select(key), key, "left_anti")
-    return existing.unionByName(fresh)
+    return existing.unionByName(absent_rows(existing, new, key))
 
 
 def update_columns(target: DataFrame, metrics: DataFrame, key: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Scans and sinks."""
+"""Scans and sinks; tables that are written more than once are in versions.py."""
 
 from __future__ import annotations
 
@@ -27,12 +27,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_replace(df: DataFrame, path: str) -> DataFrame:
-    """Replace the whole table; returns the stored rows."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def write_new(df: DataFrame, path: str) -> DataFrame:
     """Create a table; an existing one is an error."""
     df.write.mode("errorifexists").parquet(path)

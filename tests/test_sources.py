@@ -12,12 +12,11 @@ def test_csv_round_trip(spark):
     assert sorted(map(tuple, tables.read_csv(spark, path, df.schema).collect())) == [(1, "a, b", 0.5), (2, None, None)]
 
 
-def test_replace_and_create(spark):
+def test_create(spark):
     path = scratch_path(spark, "table")
     tables.write_new(spark.range(3), path)
     with pytest.raises(AnalysisException):
         tables.write_new(spark.range(3), path)
-    assert tables.write_replace(spark.range(5), path).count() == 5
 
 
 def test_fixed_rows_do_not_change(spark):
