@@ -1,20 +1,19 @@
 """Ordered operators: first per key, running sums, quantiles, weighted median.
 
-None of them sorts a whole group in one task. Running sums work on blocks of a range
-partitioning over (keys, order): a heavy key simply covers many blocks.
+None of them sorts a whole group in one task. Running sums cut a heavy key into blocks along its order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import classify
 from ..session import fixed
 
 
-BLOCK_ROWS = 2_000_000  # rows that one task sorts
+BLOCK_ROWS = 2_000_000  # rows of a key that are sorted at once
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -28,6 +27,33 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return df.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b._row.*").select(*df.columns)
 
 
+def _blocks(df: DataFrame, keys: list[str], order: list[str], block_rows: int) -> DataFrame:
+    """(keys, _bounds): where the keys with more than ``block_rows`` rows are cut, as order structs.
+
+    At most one key and two bounds for each ``block_rows`` rows. Bounds are taken from a sample of the key's rows; they
+    are stored, so whatever they are, every row belongs to one block.
+    """
+    per_block = 16  # sampled rows
+    renamed = [F.col(k).alias(f"_k_{k}") for k in keys]
+    rows, blocks = F.col("_of_rows"), F.col("_of_blocks")
+    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_of_rows")).filter(rows > block_rows)
+    heavy = fixed(heavy.select(*renamed, "_of_rows", F.ceil(rows / block_rows).alias("_of_blocks")))
+    sampled = df.join(F.broadcast(heavy), _same(keys)).filter(F.rand(7) < per_block * blocks / rows)
+    at = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    seen = sampled.groupBy(*keys).agg(F.sort_array(F.collect_list(at)).alias("_seen"), F.max(blocks).alias("_of_blocks"))
+    cut = F.transform(
+        F.sequence(F.lit(1), blocks), lambda i: F.get("_seen", F.floor(i * F.size("_seen") / blocks).cast("int"))
+    )
+    return fixed(seen.select(*renamed, F.array_distinct(F.array_compact(cut)).alias("_bounds")))
+
+
+def _same(keys: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return same
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,35 +65,45 @@ def running_sum(
 ) -> DataFrame:
     """Running sum of ``weight`` within ``keys`` in ``order``, and optionally the key's total.
 
-    ``order`` should identify a row within its key. Rows are range-partitioned into blocks
-    and stored, as the bounds are sampled; sums of the earlier blocks (at most one row per
-    key and block) are added to the running sum within each block.
+    ``order`` should identify a row within its key; a row without weight adds nothing. A key of more than ``block_rows``
+    rows is cut into blocks along its order. Rows are dealt out once, by key and block; where a block begins, the sums of
+    the key's earlier blocks are added. What is broadcast for that, the bounds and sums of heavy keys' blocks, has a few
+    values for each ``block_rows`` rows of the input.
     """
-    spark = df.sparkSession
-    keys, order = list(keys), list(order)
-    df = fixed(df)  # its rows are counted, sampled and dealt out
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // block_rows))
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn("_block", F.spark_partition_id())
-    ranged = fixed(ranged)
-
-    per_key = Window.partitionBy(*(keys or [F.lit(0)]))
+    names, keys, order = df.columns, list(keys), list(order)
+    if not keys:
+        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
+    df = fixed(df)  # read by several passes, which must see the same rows
+    bounds = _blocks(df, keys, order, block_rows)
+    most = bounds.agg(F.max(F.size("_bounds"))).first()[0] or 0
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))] or [F.lit(1)])
+    me = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    at = lambda i: F.get("_bounds", i - 1)
+    passed = F.aggregate(steps, F.lit(0), lambda n, step: F.when(at(n + step) <= me, n + step).otherwise(n))
+    cut = df.join(F.broadcast(bounds), _same(keys), "left")
+    cut = cut.withColumn("_block", F.when(F.col("_bounds").isNull(), 0).otherwise(passed))
+
+    sums = cut.filter(F.col("_bounds").isNotNull()).groupBy(*keys, "_block").agg(F.sum(weight).alias("_sum"))
+    per_key = Window.partitionBy(*keys)
     earlier = per_key.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = ranged.groupBy(*keys, "_block").agg(F.sum(weight).alias("_sum"))
-    offsets = sums.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_block").alias("_b"),
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_sum").over(per_key).alias("_all"),
-    )
-    same = F.col("_block") == F.col("_b")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    within = (
-        Window.partitionBy("_block", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    offsets = fixed(
+        sums.select(
+            *[F.col(k).alias(f"_k_{k}") for k in keys],
+            F.col("_block").alias("_b"),
+            F.sum("_sum").over(earlier).alias("_before"),
+            F.sum("_sum").over(per_key).alias("_whole"),
+        )
     )
-    summed = ranged.withColumn("_within", F.sum(weight).over(within)).join(offsets, same)
-    result = [*df.columns, (F.col("_before") + F.col("_within")).alias(out)]
-    return summed.select(*result, *([F.col("_all").alias(total)] if total else []))
+    block = Window.partitionBy(*keys, "_block")
+    upto = block.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = cut.drop("_bounds", *[f"_k_{k}" for k in keys]).withColumn("_within", F.sum(weight).over(upto))
+    if total:
+        summed = summed.withColumn("_everyone", F.sum(weight).over(block))
+    summed = summed.join(F.broadcast(offsets), _same(keys) & (F.col("_block") == F.col("_b")), "left")
+    so_far = F.coalesce(F.col("_before") + F.col("_within"), "_before", "_within")
+    result = [*names, so_far.alias(out)]
+    whole = F.when(F.col("_b").isNull(), F.col("_everyone")).otherwise(F.col("_whole")) if total else None
+    return summed.select(*result, *([whole.alias(total)] if total else []))
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], out: str = "q") -> DataFrame:
@@ -145,36 +181,62 @@ def weighted_median(df: DataFrame, key: str, value: str, weight: str, row_id: st
     return found.select(key, F.when(within, F.col("_high")).otherwise(between).alias(out))
 
 
+#: Bins are half a kernel width wide and have so many moments; kernels end 9 widths from the bin's centre.
+MOMENTS, REACH = 14, 9.0
+
+
 def density(df: DataFrame, keys: Sequence[str], value: str, bandwidth: float, points: int) -> DataFrame:
     """Gaussian density on an even grid over each key's data range, highest point 1.
 
-    The kernel width is ``bandwidth`` sample deviations. A key with a single distinct value
-    has one grid point of density 1. Each task adds up kernels per key and grid point, so
-    what is shuffled does not grow with the rows.
+    The kernel width h is ``bandwidth`` sample deviations. A key with a single distinct value
+    has one grid point of density 1. Rows without key or value are left out.
+
+    Values are not met with grid points one by one. With t the distance of a grid point from a bin's centre and s that of
+    a value, both in widths, exp(-(t - s)^2 / 2) = exp(-t^2 / 2) * sum of t^j / j! * (s^j * exp(-s^2 / 2)), so a bin
+    needs the sums of the last factor only, for j below MOMENTS. With bins half a width wide, a kernel of height 1 is
+    off by at most 1e-14, what is left out beyond REACH included. So the work is that of one aggregate over the values
+    plus, for each bin with values, the grid points in reach.
     """
     v = F.col("_v")
-    counted = (
-        df.select(*keys, F.col(value).cast("double").alias("_v"))
-        .filter(v.isNotNull() & ~F.isnan(v))
-        .groupBy(*keys, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    rows = fixed(
+        df.select(*keys, F.col(value).cast("double").alias("_v")).filter(v.isNotNull() & ~F.isnan(v)).dropna()
+    )
+    stats = fixed(
+        rows.groupBy(*keys).agg(
+            F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), (F.stddev_samp("_v") * bandwidth).alias("_h")
+        )
     )
-    stats = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(
-        v.isNotNull() & ~F.isnan(v)
-    ).groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), (F.stddev_samp("_v") * bandwidth).alias("_h")
+    named = stats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_lo", "_hi", "_h")
+    half = F.col("_h") / 2
+    placed = (
+        rows.join(named.filter("_lo < _hi and _h > 0"), _same(keys))
+        .withColumn("_bin", F.floor((v - F.col("_lo")) / half))
+        .withColumn("_s", (v - F.col("_lo") - (F.col("_bin") + 0.5) * half) / F.col("_h"))
+    )
+    power, moments = F.exp(-F.col("_s") * F.col("_s") / 2), []
+    for j in range(MOMENTS):
+        moments.append(F.sum(power).alias(f"_m{j}"))
+        power = power * F.col("_s") / (j + 1)
+    binned = placed.groupBy(*keys, "_bin", "_lo", "_hi", "_h").agg(*moments)
+
+    step = (F.col("_hi") - F.col("_lo")) / (points - 1)
+    centre = (F.col("_bin") + 0.5) * half  # from the least value
+    first = F.greatest(F.ceil((centre - REACH * F.col("_h")) / step), F.lit(0))
+    last = F.least(F.floor((centre + REACH * F.col("_h")) / step), F.lit(points - 1))
+    near = binned.withColumn("grid_no", F.explode(F.when(first <= last, F.sequence(first, last))))
+    grid_x = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("grid_no") / (points - 1)
+    near = near.withColumn("_t", (grid_x - F.col("_lo") - centre) / F.col("_h"))
+    series = F.lit(0.0)
+    for j in reversed(range(MOMENTS)):
+        series = series * F.col("_t") + F.col(f"_m{j}")
+    near = near.select(
+        *keys, F.col("grid_no").cast("int").alias("grid_no"), grid_x.alias("grid_x"), (F.exp(-F.col("_t") * F.col("_t") / 2) * series).alias("_d")
     )
     grid = F.when(F.col("_lo") == F.col("_hi"), F.array(F.lit(0))).otherwise(
         F.sequence(F.lit(0), F.lit(points - 1))
     )
-    at = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("grid_no") / (points - 1)
-    z = F.try_divide(F.col("grid_x") - v, F.col("_h"))
-    curve = (
-        counted.join(stats, list(keys))
-        .withColumn("grid_no", F.explode(grid))
-        .withColumn("grid_x", at)
-        .groupBy(*keys, "grid_no", "grid_x")
-        .agg(F.sum(F.col("_n") * F.coalesce(F.exp(-z * z / 2), F.lit(1.0))).alias("_d"))
-    )
+    alone = F.when(F.col("_lo") == F.col("_hi"), 1.0).otherwise(0.0)
+    empty = stats.withColumn("grid_no", F.explode(grid)).select(*keys, "grid_no", grid_x.alias("grid_x"), alone.alias("_d"))
+    curve = empty.union(near).groupBy(*keys, "grid_no", "grid_x").agg(F.sum("_d").alias("_d"))
     peak = F.max("_d").over(Window.partitionBy(*keys))  # at most `points` rows per key
     return curve.withColumn("density", F.col("_d") / peak).drop("_d")
