@@ -74,36 +74,46 @@ def running_sum(
     if not keys:
         df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
     df = fixed(df)  # read by several passes, which must see the same rows
-    bounds = _blocks(df, keys, order, block_rows)
-    most = bounds.agg(F.max(F.size("_bounds"))).first()[0] or 0
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))] or [F.lit(1)])
+    cut, offsets = df.withColumn("_block", F.lit(0)), None
+    if df.count() > block_rows:  # else no key has so many
+        bounds = _blocks(df, keys, order, block_rows)
+        most = bounds.agg(F.max(F.size("_bounds"))).first()[0]
+        if most:
+            cut, offsets = _cut(df, bounds, most, keys, order, weight)
+    block = Window.partitionBy(*keys, "_block")
+    upto = block.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = cut.withColumn("_within", F.sum(weight).over(upto))
+    if total:
+        summed = summed.withColumn("_everyone", F.sum(weight).over(block))
+    so_far, whole = F.col("_within"), F.col("_everyone")
+    if offsets:
+        summed = summed.join(F.broadcast(offsets), _same(keys) & (F.col("_block") == F.col("_b")), "left")
+        so_far = F.coalesce(F.col("_before") + so_far, "_before", so_far)
+        whole = F.when(F.col("_b").isNull(), whole).otherwise(F.col("_whole"))
+    return summed.select(*names, so_far.alias(out), *([whole.alias(total)] if total else []))
+
+
+def _cut(
+    df: DataFrame, bounds: DataFrame, most: int, keys: list[str], order: list[str], weight: str
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` with each row's ``_block``, found by halving among its key's bounds; and the sums before each block."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
     me = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
     at = lambda i: F.get("_bounds", i - 1)
     passed = F.aggregate(steps, F.lit(0), lambda n, step: F.when(at(n + step) <= me, n + step).otherwise(n))
-    cut = df.join(F.broadcast(bounds), _same(keys), "left")
-    cut = cut.withColumn("_block", F.when(F.col("_bounds").isNull(), 0).otherwise(passed))
+    met = df.join(F.broadcast(bounds), _same(keys), "left")
+    met = met.withColumn("_block", F.when(F.col("_bounds").isNull(), 0).otherwise(passed))
 
-    sums = cut.filter(F.col("_bounds").isNotNull()).groupBy(*keys, "_block").agg(F.sum(weight).alias("_sum"))
+    sums = met.filter(F.col("_bounds").isNotNull()).groupBy(*keys, "_block").agg(F.sum(weight).alias("_sum"))
     per_key = Window.partitionBy(*keys)
     earlier = per_key.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = fixed(
-        sums.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            F.col("_block").alias("_b"),
-            F.sum("_sum").over(earlier).alias("_before"),
-            F.sum("_sum").over(per_key).alias("_whole"),
-        )
+    offsets = sums.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_block").alias("_b"),
+        F.sum("_sum").over(earlier).alias("_before"),
+        F.sum("_sum").over(per_key).alias("_whole"),
     )
-    block = Window.partitionBy(*keys, "_block")
-    upto = block.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = cut.drop("_bounds", *[f"_k_{k}" for k in keys]).withColumn("_within", F.sum(weight).over(upto))
-    if total:
-        summed = summed.withColumn("_everyone", F.sum(weight).over(block))
-    summed = summed.join(F.broadcast(offsets), _same(keys) & (F.col("_block") == F.col("_b")), "left")
-    so_far = F.coalesce(F.col("_before") + F.col("_within"), "_before", "_within")
-    result = [*names, so_far.alias(out)]
-    whole = F.when(F.col("_b").isNull(), F.col("_everyone")).otherwise(F.col("_whole")) if total else None
-    return summed.select(*result, *([whole.alias(total)] if total else []))
+    return met.select(*df.columns, "_block"), fixed(offsets)
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], out: str = "q") -> DataFrame:
