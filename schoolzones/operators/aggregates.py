@@ -117,10 +117,14 @@ def weighted_mean(value: str, weight: str) -> Column:
 
 
 def weighted_mean_std(df: DataFrame, key: str, value: str, weight: str, mean: str, std: str) -> DataFrame:
-    """Weighted mean and population deviation, in two passes to keep all digits."""
+    """Weighted mean and population deviation, in two passes to keep all digits.
+
+    Both go over the weights per key and value, which ``df`` is read for once.
+    """
     rows = df.select(
         key, F.col(value).cast("double").alias("_v"), F.col(weight).cast("double").alias("_w")
     ).dropna()
+    rows = rows.groupBy(key, "_v").agg(F.sum("_w").alias("_w"))
     means = rows.groupBy(key).agg(weighted_mean("_v", "_w").alias(mean))
     off = F.col("_v") - F.col(mean)
     return (

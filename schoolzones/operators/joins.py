@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import fixed
+
 
 def keys_equal(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """All keys equal, NULL equal to NULL."""
@@ -26,8 +28,9 @@ def outer_enrich(base: DataFrame, detail: DataFrame, keys: Sequence[str]) -> Dat
     NULL keys match each other.
     """
     keys = list(keys)
+    detail = fixed(detail.distinct())  # its rows, and its keys
     missing = null_safe_anti(base.select(*keys).distinct(), detail.select(*keys).distinct(), keys)
-    return detail.distinct().unionByName(missing, allowMissingColumns=True)
+    return detail.unionByName(missing, allowMissingColumns=True)
 
 
 def delete_in(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

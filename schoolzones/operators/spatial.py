@@ -146,7 +146,7 @@ def nearest_join(
     classes = ["struct('all' as _class, double('Infinity') as _reach)"]
     if reach:
         classes.append(f"struct('own' as _class, nanvl(cast({reach} as double), cast(null as double)) as _reach)")
-    places = (
+    places = fixed(
         _present(right, rx, ry)
         .selectExpr(f"{rx} as _rx", f"{ry} as _ry", f"struct({row}) as _r", f"explode(array({', '.join(classes)})) as _c")
         .selectExpr("_c._class as _class", "_c._reach as _reach", "_rx", "_ry", "_r")
@@ -155,7 +155,7 @@ def nearest_join(
         .agg(F.min("_r").alias("_r"))
     )
     spots = _present(left, lx, ly).selectExpr(f"{left_id} as _left", f"{lx} as _x", f"{ly} as _y")
-    pairs = _nearest_pairs(spots, fixed(places))
+    pairs = _nearest_pairs(spots, places.selectExpr("_class", "_reach", "_rx", "_ry", "_r._id as _id"))
     if pairs is None:
         nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in (right_id, rx, ry, *payload)]
         return left.select("*", *nothing, F.lit(None).cast("double").alias(out))
@@ -164,15 +164,18 @@ def nearest_join(
     best = (
         pairs.filter("_d <= _reach")
         .groupBy("_left")
-        .agg(F.expr("min(struct(_class = 'all' as _any, _d, _r, _rx, _ry)) as _b"))
-        .selectExpr(
-            f"_left as {left_id}", f"_b._r._id as {right_id}", f"_b._rx as {rx}", f"_b._ry as {ry}",
-            *[f"_b._r.{c} as {c}" for c in payload], f"_b._d as {out}",
-        )
+        .agg(F.expr("min(struct(_class = 'all' as _any, _d, _id, _rx, _ry, _class, _reach)) as _b"))
+        .selectExpr(f"_left as {left_id}", f"_b._id as {right_id}", f"_b._d as {out}", *[f"_b.{c}" for c in _PLACE])
     )
+    if payload:  # only now: pairs carry no more than a place and its id
+        best = best.join(places.select(*_PLACE, *[F.col("_r")[c].alias(c) for c in payload]), _PLACE)
+    best = best.selectExpr(left_id, right_id, f"_rx as {rx}", f"_ry as {ry}", *payload, out)
     return left.join(best, left_id, "left")
 
 
+_PLACE = ["_class", "_reach", "_rx", "_ry"]
+
+
 def _nearest_pairs(spots: DataFrame, places: DataFrame) -> DataFrame | None:
     """Pairs of spots and places that contain the nearest place of each class within its reach, for each spot.
 
@@ -245,8 +248,8 @@ def _nearest_pairs(spots: DataFrame, places: DataFrame) -> DataFrame | None:
         .select("_left", "_x", "_y", "_class", "_level", "_gx", "_gy")
     )
     targets = places.selectExpr("*", levels).selectExpr(
-        "_class", "_reach", "_rx", "_ry", "_r", "_level", *_cells("_level", "_g")
+        *_PLACE, "_id", "_level", *_cells("_level", "_g")
     )
     return asked.join(targets, ["_class", "_level", "_gx", "_gy"]).selectExpr(
-        "_left", "_class", "_reach", f"{geo.distance_text('_x', '_y', '_rx', '_ry')} as _d", "_r", "_rx", "_ry"
+        "_left", "_class", "_reach", f"{geo.distance_text('_x', '_y', '_rx', '_ry')} as _d", "_id", "_rx", "_ry"
     )
