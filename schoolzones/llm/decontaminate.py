@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .native import let, windows
+from .native import let, unused, windows
 from .store import stored
 
 #: Words that count as a unit after a number.
@@ -194,6 +194,7 @@ def contaminated(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows of reported documents; rows without doc_id stay."""
-    leaks = stored(contaminated(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct(), "leaked")
-    return docs.join(leaks, F.col("doc_id") == F.col("_leak"), "left_anti")
+    """``docs`` without the rows of reported documents; rows without doc_id stay. Further columns may have any name."""
+    leak = unused("leak", docs)
+    leaks = stored(contaminated(docs, benchmark).select(F.col("doc_id").alias(leak)).distinct(), "leaked")
+    return docs.join(leaks, F.col("doc_id") == F.col(leak), "left_anti")

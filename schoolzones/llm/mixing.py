@@ -9,8 +9,9 @@ Blocks are the square root of a source's documents in number and size, so a sour
 ordered in one task. Sources stay in a table (their number may grow); the bisection reads sums over it only.
 
 Null is a source like any other. Texts without a word have no tokens: they cost nothing and come once per full epoch; a
-source of such texts only has weight zero and passes once. Repeated rows are separate rows; order among equal rows does
-not show. Empty table: empty result. Only the named columns are read.
+source of such texts only has weight zero and passes once. Rows that share doc_id, source and text are one document that
+passes with all its rows at once (``n_rows``); rows that share a doc_id only are documents of their own. Empty table:
+empty result. Only the named columns are read, and further ones can have any name.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .native import row_key, unused
 from .store import stored
 from .text import WORD
 
@@ -110,23 +112,38 @@ def mix(
     text: str = "text",
     seed: int = 17,
 ) -> DataFrame:
-    """(doc_id, source, epoch, block, n_tokens, token_at, mix_at): every passed document, once per epoch it is in.
+    """(doc_id, source, epoch, block, n_rows, n_tokens, token_at, mix_at): every passed document, once per epoch it is in.
 
     ``token_at``: tokens of its source before it.
     """
+    return _mixed(docs, target, doc_id, source, text, seed).drop("unit")
+
+
+def _unit(doc_id: str, source: str, text: str) -> Column:
+    return row_key(F.col(doc_id), F.col(source), F.col(text))
+
+
+def _mixed(docs: DataFrame, target: Target, doc_id: str, source: str, text: str, seed: int) -> DataFrame:
+    each = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(source).alias("source"),
+        _unit(doc_id, source, text).alias("unit"),
+        tokens_of(F.col(text)).alias("n_tokens"),
+    )
     sized = stored(
-        docs.select(
-            F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), tokens_of(F.col(text)).alias("n_tokens")
+        each.groupBy("unit").agg(
+            F.first("doc_id").alias("doc_id"),
+            F.first("source").alias("source"),
+            F.count("*").alias("n_rows"),
+            F.sum("n_tokens").alias("n_tokens"),
         ),
         "sizes",
     )
     plan = stored(budgets(shares(sized), target), "budgets").withColumnRenamed("source", "s")
     blocks_in = F.ceil(F.sqrt("docs"))
     dealt = sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
-        "doc_id",
-        "source",
-        "n_tokens",
-        F.pmod(F.xxhash64(F.lit(seed), "doc_id"), blocks_in).alias("block"),
+        *("unit", "doc_id", "source", "n_rows", "n_tokens"),
+        F.pmod(F.xxhash64(F.lit(seed), "unit"), blocks_in).alias("block"),
         *("epochs", "rest", "tokens", "budget"),
     )
     key = [F.coalesce("source", F.lit("")).alias("k"), F.isnull("source").alias("k_null")]
@@ -145,7 +162,7 @@ def mix(
     )
     in_block = (
         Window.partitionBy("k", "k_null", "epoch", "block")
-        .orderBy(F.xxhash64(F.lit(seed + 2), "epoch", "doc_id"), "doc_id", "n_tokens")
+        .orderBy(F.xxhash64(F.lit(seed + 2), "epoch", "unit"), "unit")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     placed = passed.join(blocks, ["k", "k_null", "epoch", "block"]).withColumn(
@@ -153,22 +170,24 @@ def mix(
     )
     token_at = F.col("epoch") * F.col("tokens") + F.col("at")
     return placed.where("epoch < epochs or at < rest").select(
-        "doc_id",
-        "source",
-        "epoch",
-        "block",
-        "n_tokens",
+        *("unit", "doc_id", "source", "epoch", "block", "n_rows", "n_tokens"),
         token_at.alias("token_at"),
         (token_at / F.greatest("budget", F.lit(1))).alias("mix_at"),
     )
 
 
-def repeat_rows(docs: DataFrame, target: Target = Target()) -> DataFrame:
-    """``docs`` with every row as often as the mix passes its document, with the columns of ``docs``."""
-    copies = mix(docs, target).groupBy("doc_id").agg(F.countDistinct("epoch").cast("int").alias("_copies"))
-    copies = copies.withColumnRenamed("doc_id", "_id")
-    return (
-        docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*docs.columns)
-    )
+def repeat_rows(
+    docs: DataFrame,
+    target: Target = Target(),
+    doc_id: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    seed: int = 17,
+) -> DataFrame:
+    """``docs`` with every row as often as the mix passes it, with the columns of ``docs``, whatever their names are."""
+    passes = _mixed(docs, target, doc_id, source, text, seed).groupBy("unit").agg(F.countDistinct("epoch").alias("n"))
+    mine, theirs, n = (unused(x, docs) for x in ("mine", "theirs", "n_passes"))
+    passes = passes.select(F.col("unit").alias(theirs), F.col("n").cast("int").alias(n))
+    keyed = docs.withColumn(mine, _unit(doc_id, source, text)).join(passes, F.col(mine) == F.col(theirs))
+    copies = F.sequence(F.lit(1), F.col(n))
+    return keyed.drop(mine, theirs).withColumn(n, F.explode(copies)).drop(n)

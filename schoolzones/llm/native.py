@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,3 +23,17 @@ def windows(items: Column, size: int) -> Column:
         ).otherwise(F.array().cast("array<long>"))
 
     return let(items, run)
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, or one made from it, that is no column of these."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_key(*values: Column) -> Column:
+    """32 bytes that differ where the values do (but for a collision of SHA-256); NULL is a value of its own."""
+    texts = [x for v in values for x in (F.isnull(v).cast("string"), F.sha2(F.coalesce(v.cast("string"), F.lit("")), 256))]
+    return F.unhex(F.sha2(F.concat(*texts), 256))

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .native import unused
 from .text import SPACES, Words, chunks
 
 SYMBOLS = "#*$%&|<>"
@@ -146,6 +147,6 @@ def verdicts(df: DataFrame, text: str = "text", name: str = "quality", rules: Ru
 
 
 def keep_good(df: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFrame:
-    """The rows whose text passes, with the columns of ``df``."""
-    flagged = verdicts(df, text, "_quality_verdict", rules)
-    return flagged.where("_quality_verdict.kept").select(*df.columns)
+    """The rows whose text passes, with the columns of ``df``, whatever their names are."""
+    name = unused("verdict", df)
+    return verdicts(df, text, name, rules).where(F.col(name)["kept"]).drop(name)

@@ -12,15 +12,17 @@ An empty table gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
+from .native import row_key, unused
 from .store import stored
 from .text import encoded
 
@@ -77,21 +79,26 @@ def links(points: DataFrame) -> DataFrame:
     )
 
 
-def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``."""
-    points = stored(
-        docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints"
-    )
+def _classes(points: DataFrame) -> DataFrame:
+    """(fp, least, root) of each fingerprint in ``points``: its least doc_id, and one name for its component."""
     distinct = points.groupBy("fp").agg(F.min("doc_id").alias("least"))
     # The distinct fingerprints are few bytes but 65 variants each, so they are spread before they fan out.
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     roots = connected(links(distinct.select("fp").repartition(parts, F.xxhash64("fp"))))
-    labelled = stored(
+    return stored(
         distinct.join(roots, distinct.fp == roots.node, "left").select(
             "fp", "least", F.coalesce("root", "fp").alias("root")
         ),
         "labels",
     )
+
+
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of ``docs``."""
+    points = stored(
+        docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints"
+    )
+    labelled = _classes(points)
     named = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = labelled.join(named, "root").select("fp", "component_id")
     return points.join(by_fp, "fp").select(
@@ -99,17 +106,24 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     )
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of every component: that of the smallest doc_id (of rows that share it, the least text).
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """One row of every component, whatever the rows' doc_ids are: that with the smallest one, none last.
 
-    Rows without doc_id can't be named by a component and stay.
+    Of rows that share it, the one whose text has the least SHA-256 stays, and of rows that share that too, the least by
+    the other columns (any, if their types have no order). Every column passes as it is, whatever its name.
     """
-    first = components(docs, doc_id, text).where("doc_id = component_id").select("doc_id").distinct()
-    first = first.withColumnRenamed("doc_id", "_first_id")
-    order = Window.partitionBy(doc_id).orderBy(*[c for c in docs.columns if c != doc_id] or [doc_id])
-    kept = (
-        docs.join(first, F.col(doc_id) == F.col("_first_id"), "left_semi")
-        .withColumn("_row_of_id", F.row_number().over(order))
-        .where("_row_of_id = 1")
+    key = row_key(F.col(doc_id), F.col(text))
+    points = stored(
+        docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), fingerprint(F.col(text), shingle).alias("fp")),
+        "fingerprints",
     )
-    return kept.select(*docs.columns).union(docs.where(F.col(doc_id).isNull()))
+    first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key"))
+    kept = points.join(_classes(points).select("fp", "root"), "fp").groupBy("root").agg(first.alias("first"))
+    row, found = unused("row", docs), unused("found", docs)
+    kept = kept.select(F.col("first.key").alias(found))
+    keyed = docs.withColumn(row, key)
+    met = keyed.join(kept, F.col(row) == F.col(found), "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    ordered = not re.search("map<|variant", docs.schema.simpleString())
+    one = (F.min if ordered else F.first)(whole)
+    return met.groupBy(row).agg(one.alias(found)).select(f"{found}.*")

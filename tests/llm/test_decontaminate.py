@@ -127,3 +127,12 @@ def test_exact_item_behind_an_inconsistent_copy(spark, documents):
     rows = decontaminate.contaminated(docs, bench).collect()
     assert sorted((r["doc_id"], r["item_id"], r["n_slots"]) for r in rows) == [(0, 1, 10), (2, 1, 10)]
     assert [r["doc_id"] for r in decontaminate.without_leaks(docs, bench).collect()] == [1]
+
+
+def test_stage_with_columns_of_its_own_names(spark, documents):
+    item = "a question of nine words that is asked here"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    df = documents([f"before {item} after", "something else", None], ids=[1, 2, None])
+    df = df.withColumnRenamed("fp", "leak").withColumnRenamed("lang", "_leak").withColumnRenamed("quality", "row")
+    out = decontaminate.without_leaks(df, bench)
+    assert out.columns == df.columns and sorted(str(r["doc_id"]) for r in out.collect()) == ["2", "None"]

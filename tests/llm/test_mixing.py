@@ -122,3 +122,25 @@ def test_stage(documents):
     assert out.columns == df.columns
     assert sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
     assert mixing.repeat_rows(df.limit(0)).count() == 0 and mixing.mix(df.limit(0)).count() == 0
+
+
+def test_rows_that_share_a_doc_id_are_counted_one_by_one(documents):
+    """doc_id 1 is in two sources, a row is there twice, ids are missing, and columns have the operator's names."""
+    big = [f"s{i} a b c d e f g h" for i in range(40)]
+    values = ["one two three", "other text here", "same row", "same row", "no id", "no id either"] + big
+    ids = [1, 1, 2, 2, None, None] + list(range(100, 140))
+    df = documents(values, ids, ["t", "u", "t", "t", "t", "u"] + ["s"] * 40)
+    df = df.withColumnRenamed("fp", "_copies").withColumnRenamed("quality", "mine").withColumnRenamed("lang", "n_passes")
+    target = Target(repetition=3.0)
+    out = mixing.repeat_rows(df, target)
+    assert out.columns == df.columns
+    got = Counter((r["doc_id"], r["source"], r["text"]) for r in out.collect())
+    want = Counter()
+    for r in mixing.mix(df, target).collect():
+        want[r["doc_id"], r["source"], r["n_tokens"]] += r["n_rows"]
+    by_size = Counter()
+    for (i, s, t), n in got.items():
+        by_size[i, s, len(t.split()) * (2 if t == "same row" else 1)] += n
+    assert by_size == want
+    assert {k[2] for k in got} == set(values) and got[2, "t", "same row"] % 2 == 0
+    assert max(got.values()) <= 6 and sum(n > 1 for n in got.values()) >= 5

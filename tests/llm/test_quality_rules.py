@@ -65,6 +65,13 @@ def test_stage_keeps_columns_and_repeated_rows(documents):
     assert [r["doc_id"] for r in kept.collect()] == [1, 1]
 
 
+def test_stage_with_columns_of_its_own_names(documents):
+    good = " ".join(f"w{i}" for i in range(40))
+    df = documents([good, "few"]).withColumnRenamed("fp", "verdict").withColumnRenamed("lang", "_quality_verdict")
+    (row,) = quality_rules.keep_good(df).collect()
+    assert (row["verdict"], row["_quality_verdict"], row["text"]) == ("x", "en", good)
+
+
 def test_empty_table(documents):
     df = documents(["x"]).limit(0)
     assert quality_rules.verdicts(df).count() == 0 and quality_rules.keep_good(df).count() == 0

@@ -97,5 +97,23 @@ def test_odd_rows(documents):
     assert [(a, c) for a, _, c in got] == [(3, 3), (4, 3), (8, 8), (9, 9), (9, 9), (None, 8), (None, 8)]
     kept = simhash_dedup.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "8", "9", "None", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "8", "9"]
     assert simhash_dedup.components(df.limit(0)).count() == 0
+
+
+def test_one_row_of_each_component_by_row(documents, texts):
+    """Unrelated texts that share a doc_id, copies without any, repeated rows, columns with the operator's names."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    values = [a, b, b + " ", a, a, c, c, c, b, "own text " * 5, "own text " * 5]
+    ids = [1, 1, 2, 1, None, None, None, None, None, 7, 7]
+    df = documents(values, ids).withColumnRenamed("quality", "row").withColumnRenamed("fp", "found")
+    df = df.withColumnRenamed("lang", "_first_id").withColumnRenamed("n_words", "_row_of_id")
+    kept = simhash_dedup.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (None, c), (7, "own text " * 5)], key=str)
+    assert all(r["_row_of_id"] == 7 and r["row"] == 1.5 for r in kept.collect())
+    more = texts(120, words=4000, longest=200)
+    rows = simhash_dedup.keep_one(documents(more)).collect()
+    assert {r["doc_id"] for r in rows} == {c for _, _, c in brute(list(range(120)), more)} and len(rows) == len({r["doc_id"] for r in rows})
+    assert simhash_dedup.keep_one(df.limit(0)).count() == 0
