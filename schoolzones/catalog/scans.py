@@ -47,10 +47,10 @@ def _(t):
     """,
 )
 def _(t):
-    from .shapes import zone_polygons
+    from .shapes import stored_polygons
 
     outer = F.get("rings", F.lit(0))
-    return zone_polygons(t).select(
+    return stored_polygons(t).select(
         "geoid",
         F.round(F.get(outer, F.lit(0))["x"], 7).alias("first_x"),
         F.round(F.get(outer, F.lit(0))["y"], 7).alias("first_y"),

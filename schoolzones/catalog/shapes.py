@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import constants as K, geo
+from ..session import scratch_dir, scratch_path
+from ..sources import polygons
 from ..sources.tables import points_from_lonlat
 from .base import CHECKS, query
 from .joining import conic_sql
@@ -50,6 +52,19 @@ def zone_polygons(t) -> DataFrame:
     return rows.select("geoid", "zone_no", rings.alias("rings"))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_polygons(t) -> DataFrame:
+    """The same zones as a stored polygon table, which is made once for each application and folder of tables."""
+    key = (scratch_dir(t.spark), t.path("customer"))
+    if key not in _STORED:
+        path = scratch_path(t.spark, "polygons")
+        polygons.write_polygons(zone_polygons(t).select("geoid", "rings"), path)
+        _STORED[key] = path
+    return polygons.read_polygons(t.spark, _STORED[key])
+
+
 CHECKS["o_shape"] = f"select *, {_KIND} as kind, 0.004::double * (1 + zone_no % 5) as h from b_zone"
 CHECKS["o_box"] = """
     select geoid, lon as x0, lat as y0, lon + h * (case when kind in ('flat', 'holed') then 4 else 2 end) as x1,

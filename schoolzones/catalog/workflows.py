@@ -12,7 +12,7 @@ from .classes import _ri_sql, cut_sql, ranges_sql, school_codes, shares
 from .grouping import _SIDES, harmonic_sql
 from .joining import conic_sql, places, spots
 from .rows import _APPROVED
-from .shapes import _CENTRES, _MX, _MY, _pieces_sql, zone_polygons
+from .shapes import _CENTRES, _MX, _MY, _pieces_sql, stored_polygons, zone_polygons
 
 SCHOOL = "unique_school_id"
 
@@ -564,7 +564,7 @@ def _regional_sql(metric: str) -> str:
 def _register_regional(name: str, metric: str) -> None:
     @query(f"l13_{name}_underlay", _regional_sql(metric))
     def _(t):
-        zones = layers.regional_underlay(zone_polygons(t).select("geoid", "rings"), t.b_census, metric)
+        zones = layers.regional_underlay(stored_polygons(t), t.b_census, metric)
         return zones.select("geoid", F.round("value", 6).alias("value"), "value_class")
 
 

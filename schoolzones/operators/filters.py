@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import constants as K, geo, text
+from ..sources import polygons
 
 
 def grade_span(column: Column | str, low: float = K.LOWEST_GRADE, high: float = K.HIGHEST_GRADE) -> Column:
@@ -44,7 +45,8 @@ def points_in_box(df: DataFrame, lon: str, lat: str, box=K.REGION_BOX) -> DataFr
 
 
 def polygons_in_box(df: DataFrame, rings: str, box=K.REGION_BOX) -> DataFrame:
-    return df.filter(geo.polygon_hits_box(rings, box))
+    """Polygons that meet the box; of a stored polygon table only the row groups near it are read."""
+    return polygons.touching(df, box, rings)
 
 
 def classified(df: DataFrame, column: str, besides: str | None = None) -> DataFrame:
