@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import constants as K, geo, text
-from ..plans import catchment, courses as course_plans, layers, older, schools as school_plans
-from ..session import fixed
+from ..plans import catchment, courses as course_plans, layers, older, schools as school_plans, upkeep
+from ..session import fixed, scratch_path
 from .base import CHECKS, query
 from .classes import _ri_sql, cut_sql, ranges_sql, school_codes, shares
 from .grouping import _SIDES, harmonic_sql
@@ -83,6 +83,22 @@ def _(t):
     return assignment(t).select("geoid", SCHOOL, "buffer_distance", F.round("distance", 3).alias("distance"))
 
 
+@query(
+    "l3_refreshed_assignment",
+    "select geoid, unique_school_id, buffer_distance, round(distance, 3) as distance from o_assignment",
+)
+def _(t):
+    """An assignment stored when a tenth of the schools were elsewhere, or not there yet, brought up to date."""
+    path, now = scratch_path(t.spark, "upkeep"), fixed(places(t))
+    turn = F.pmod(F.xxhash64(SCHOOL), F.lit(20))
+    earlier = now.filter(turn != 3).withColumn("school_x", F.col("school_x") + F.when(turn == 7, 20_000.0).otherwise(0.0))
+    upkeep.build(spots(t), earlier, path, 2)
+    upkeep.refresh(now, path)
+    return upkeep.assignment(t.spark, path).select(
+        "geoid", SCHOOL, "buffer_distance", F.round("distance", 3).alias("distance")
+    )
+
+
 @query(
     "l4_zones_per_school",
     "select s.unique_school_id, count(a.geoid) as assigned_cbg_count from b_school s left join o_assignment a on a.unique_school_id = s.unique_school_id group by 1",

@@ -18,11 +18,11 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 from urllib.request import url2pathname
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import reshape
@@ -250,6 +250,36 @@ def update(metrics: DataFrame, path: str, key: str, tries: int = TRIES) -> Versi
     return commit(spark, path, change, tries)
 
 
+# ---- parts
+
+
+def part_of(folder: str) -> str | None:
+    """The part that a data folder holds; None if it was not written by parts."""
+    _, found, value = folder.rpartition("/_part=")
+    return unquote(value) if found else None
+
+
+def read_parts(spark: SparkSession, path: str, wanted: Callable[[str], bool], of: Version) -> DataFrame:
+    """The rows of the wanted parts of a version; the files of others aren't touched."""
+    return _frame(spark, path, of, [x for x in of.folders if (part := part_of(x)) is not None and wanted(part)])
+
+
+def replace_parts(df: DataFrame, path: str, part: str, gone: Callable[[str], bool], base: Version | None) -> Version:
+    """Write the rows of ``df`` as parts by their column ``part``, in the place of those parts of ``base`` that go.
+
+    All other parts stay where they are. The rows are what the caller made of ``base``, so if another writer has put a
+    version since, this one is refused (Conflict) and the caller begins again.
+    """
+    spark, folder = df.sparkSession, f"data/{uuid.uuid4().hex}"
+    df.withColumn("_part", F.col(part)).write.partitionBy("_part").parquet(f"{path}/{folder}")
+    new = [f"{folder}/{x}" for x, _ in _names(spark, f"{path}/{folder}") if x.startswith("_part=")]
+    kept = [x for x in (base.folders if base else ()) if not gone(part_of(x) or "")]
+    made = Version(_next(base), (*kept, *sorted(new)), df.schema)
+    if not _commit(spark, path, made):
+        raise Conflict(f"{path}: another writer put version {made.number}")
+    return made
+
+
 def remove_unused(spark: SparkSession, path: str, keep: int = 10, older_than_hours: float = 24 * 7) -> list[str]:
     """Delete all but the last ``keep`` versions, and the data folders that none of the rest lists.
 
@@ -259,7 +289,8 @@ def remove_unused(spark: SparkSession, path: str, keep: int = 10, older_than_hou
     for number in known[: max(0, len(known) - max(1, keep))]:
         where, fs = _place(spark, _manifest(path, number))
         fs.delete(where, False)
-    used = {x for n in known[-max(1, keep) :] for x in version(spark, path, n).folders} if known else set()
+    listed = [x for n in known[-max(1, keep) :] for x in version(spark, path, n).folders] if known else []
+    used = {"/".join(x.split("/")[:2]) for x in listed}
     gone = []
     for name, changed in _names(spark, f"{path}/data"):
         if f"data/{name}" not in used and changed <= time.time() - 3600 * older_than_hours:
