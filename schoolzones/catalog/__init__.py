@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = "scans cleaning rows joining grouping ordering reshaping classes shapes workflows".split()
+MODULES = "scans cleaning rows joining grouping ordering reshaping classes shapes workflows streams".split()
 
 
 def register_all() -> None:
