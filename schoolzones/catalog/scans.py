@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, constants as K
 from ..plans import schools as school_plans
 from ..session import scratch_path
-from ..sources import tables as T, versions
+from ..sources import tables as T, typed_csv, versions
 from .base import query
 
 
@@ -67,6 +67,51 @@ def _(t):
     return T.read_csv(t.spark, path, schema)
 
 
+def _mixed_csv(t):
+    """Suppliers as CSV lines: some with too few or too many fields, some with a word for a number."""
+    key = F.col("s_suppkey")
+    balance = F.when(key % 50 == 9, "unknown").when(key % 7 == 2, "NA").otherwise(F.format_string("%.2f", "s_acctbal"))
+    opened = F.when(key % 9 != 0, F.concat(F.lit("2024-0"), (key % 9).cast("string"), F.lit("-11"))).otherwise("")
+    fields = [key.cast("string"), F.concat(F.lit('"'), "s_name", F.lit(', Ltd"')), balance, opened, (key % 2 == 0).cast("string")]
+    line = (
+        F.when(key % 20 == 13, F.concat_ws(",", *fields[:3]))
+        .when(key % 20 == 17, F.concat_ws(",", *fields, F.lit("more")))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    path = scratch_path(t.spark, "mixed")
+    lines = t.supplier.select(line.alias("key,name,balance,opened,even"))
+    lines.write.options(header=True, sep="\u0001", quote="", escapeQuotes=False).csv(path)
+    return path
+
+
+_BALANCE = "case when s_suppkey % 7 <> 2 then round(s_acctbal, 2) end"
+_OPENED = "case when s_suppkey % 9 <> 0 then make_date(2024, cast(s_suppkey % 9 as int), 11) end"
+
+
+@query(
+    "s5_inferred_csv",
+    f"""
+    select s_suppkey as key, s_name || ', Ltd' as name, {_BALANCE} as balance, {_OPENED} as opened, s_suppkey % 2 = 0 as even
+    from supplier where s_suppkey % 20 not in (13, 17) and s_suppkey % 50 <> 9
+    """,
+)
+def _(t):
+    return typed_csv.scan(t.spark, _mixed_csv(t), tolerance=0.1).rows
+
+
+@query(
+    "s5_quarantined_rows",
+    """
+    select case when s_suppkey % 20 in (13, 17) then 'fields' else 'value' end as reason,
+        case when s_suppkey % 20 not in (13, 17) then 'balance' end as "column", count(*) as n
+    from supplier where s_suppkey % 20 in (13, 17) or s_suppkey % 50 = 9 group by 1, 2
+    """,
+)
+def _(t):
+    found = typed_csv.scan(t.spark, _mixed_csv(t), tolerance=0.1).quarantined
+    return found.groupBy("reason", "column").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("s6_replace_table", "select s_suppkey, s_nationkey from supplier")
 def _(t):
     path = scratch_path(t.spark, "replaced")
