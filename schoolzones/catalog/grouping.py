@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import classify, constants as K, geo
-from ..operators import aggregates, ranks
+from ..operators import aggregates, ranks, sketches
 from ..plans import courses as course_plans, layers
-from ..session import fixed
+from ..session import fixed, scratch_path
 from .base import CHECKS, query
 from .joining import _APPROVED
 from .shapes import zone_polygons
@@ -314,3 +314,50 @@ def _(t):
 def _(t):
     curve = ranks.density(sided_rows(t), ["race", "representation"], "metric", K.DENSITY_BANDWIDTH, K.DENSITY_GRID)
     return _rounded(_rounded(curve, 5, "grid_x"), 6, "density")
+
+
+# --- Estimates from stored sketches ------------------------------------------------------------------------------
+
+
+def _monthly_sketches(t):
+    """Sketches of each supplier and month, stored in two goes, the second of which brings some months again."""
+    path = scratch_path(t.spark, "sketches")
+    rows = t.lineitem.withColumn("month", F.trunc("l_shipdate", "month"))
+    early = rows.filter("l_shipdate < '1995-07-01'").filter("l_linenumber <> 2 or month < '1995-01-01'")
+    sketches.store(sketches.daily(early, ["l_suppkey"], "month", "l_partkey", "l_extendedprice"), path)
+    late = rows.filter("month >= '1995-01-01'")
+    sketches.store(sketches.daily(late, ["l_suppkey"], "month", "l_partkey", "l_extendedprice"), path)
+    return sketches.between(t.spark, path, "1990-01-01", "2099-12-31")
+
+
+@query(
+    "a2_mergeable_distinct_count",
+    "select l_suppkey, count(distinct l_partkey) as parts, true as close from lineitem group by 1",
+)
+def _(t):
+    """Exact counts, and whether the estimates from stored sketches are within five standard errors."""
+    guess = sketches.distinct_counts(_monthly_sketches(t), ["l_suppkey"], "guess")
+    exact = aggregates.distinct_count(t.lineitem, ["l_suppkey"], "l_partkey", "parts")
+    off = F.abs(F.col("guess") - F.col("parts"))
+    return exact.join(guess, "l_suppkey").select(
+        "l_suppkey", "parts", (off <= F.greatest(F.lit(1.0), 5 * sketches.DISTINCT_ERROR * F.col("parts"))).alias("close")
+    )
+
+
+@query(
+    "a21_mergeable_quartiles",
+    "select l_suppkey, count(*) as n, true as close from lineitem group by 1",
+)
+def _(t):
+    """Rows, and whether the ranks of the estimated quartiles are within three rank errors."""
+    guess = sketches.quantiles(_monthly_sketches(t), ["l_suppkey"], [0.25, 0.5, 0.75])
+    met = t.lineitem.join(guess, "l_suppkey")
+    upto = [F.count_if(F.col("l_extendedprice") <= F.col("q")[i]).alias(f"upto{i}") for i in range(3)]
+    below = [F.count_if(F.col("l_extendedprice") < F.col("q")[i]).alias(f"below{i}") for i in range(3)]
+    ranks_of = met.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), *upto, *below)
+    room = 3 * sketches.RANK_ERROR * F.col("n") + 1
+    close = F.lit(True)
+    for i, share in enumerate((0.25, 0.5, 0.75)):
+        at = F.col("n") * share
+        close = close & (F.col(f"upto{i}") >= at - room) & (F.col(f"below{i}") <= at + room)
+    return ranks_of.select("l_suppkey", "n", close.alias("close"))
