@@ -39,19 +39,31 @@ def assign_zones(zones: DataFrame, schools: DataFrame) -> DataFrame:
 
 
 def coverage(assignment: DataFrame, zones: DataFrame, schools: DataFrame) -> DataFrame:
-    """Checks of an assignment as one row of counts; a row without a school assigns nothing."""
-    # Read by three of the checks.
-    assignment = fixed(assignment.select("geoid", SCHOOL).where(F.col(SCHOOL).isNotNull()))
-    per_zone = assignment.groupBy("geoid").agg(F.count(F.lit(1)).alias("_n"))
-    assigned = per_zone.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("assigned_zones"),
-        F.count_if(F.col("_n") > 1).alias("zones_assigned_twice"),
+    """Checks of an assignment as one row of counts; a row without a school assigns nothing.
+
+    One pass over each input: what an assignment row says about its zone and its school is counted together with the
+    lists of zones and schools, per id.
+    """
+    says = lambda kind, key, listed: F.struct(
+        F.lit(kind).alias("kind"), F.col(key).cast("string").alias("id"), F.lit(listed).alias("listed"), F.lit(1 - listed).alias("met")
+    )
+    met = assignment.filter(F.col(SCHOOL).isNotNull()).select(
+        F.inline(F.array(says("zone", "geoid", 0), says("school", SCHOOL, 0)))
+    )
+    lists = [df.select(says(kind, key, 1).alias("s")).select("s.*") for df, kind, key in ((zones, "zone", "geoid"), (schools, "school", SCHOOL))]
+    each = met.unionAll(lists[0]).unionAll(lists[1]).groupBy("kind", "id").agg(
+        F.sum("listed").alias("listed"), F.sum("met").alias("met")
+    )
+    zone = F.col("kind") == "zone"
+    lacking = (F.col("listed") > 0) & ((F.col("met") == 0) | F.col("id").isNull())
+    total = lambda c: F.coalesce(F.sum(F.when(zone, F.col(c))), F.lit(0))
+    return each.agg(
+        total("met").alias("assigned_zones"),
+        F.count_if(zone & (F.col("met") > 1)).alias("zones_assigned_twice"),
+        total("listed").alias("total_zones"),
+        F.count_if(zone & lacking).alias("unassigned_zones"),
+        F.count_if(~zone & lacking).alias("schools_without_zone"),
     )
-    total = zones.agg(F.count(F.lit(1)).alias("total_zones"))
-    missing = reshape.missing_keys(zones, assignment, "geoid").agg(F.count(F.lit(1)).alias("unassigned_zones"))
-    idle = reshape.missing_keys(schools, assignment, SCHOOL).agg(F.count(F.lit(1)).alias("schools_without_zone"))
-    parts = reshape.concat(assigned, total, missing, idle)  # one row each, other columns NULL
-    return parts.agg(*[F.sum(c).alias(c) for c in parts.columns])
 
 
 def zones_per_school(assignment: DataFrame, schools: DataFrame) -> DataFrame:
