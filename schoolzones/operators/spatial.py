@@ -15,6 +15,7 @@ from ..functions import geo
 from ..session import fixed
 
 LEAF_PAIRS = 4096  # row pairs of two cells that are compared one by one
+FIRST = 4  # the first level: 16 by 16 cells, so at most 2^16 pairs of them
 STEP = 2  # levels from a cell to its parts
 DEEPEST = 40  # the finest cells are the extent over 2^40, about the digits of a coordinate
 _LOWEST, _HIGHEST = -10, 1000  # cell sides of 2^-10 m up to beyond any finite distance
@@ -109,9 +110,9 @@ def _cells(level: str, prefix: str) -> list[str]:
     return [f"cast(least(floor({c} * {n}), {n} - 1) as bigint) as {prefix}{i}" for c, i in (("_u", "x"), ("_v", "y"))]
 
 
-def _with_parent(cells: DataFrame, *columns: str) -> DataFrame:
-    """Cells with the cell they are a part of."""
-    return cells.selectExpr("*", *[f"shiftright({c}, {STEP}) as {c}_up" for c in columns])
+def _with_parent(cells: DataFrame, by: int, *columns: str) -> DataFrame:
+    """Cells with the cell they are a part of, ``by`` levels up."""
+    return cells.selectExpr("*", *[f"shiftright({c}, {by}) as {c}_up" for c in columns])
 
 
 def _within(rows: DataFrame, cells: list[str], wanted: DataFrame) -> DataFrame:
@@ -179,8 +180,8 @@ _PLACE = ["_class", "_reach", "_rx", "_ry"]
 def _nearest_pairs(spots: DataFrame, places: DataFrame) -> DataFrame | None:
     """Pairs of spots and places that contain the nearest place of each class within its reach, for each spot.
 
-    Occupied cells are compared before rows, from one cell that holds everything down to pairs of
-    cells with few row pairs. In each round the pairs that still hold many are cut into parts on
+    Occupied cells are compared before rows, from a few large ones down to pairs of cells with few
+    row pairs. In each round the pairs that still hold many are cut into parts on
     both sides. For a left cell and class the least "furthest distance" to a right cell, all of
     whose places reach that far, is a bound; right cells beyond it, or beyond their own greatest
     reach, fall away. So only crowded spots go deeper, and nothing depends on the number of rows.
@@ -202,10 +203,12 @@ def _nearest_pairs(spots: DataFrame, places: DataFrame) -> DataFrame | None:
     pair = ["_class", "_lx", "_ly", "_gx", "_gy", "_bound"]
     none = [f"0L as {c}" for c in pair[1:5]]
     open_ = places.select("_class").distinct().selectExpr("_class", *none, "double('Infinity') as _bound")
-    left_open, right_open, done, level = spots, places, [], 0
+    left_open, right_open, done, levels = spots, places, [], []
     while True:
         above = open_.selectExpr("_class", *[f"{c} as {c}_up" for c in pair[1:5]], "_bound")
-        level += STEP
+        by = STEP if levels else FIRST
+        level = levels[-1] + by if levels else by
+        levels.append(level)
         cells_l, cells_r = _cells(str(level), "_l"), _cells(str(level), "_g")
         parts_l = _boxed(
             left_open.selectExpr("_x", "_y", *cells_l), ["_lx", "_ly"], "_x", "_y", "l_", "count(1) as _rows"
@@ -215,8 +218,8 @@ def _nearest_pairs(spots: DataFrame, places: DataFrame) -> DataFrame | None:
             "_rx", "_ry", "r_", "count(1) as _places", "min(_reach) as _least", "max(_reach) as _most",
         )
         near = (
-            above.join(_with_parent(parts_l, "_lx", "_ly"), ["_lx_up", "_ly_up"])
-            .join(_with_parent(parts_r, "_gx", "_gy"), ["_class", "_gx_up", "_gy_up"])
+            above.join(_with_parent(parts_l, by, "_lx", "_ly"), ["_lx_up", "_ly_up"])
+            .join(_with_parent(parts_r, by, "_gx", "_gy"), ["_class", "_gx_up", "_gy_up"])
             .selectExpr("*", f"{_CLOSEST} as _closest", f"{_FURTHEST} {_PAD} as _furthest")
             .filter(f"_closest <= least(_bound, _most {_PAD})")
             .selectExpr(
@@ -238,16 +241,16 @@ def _nearest_pairs(spots: DataFrame, places: DataFrame) -> DataFrame | None:
         right_open = fixed(_within(right_open, cells_r, open_.select("_class", "_gx", "_gy")))
 
     # Rows. A spot is in one cell of each level.
-    levels = f"explode(array({', '.join(str(k) for k in range(STEP, level + 1, STEP))})) as _level"
+    each_level = f"explode(array({', '.join(map(str, levels))})) as _level"
     to_box = _hypot(*[f"greatest(0d, r_min_{c} - _{c}, _{c} - r_max_{c})" for c in "xy"])
     asked = (
-        spots.selectExpr("*", levels)
+        spots.selectExpr("*", each_level)
         .selectExpr("_left", "_x", "_y", "_level", *_cells("_level", "_l"))
         .join(reduce(DataFrame.unionByName, done), ["_level", "_lx", "_ly"])
         .filter(f"{to_box} <= _bound")
         .select("_left", "_x", "_y", "_class", "_level", "_gx", "_gy")
     )
-    targets = places.selectExpr("*", levels).selectExpr(
+    targets = places.selectExpr("*", each_level).selectExpr(
         *_PLACE, "_id", "_level", *_cells("_level", "_g")
     )
     return asked.join(targets, ["_class", "_level", "_gx", "_gy"]).selectExpr(
