@@ -12,7 +12,9 @@ number of the same country code, a name of the same gender. It is written in the
 
 Collisions are checked over the entities of the whole table, in Spark: no two entities of a type may get one surrogate,
 and no surrogate may be an entity that occurs. The least entity keeps its surrogate, the others draw again until all
-differ. So equal mentions stay equal and different ones different, everywhere.
+differ; after some rounds names, domains and the part before an @ also grow, so that they can't run out. Domains are
+entities of their own: no two have one surrogate, none is one that occurs, and addresses that share one still do. So equal
+mentions stay equal and different ones different, everywhere.
 
 A null text stays null; texts without a find are unchanged. Rows are handled one by one, so repeated rows, equal or null
 doc_ids give equal results. Only the named columns are read. An empty table gives an empty result.
@@ -30,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .native import row_key
 from .store import stored
 
 #: Titles and the gender they tell, and some given names by gender.
@@ -204,14 +207,20 @@ def _shape(key: str, draw: _Draw) -> str:
     return "".join(str(draw.below(10)) if c in "0123456789" else _letter(c, draw) if c.isalpha() else c for c in key)
 
 
-def surrogate(kind: str, key: str, attempt: int, secret: str) -> str:
-    """The surrogate's key for an entity's key."""
+#: After so many rounds, surrogates whose length is free grow by a letter or syllable, so that none runs out of values.
+_GROWS = 12
+
+
+def surrogate(kind: str, key: str, attempt: int, secret: str, domain: str | None = None) -> str:
+    """The surrogate's key for an entity's key; ``domain`` is the surrogate of an address's domain, else its first draw."""
     draw = _Draw(secret, kind, key, str(attempt))
+    more = "a" * (attempt // _GROWS)
     if kind == "email":
-        local, _, domain = key.partition("@")
-        host, _, top = domain.rpartition(".")
-        # A domain has one surrogate by itself, so addresses that share it still do.
-        return f"{_shape(local, draw)}@{_shape(host, _Draw(secret, 'domain', domain))}.{top}"
+        local, _, known = key.partition("@")
+        return f"{_shape(local + more, draw)}@{domain or surrogate('domain', known, 0, secret)}"
+    if kind == "domain":
+        host, _, top = key.rpartition(".")
+        return f"{_shape(host + more, draw)}.{top}"
     if kind == "ip":
         parts = key.split(".")
         inner = 2 if parts[:2] == ["192", "168"] else 1 if parts[0] in ("10", "127") else 0
@@ -239,7 +248,7 @@ def surrogate(kind: str, key: str, attempt: int, secret: str) -> str:
     if script is None:
         return _shape(key, draw)
     hard, soft = _SCRIPTS[script]
-    syllables = "".join(hard[draw.below(len(hard))] + soft[draw.below(len(soft))] for _ in range(2 + draw.below(2)))
+    syllables = "".join(hard[draw.below(len(hard))] + soft[draw.below(len(soft))] for _ in range(2 + draw.below(2) + len(more)))
     ending = {"given_f": soft[0], "given_m": hard[draw.below(len(hard))]}.get(kind, hard[draw.below(len(hard))])
     return syllables[:-1] + ending if kind == "given_f" else syllables + ending
 
@@ -279,23 +288,35 @@ def _replace_all(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.
 def assign(entities: DataFrame, secret: str) -> DataFrame:
     """``entities`` (kind, entity), different -> (kind, entity, new) with all ``new`` of a kind different and no entity.
 
-    Each round settles all that neither collide with each other, nor with a surrogate settled before, nor with an entity.
+    Domains of addresses are entities too and are settled first; an address takes its domain's surrogate.
     """
+    domain = F.substring_index("entity", "@", -1)
+    emails = F.col("kind") == "email"
+    domains = entities.where(emails).select(F.lit("domain").alias("kind"), domain.alias("entity")).distinct()
+    settled = stored(_settled(domains.withColumn("host", F.lit(None).cast("string")), secret), "domains")
+    hosts = settled.select(F.col("entity").alias("domain"), F.col("new").alias("host"))
+    placed = entities.select("kind", "entity", F.when(emails, domain).alias("domain")).join(hosts, "domain", "left")
+    return _settled(placed.select("kind", "entity", "host"), secret)
+
+
+def _settled(entities: DataFrame, secret: str) -> DataFrame:
+    """Each round settles all that neither collide with each other, nor with a surrogate settled before, nor with an entity."""
 
-    def draw(kinds: pd.Series, keys: pd.Series, attempts: pd.Series) -> pd.Series:
-        return pd.Series([surrogate(k, e, a, secret) for k, e, a in zip(kinds, keys, attempts)], dtype=object)
+    def draw(kinds: pd.Series, keys: pd.Series, hosts: pd.Series, attempts: pd.Series) -> pd.Series:
+        rows = zip(kinds, keys, attempts, hosts)
+        return pd.Series([surrogate(k, e, a, secret, *([h] if h else [])) for k, e, a, h in rows], dtype=object)
 
     make = F.pandas_udf(draw, "string")
     taken = entities.select("kind", F.col("entity").alias("new"))
-    settled, open_, attempt = None, entities.select("kind", "entity"), 0
+    settled, open_, attempt = None, entities.select("kind", "entity", "host"), 0
     while True:
-        drawn = stored(open_.withColumn("new", make("kind", "entity", F.lit(attempt))), "drawn")
+        drawn = stored(open_.withColumn("new", make("kind", "entity", "host", F.lit(attempt))), "drawn")
         used = taken if settled is None else taken.union(settled.select("kind", "new"))
         first = drawn.groupBy("kind", "new").agg(F.min("entity").alias("entity"))
         good = first.join(used, ["kind", "new"], "left_anti").select("kind", "entity", "new")
         good = stored(good, "settled")
         settled = good if settled is None else settled.union(good)
-        open_ = stored(drawn.join(good, ["kind", "entity"], "left_anti").select("kind", "entity"), "open")
+        open_ = stored(drawn.join(good, ["kind", "entity"], "left_anti").select("kind", "entity", "host"), "open")
         if open_.isEmpty():
             return settled
         attempt += 1
@@ -309,7 +330,7 @@ def pseudonymized(docs: DataFrame, secret: str, doc_id: str = "doc_id", text: st
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     marked = rows.withColumn("finds", find("text"))
     having = stored(
-        marked.where(F.size("finds") > 0).select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text", "finds"),
+        marked.where(F.size("finds") > 0).select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", "text", "finds"),
         "finds",
     )
     mentions = having.dropDuplicates(["key"]).select("key", F.explode("finds").alias("f")).select("key", "f.*")

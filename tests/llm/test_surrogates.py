@@ -142,3 +142,21 @@ def test_no_name_is_left(documents):
     words = row["text"].split()
     assert not {"Anna", "Weber", "John", "Ronald", "Reuel", "Tolkien"} & set(re.findall(r"\w+", row["text"]))
     assert words[2] == words[9] and words[1] == words[13] and words[8] == words[11] + "."
+
+
+def test_domains_are_entities_and_nothing_runs_out(spark):
+    """All one-letter domains of a top level, 900 of three letters, and more names than short surrogates."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    hosts = [*letters, *(a + b + c for a in letters for b in letters[:7] for c in letters[:5])][:926]
+    rows = [("email", f"{who}@{h}.com") for h in hosts for who in ("ann", "bob")]
+    rows += [("surname", f"x{i}") for i in range(3000)]
+    entities = spark.createDataFrame(rows, "kind string, entity string")
+    got = {(r["kind"], r["entity"]): r["new"] for r in surrogates.assign(entities, "a key for each release").collect()}
+    assert set(got) == set(rows) and len(set(got.values())) == len(rows)
+    old = {e for _, e in rows}
+    assert not old & set(got.values())
+    new_domain = {h: got["email", f"ann@{h}.com"].split("@")[1] for h in hosts}
+    assert all(got["email", f"bob@{h}.com"].split("@")[1] == new_domain[h] for h in hosts)
+    assert len(set(new_domain.values())) == len(hosts) and not {f"{h}.com" for h in hosts} & set(new_domain.values())
+    drawn = [surrogates.surrogate("given_f", "anna", a, "s") for a in (0, 60, 120)]
+    assert len(drawn[0]) < len(drawn[1]) < len(drawn[2])
