@@ -25,6 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .native import row_key
 from .store import stored
 from .text import GAP
 
@@ -171,7 +172,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
     """
     spark = files.sparkSession
     files = files.select(F.col(path).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    key = F.xxhash64("path", "text").alias("key")
+    key = row_key(F.col("path"), F.col("text")).alias("key")
     parts = F.filter(F.split("text", _SENTENCE), lambda s: s.rlike(_CUE))
     said = stored(
         files.where(F.col("text").rlike(_CUE))
