@@ -8,10 +8,12 @@ tree. The tree is built in memory-sized parts:
   windows have equal prefixes, so they meet in one group; neighbouring windows mostly share the gram, so their words
   travel once, as one region.
 * Only grams found in two documents can lead to a repeat; the others are leaves and never travel.
-* Groups of ordinary size are put together into batches of bounded memory. In a batch, paths grow level by level with
-  doubling length (1, 2, 4 ... words) down to ``DEPTH``; the suffixes that still share a node there are repeats.
-* A group with more than ``GROUP_REGIONS`` regions gets a longer prefix, the whole window: then each group is a single
-  node, and its least document is a minimum with partial sums, of any size.
+* The bytes of each group are summed before anything is cut. Groups of up to ``GROUP_BYTES`` are put together into
+  batches of ``BATCH_BYTES``. In a batch, paths grow level by level with doubling length (1, 2, 4 ... words) down to
+  ``DEPTH``; the suffixes that still share a node there are repeats. This takes about 40 times the batch's bytes.
+* A group of more bytes gets a longer prefix, the whole window: then each group is a single node, and its least document
+  is a minimum with partial sums, of any size. Equal windows of one document that overlap are one row, so a text of one
+  repeated word, or of a few in turn, is as many rows as it has different windows.
 
 Documents with equal words are merged beforehand (all but the least are repeats as a whole), so thousands of copies cost
 as much as one. Words are compared as bytes in the trees, by 128-bit hash in the longest prefixes.
@@ -37,8 +39,8 @@ from .text import Words, scrambled, chunks, encoded, stable_codes
 
 DEPTH = 50
 GRAM = 10
-#: Regions of one prefix that are put into one tree; with about 70 words each, a megabyte or two.
-GROUP_REGIONS = 2_048
+#: Bytes of one prefix's regions that go into one tree.
+GROUP_BYTES = 1 << 20
 BATCH_BYTES = 8 << 20
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -70,7 +72,7 @@ def routes(codes: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts[first], np.diff(np.append(first, len(starts))), gram[first]
 
 
-_SIGNATURE = "n_words long, digest string, grams array<long>"
+_SIGNATURE = "n_words long, digest string, grams array<long>, sizes array<long>"
 
 
 def _signature(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -80,16 +82,20 @@ def _signature(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             words = Words(part)
             ends = np.cumsum(words.count)
             starts = ends - words.count
-            first, _, gram = routes(stable_codes(words.words), words.text_of)
+            first, n, gram = routes(stable_codes(words.words), words.text_of)
+            length = np.fromiter(map(len, words.words), np.int64, len(words.words)) + 1
+            places = np.concatenate(([0], np.cumsum(length)))
+            sizes = places[first + n + DEPTH - 1] - places[first] if len(first) else np.zeros(0, np.int64)
             cuts = np.searchsorted(first, ends)
             begins = np.searchsorted(first, starts)
             for a, b, i, j in zip(starts.tolist(), ends.tolist(), begins.tolist(), cuts.tolist()):
-                out.append((b - a, hashlib.sha256(b" ".join(words.words[a:b])).hexdigest(), gram[i:j]))
-        yield pd.DataFrame(out, columns=["n_words", "digest", "grams"])
+                digest = hashlib.sha256(b" ".join(words.words[a:b])).hexdigest()
+                out.append((b - a, digest, gram[i:j], sizes[i:j]))
+        yield pd.DataFrame(out, columns=["n_words", "digest", "grams", "sizes"])
 
 
 _REGION = "gram long, doc_id long, text_key long, at long, n long, words binary"
-_WINDOW = "h1 long, h2 long, doc_id long, text_key long, at long"
+_WINDOW = "h1 long, h2 long, doc_id long, text_key long, begin long, end long"
 _SPAN = "doc_id long, text_key long, begin long, end long"
 
 
@@ -101,22 +107,37 @@ def _cut_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text, the regions whose gram is in ``light``."""
     kinds = [(x.split()[0], pa.binary() if "binary" in x else pa.int64()) for x in _REGION.split(", ")]
     for batch in batches:
-        held = [[] for _ in kinds]
+        held, size = [[] for _ in kinds], 0
         for doc_id, key, text, light in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text", "light"))):
             words = encoded(text).split()
             first, n, gram = routes(stable_codes(words), np.zeros(len(words), np.int8))
             use = np.isin(gram, np.array(light, np.int64))
             for a, k, g in zip(first[use].tolist(), n[use].tolist(), gram[use].tolist()):
-                for column, value in zip(held, (g, doc_id, key, a, k, b" ".join(words[a : a + k + DEPTH - 1]))):
+                region = b" ".join(words[a : a + k + DEPTH - 1])
+                size += len(region)
+                for column, value in zip(held, (g, doc_id, key, a, k, region)):
                     column.append(value)
-            if len(held[0]) > 8192:
-                yield _rows(held, kinds)
-                held = [[] for _ in kinds]
+                if size > BATCH_BYTES:
+                    yield _rows(held, kinds)
+                    held, size = [[] for _ in kinds], 0
         yield _rows(held, kinds)
 
 
+def overlapping(h1: np.ndarray, h2: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal windows of a document, each no further than its length and as far from the one before as that from its own
+    before, as one: the numbers of the first and last of each such row, in order of the hashes and places."""
+    order = np.lexsort((at, h2, h1))
+    h1, h2, at = h1[order], h2[order], at[order]
+    step = np.diff(at, prepend=at[:1])
+    step[1:][(h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (step[1:] > DEPTH)] = 0  # 0: not a window of the row before
+    new = step == 0
+    new[1:] |= (step[1:] != step[:-1]) & (step[:-1] != 0)
+    first = np.flatnonzero(new)
+    return order[first], order[np.append(first[1:], len(order)) - 1]
+
+
 def _cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each text, the windows whose gram is in ``heavy``, as two hashes of all their words."""
+    """Of each text, the windows whose gram is in ``heavy``, as two hashes of all their words and the words covered."""
     kinds = [(x.split()[0], pa.int64()) for x in _WINDOW.split(", ")]
     for batch in batches:
         for doc_id, key, text, heavy in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text", "heavy"))):
@@ -128,8 +149,10 @@ def _cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])).astype(np.int64), n) + np.arange(n.sum())
             if len(at):
                 h1, h2 = _grams(codes, DEPTH), _grams(scrambled(codes), DEPTH, np.uint64(0xA0761D6478BD642F))
-                same = np.full(len(at), doc_id)
-                yield _rows([h1[at].view(np.int64), h2[at].view(np.int64), same, np.full(len(at), key), at], kinds)
+                h1, h2 = h1[at].view(np.int64), h2[at].view(np.int64)
+                a, b = overlapping(h1, h2, at)
+                same = [np.full(len(a), doc_id), np.full(len(a), key)]
+                yield _rows([h1[a], h2[a], *same, at[a], at[b] + DEPTH], kinds)
 
 
 def deep_nodes(codes: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
@@ -222,7 +245,7 @@ def _text_key(digest: Column) -> Column:
 class Repeats:
     """The repeats of a table: ``marked`` (a row per document), ``texts`` (documents that may hold one) and ``spans``."""
 
-    def __init__(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group_regions: int = GROUP_REGIONS):
+    def __init__(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group_bytes: int = GROUP_BYTES):
         docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
         sign = F.pandas_udf(_signature, _SIGNATURE)
         signed = stored(docs.select("doc_id", sign("text").alias("s")).select("doc_id", "s.*"), "signatures")
@@ -235,14 +258,15 @@ class Repeats:
         found = (
             signed.dropDuplicates(["doc_id", "digest"])
             .join(firsts, ["digest", "doc_id"])
-            .select("doc_id", _text_key(F.col("digest")).alias("text_key"), F.explode("grams").alias("gram"))
+            .select("doc_id", _text_key(F.col("digest")).alias("text_key"), F.explode(F.arrays_zip("grams", "sizes")).alias("of"))
+            .select("doc_id", "text_key", F.col("of.grams").alias("gram"), F.col("of.sizes").alias("size"))
         )
         found = stored(found, "grams")
         shared = (
             found.groupBy("gram")
-            .agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+            .agg(F.sum("size").alias("bytes"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
             .where("lo < hi")
-            .select("gram", (F.col("n") > group_regions).alias("is_heavy"))
+            .select("gram", (F.col("bytes") > group_bytes).alias("is_heavy"))
         )
         grams_of = (
             found.join(shared, "gram")
@@ -263,28 +287,27 @@ class Repeats:
         )
         nodes = heavy.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"))
         deep = heavy.join(nodes, ["h1", "h2"]).where("doc_id > least")
-        self.spans = light.union(deep.select("doc_id", "text_key", "at", F.col("at") + DEPTH))
+        self.spans = light.union(deep.select("doc_id", "text_key", "begin", "end"))
 
     @staticmethod
     def _with_text(docs: DataFrame, grams_of: DataFrame) -> DataFrame:
-        """The documents with shared grams; rows of that doc_id with other words drop out by their digest."""
+        """The documents with shared grams, each once; rows of that doc_id with other words drop out by their digest."""
 
         @F.pandas_udf("string")
         def digest(texts: pd.Series) -> pd.Series:
             return texts.map(lambda t: hashlib.sha256(b" ".join(encoded(t).split())).hexdigest())
 
         joined = docs.join(grams_of, "doc_id").where(_text_key(digest("text")) == F.col("text_key"))
-        return joined.select("doc_id", "text_key", "text", "light", "heavy")
+        return joined.select("doc_id", "text_key", "text", "light", "heavy").dropDuplicates(["doc_id", "text_key"])
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group_regions: int = GROUP_REGIONS) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row: what is left without words of an earlier document."""
-    found = Repeats(docs, doc_id, text, group_regions)
+    found = Repeats(docs, doc_id, text, group_bytes)
     spans = found.spans.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     kept = F.pandas_udf(_kept, "n_removed long, kept_sha256 string")
     changed = (
-        found.texts.dropDuplicates(["doc_id", "text_key"])
-        .join(spans, ["doc_id", "text_key"])
+        found.texts.join(spans, ["doc_id", "text_key"])
         .select("doc_id", "text_key", kept("text", "spans").alias("k"))
         .select("doc_id", "text_key", "k.*")
     )

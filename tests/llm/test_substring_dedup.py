@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from schoolzones.llm import substring_dedup
@@ -29,13 +31,14 @@ def brute(ids, texts):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("group_regions", [substring_dedup.GROUP_REGIONS, 3, 0])
-def test_equals_brute_force(documents, texts, group_regions):
+@pytest.mark.parametrize("group_bytes", [substring_dedup.GROUP_BYTES, 2000, 0])
+def test_equals_brute_force(documents, texts, group_bytes):
     values = texts(140, longest=160)
     values += [" ".join(["la"] * n) for n in (49, 50, 51, 200)]  # windows within windows
     values.append(" ".join(values[10:14]))
+    values += [" ".join(f"p{k % period}" for k in range(300)) for period in (2, 7, 50, 51, 60) for _ in range(2)]
     ids = [(i * 37) % 1009 for i in range(len(values))]
-    got = substring_dedup.remove_repeats(documents(values, ids), group_regions=group_regions).collect()
+    got = substring_dedup.remove_repeats(documents(values, ids), group_bytes=group_bytes).collect()
     want = brute(ids, values)
     assert sorted(map(tuple, got), key=str) == want
     assert sum(0 < r[2] < r[1] for r in want) > 10
@@ -55,3 +58,28 @@ def test_batches_cut_between_groups(documents, texts, monkeypatch):
     values = texts(60)
     got = substring_dedup.remove_repeats(documents(values)).collect()
     assert sorted(map(tuple, got), key=str) == brute(list(range(60)), values)
+
+
+def test_overlapping_windows_are_one_row():
+    at = np.array([0, 5, 9, 13, 100, 151, 202, 252, 3, 4])
+    h1 = np.array([1] * 8 + [2] * 2)
+    first, last = substring_dedup.overlapping(h1, np.where(at == 4, 1, 0), at)
+    assert list(zip(at[first].tolist(), at[last].tolist())) == [
+        (0, 5), (9, 13), (100, 100), (151, 151), (202, 252), (3, 3), (4, 4),
+    ]
+    covered = {w for a, b in zip(at[first], at[last]) for w in range(a, b + 50)}
+    assert covered == {w for a in at for w in range(a, a + 50)}
+
+
+def test_texts_of_one_word(documents):
+    """Groups are bounded in bytes: long texts of one word take few rows and no tree."""
+    values = [" ".join([word] * (20_000 + i)) for i in range(60) for word in ("la", "do re")]
+    got = substring_dedup.remove_repeats(documents(values)).collect()
+    assert sorted((r["doc_id"], r["n_words"] - r["n_removed"]) for r in got) == [
+        (i, len(v.split()) if i < 2 else 0) for i, v in enumerate(values)
+    ]
+    batch = documents(values[:2]).selectExpr("doc_id", "doc_id as text_key", "text").toPandas()
+    grams = [substring_dedup.routes(substring_dedup.stable_codes(v.encode().split()), np.zeros(len(v.split())))[2] for v in values[:2]]
+    batch["heavy"] = [g.tolist() for g in grams]
+    rows = sum(b.num_rows for b in substring_dedup._cut_windows([pa.RecordBatch.from_pandas(batch)]))
+    assert rows == 3
