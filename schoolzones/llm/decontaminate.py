@@ -9,8 +9,10 @@ stay different) on the best alignment, or on any other that by itself has 0.8 of
 All main work is Spark's own functions. The benchmark side of the join is broadcast only if its windows, counted
 first, are at most ``max_broadcast``; a larger benchmark is joined by shuffle.
 
-Null and empty texts have no windows. Items whose windows all consist of placeholders, or with under five words, can't
-be found. Rows without doc_id can't be named and are not reported; repeated rows and rows that share a doc_id are
+A window with more than ``MAX_PLACEHOLDERS`` placeholders says too little by its template; it is known by its values. Such
+windows count for items that have no others (a list of measures, say), which are found where the values are the same.
+
+Null and empty texts have no windows. Items with under five words can't be found. Rows without doc_id can't be named and are not reported; repeated rows and rows that share a doc_id are
 judged one by one and reported once, with the best of them. Only the named columns are read. Empty tables give an empty
 result.
 """
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .native import let, unused, windows
+from .native import let, unused
 from .store import stored
 
 #: Words that count as a unit after a number.
@@ -33,7 +35,7 @@ kpa bar k c f degree degrees percent dollar dollars euro euros cent cents usd eu
 
 WINDOW = 5
 MIN_SHARE = 0.8
-#: A window with more placeholders than this says too little.
+#: A window with more placeholders than this is known by its values.
 MAX_PLACEHOLDERS = 3
 
 # A number or a word, with one closing mark, which tells where a sentence ends.
@@ -76,16 +78,49 @@ def _is_slot(key: Column) -> Column:
     return key.isin(_NUMBER, _UNIT, _NAME)
 
 
+def _value(raw: Column) -> Column:
+    return F.lower(F.rtrim(raw, F.lit(".!?")))
+
+
+def _slots_at(flags: Column, start: Column) -> Column:
+    """Placeholders of the window from place ``start``; ``flags``: 1 for each placeholder, else 0."""
+    return sum((F.get(flags, start + k) for k in range(1, WINDOW)), F.get(flags, start))
+
+
+def _starts(keys: Column) -> Column:
+    """The first places of all windows, from 0."""
+    all_ = F.sequence(F.lit(0), F.size(keys) - WINDOW)
+    return F.when(F.size(keys) >= WINDOW, all_).otherwise(F.array().cast("array<int>"))
+
+
+def _flags(keys: Column) -> Column:
+    return F.transform(keys, lambda key: (key <= _NAME).cast("int"))  # words begin with a letter
+
+
+def template_windows(raw: Column, keys: Column) -> Column:
+    """The hash of every window of five: of its template, or of its values where that is nearly all placeholders."""
+
+    def run(raw: Column, keys: Column, flags: Column) -> Column:
+        def one(i: Column) -> Column:
+            by_value = F.xxhash64(F.transform(F.slice(raw, i + 1, WINDOW), _value))
+            by_template = F.xxhash64(F.slice(keys, i + 1, WINDOW))
+            return F.when(_slots_at(flags, i) > MAX_PLACEHOLDERS, by_value).otherwise(by_template)
+
+        return F.transform(_starts(keys), one)
+
+    return let(raw, lambda r: let(keys, lambda k: let(_flags(k), lambda f: run(r, k, f))))
+
+
 def benchmark_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(item_id, h, wpos): every different window template of an item, at its first place."""
-    keys = benchmark.select(F.col(item_id).alias("item_id"), template(tokens(F.col(text))).alias("keys"))
-    at = F.posexplode(windows(F.col("keys"), WINDOW)).alias("wpos", "h")
-    slots = F.size(F.filter(F.slice("keys", F.col("wpos") + 1, WINDOW), _is_slot))
+    """(item_id, h, wpos): every different window of an item that counts, at its first place."""
+    words = benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), tokens(F.col(text)).alias("raw"))
+    words = words.select("item_id", "raw", template(F.col("raw")).alias("keys"))
+    slots = let(_flags(F.col("keys")), lambda f: F.transform(_starts(F.col("keys")), lambda i: _slots_at(f, i)))
+    found = words.select("item_id", slots.alias("slots"), template_windows(F.col("raw"), F.col("keys")).alias("h"))
     return (
-        keys.where("item_id is not null")
-        .select("item_id", "keys", at)
-        .where(slots <= MAX_PLACEHOLDERS)
-        .groupBy("item_id", "h")
+        found.select("item_id", F.array_min("slots").alias("least"), F.posexplode(F.arrays_zip("slots", "h")).alias("wpos", "of"))
+        .where((F.col("of.slots") <= MAX_PLACEHOLDERS) | (F.col("least") > MAX_PLACEHOLDERS))
+        .groupBy("item_id", F.col("of.h").alias("h"))
         .agg(F.min("wpos").alias("wpos"))
     )
 
@@ -96,7 +131,7 @@ def candidates(docs: DataFrame, items: DataFrame, max_broadcast: int) -> DataFra
     by_hash = items.select("h", "item_id")
     if items.count() <= max_broadcast:
         by_hash = F.broadcast(by_hash)
-    hashes = F.array_distinct(windows(template(tokens(F.col("text"))), WINDOW))
+    hashes = F.array_distinct(let(tokens(F.col("text")), lambda raw: template_windows(raw, template(raw))))
     met = docs.select("doc_id", F.explode(hashes).alias("h")).join(by_hash, "h")
     return (
         met.distinct()
@@ -138,7 +173,8 @@ def contaminated(
         "doc_id", "item_id", "n_windows", F.xxhash64("text").alias("row"), tokens(F.col("text")).alias("raw")
     )
     words = words.select("*", template(F.col("raw")).alias("keys"))
-    again = words.select("doc_id", "item_id", "row", F.posexplode(windows(F.col("keys"), WINDOW)).alias("pos", "h"))
+    hashes = template_windows(F.col("raw"), F.col("keys"))
+    again = words.select("doc_id", "item_id", "row", F.posexplode(hashes).alias("pos", "h"))
     aligned = (
         again.join(items, ["item_id", "h"])
         .groupBy("doc_id", "row", "item_id", (F.col("pos") - F.col("wpos")).alias("shift"))
@@ -158,7 +194,6 @@ def contaminated(
         "item_id is not null"
     )
     source = source.select("*", template(F.col("item_raw")).alias("item_keys"))
-    plain = lambda raw: F.lower(F.rtrim(raw, F.lit(".!?")))
 
     def slots(row: Column) -> Column:
         place = F.sequence(F.lit(0), F.size(row.item_keys) - 1)
@@ -169,8 +204,8 @@ def contaminated(
             F.filter(place, same),
             lambda i: F.struct(
                 F.get(row.item_keys, i).alias("kind"),
-                plain(F.get(row.item_raw, i)).alias("item"),
-                plain(F.get(row.raw, i + row["shift"])).alias("doc"),
+                _value(F.get(row.item_raw, i)).alias("item"),
+                _value(F.get(row.raw, i + row["shift"])).alias("doc"),
             ),
         )
 

@@ -13,18 +13,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def windows(items: Column, size: int) -> Column:
-    """A 64-bit hash of every run of ``size`` items; none where there are fewer."""
-
-    def run(a: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(a) - (size - 1))
-        return F.when(
-            F.size(a) >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(a, i, size)))
-        ).otherwise(F.array().cast("array<long>"))
-
-    return let(items, run)
-
-
 def unused(name: str, *frames: DataFrame) -> str:
     """``name``, or one made from it, that is no column of these."""
     taken = {c.lower() for f in frames for c in f.columns}

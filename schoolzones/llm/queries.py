@@ -168,15 +168,21 @@ def _leaks_sql() -> str:
 
     def windows(table: str) -> str:
         return f"""
-            select key, pos, array_to_string(keys[pos + 1 : pos + {size}], ' ') as t, keys[pos + 1 : pos + {size}] as part
-            from (select *, unnest(range(0, len(keys) - {size - 1})) as pos from {table} where len(keys) >= {size})"""
+            select key, raw, pos, n_slots, array_to_string(case when n_slots > {decontaminate.MAX_PLACEHOLDERS}
+                then list_transform(raw[pos + 1 : pos + {size}], lambda x: lower(rtrim(x, '.!?')))
+                else keys[pos + 1 : pos + {size}] end, ' ') as t
+            from (
+                select *, len(list_filter(keys[pos + 1 : pos + {size}], lambda x: x {slot})) as n_slots
+                from (select *, unnest(range(0, len(keys) - {size - 1})) as pos from {table} where len(keys) >= {size})
+            )"""
 
     return f"""
         with items as ({texts('benchmark', 'item_id')}),
         docs as ({texts('documents', 'doc_id')}),
         wanted as (
-            select key as item, t, min(pos) as wpos from ({windows('items')})
-            where len(list_filter(part, lambda x: x {slot})) <= {decontaminate.MAX_PLACEHOLDERS} group by 1, 2
+            select key as item, t, min(pos) as wpos
+            from (select *, min(n_slots) over (partition by key, raw) as least from ({windows('items')}))
+            where n_slots <= {decontaminate.MAX_PLACEHOLDERS} or least > {decontaminate.MAX_PLACEHOLDERS} group by 1, 2
         ),
         sizes as (select item, count(*) as n_windows from wanted group by 1),
         met as (select key as doc, item, t, pos - wpos as shift from ({windows('docs')}) join wanted using (t)),

@@ -25,21 +25,27 @@ def canon(text):
     return [r.rstrip(".!?").lower() for r in raw], keys
 
 
+def window(raw, keys, a):
+    w = tuple(keys[a : a + 5])
+    return tuple(raw[a : a + 5]) if sum(isinstance(k, int) for k in w) > 3 else w
+
+
 def brute(docs, items):
     """Pairs (doc, item): enough templates shared, and a one-to-one renaming on the most frequent shift."""
     out = set()
     for i, question in items:
         raw, keys = canon(question)
         at = {}
-        for a in range(len(keys) - 4):
-            w = tuple(keys[a : a + 5])
-            if sum(isinstance(k, int) for k in w) <= 3:
-                at.setdefault(w, a)
+        for few in (True, False):  # windows of nearly only placeholders count where there are no others
+            for a in range(len(keys) - 4):
+                if (sum(isinstance(k, int) for k in keys[a : a + 5]) <= 3) == few and (few or not light):
+                    at.setdefault(window(raw, keys, a), a)
+            light = bool(at)
         for d, text in docs:
             raw2, keys2 = canon(text)
             shifts, met = {}, set()
             for a in range(len(keys2) - 4):
-                w = tuple(keys2[a : a + 5])
+                w = window(raw2, keys2, a)
                 if w in at:
                     met.add(w)
                     shifts.setdefault(a - at[w], set()).add(w)
@@ -68,6 +74,7 @@ def test_equals_brute_force(spark, documents):
     words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)] + "Anna Paul 12 7 kg 3.5".split()
     say = lambda n: " ".join(rnd.choice(words) + rnd.choice(["", "", "", ".", ","]) for _ in range(n))
     items = [(i, say(rnd.randint(3, 50))) for i in range(25)] + [(100, QUESTION)]
+    items += [(101, "12 kg 7 mm 3.5 m 24 mg 8 s"), (102, "1 2 3 4 5 6"), (103, "1 2 3 4 5 and then 7 kg of it")]
     docs = []
     for k in range(120):
         text = say(rnd.randint(0, 120))
@@ -78,6 +85,8 @@ def test_equals_brute_force(spark, documents):
             text += " " + " ".join(part[: int(len(part) * rnd.uniform(0.5, 1))])
         docs.append(text)
     docs += [OTHER, QUESTION.replace("24", "36"), QUESTION.upper(), "x " + QUESTION * 3]
+    docs += ["a list: 12 kg, 7 mm, 3.5 m, 24 mg, 8 s.", "13 kg 7 mm 3.5 m 24 mg 8 s", "0 1 2 3 4 5 6", "6 5 4 3 2 1"]
+    docs += ["1 2 3 4 5 and then 7 kg of it", "9 8 7 6 5 and then 1 kg of it", "9 8 7 6 5 and then 5 kg of it"]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = brute(list(enumerate(docs)), items)
     for limit in (1_000_000, 0):  # broadcast and shuffled
@@ -136,3 +145,10 @@ def test_stage_with_columns_of_its_own_names(spark, documents):
     df = df.withColumnRenamed("fp", "leak").withColumnRenamed("lang", "_leak").withColumnRenamed("quality", "row")
     out = decontaminate.without_leaks(df, bench)
     assert out.columns == df.columns and sorted(str(r["doc_id"]) for r in out.collect()) == ["2", "None"]
+
+
+def test_items_of_placeholders_are_found_by_their_values(spark, documents):
+    bench = spark.createDataFrame([(1, "12 kg 7 mm 3.5 m 24 mg"), (2, "Anna 4 5 6 7 8")], "item_id long, text string")
+    docs = ["weights are 12 kg, 7 mm, 3.5 m, 24 mg today", "13 kg 7 mm 3.5 m 24 mg", "1 2 3 4 5 6 7 8 9", "Anna 4 5 6 7 8"]
+    got = decontaminate.contaminated(documents(docs), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(0, 1), (3, 2)}
