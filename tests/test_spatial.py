@@ -89,6 +89,25 @@ def test_assignment_with_a_hundred_radii(spark):
     check_assignment(spark, z, s)
 
 
+@pytest.mark.parametrize("own", [False, True])
+def test_pairs_grow_with_the_spots_alone(spark, own):
+    """Four times the places, with their radii mixed: a spot still meets but the few around it."""
+    met = []
+    for n in (1500, 6000):
+        z, s = points(12, n, n, False)
+        places = frame(spark, s.dropna()).selectExpr(
+            "school_x as _rx", "school_y as _ry", "unique_school_id as _id",
+            f"explode(array(named_struct('c', 'all', 'r', double('Infinity')){", named_struct('c', 'own', 'r', buffer_distance * 1609.34)" * own})) as _c",
+        ).selectExpr("_c.c as _class", "_c.r as _reach", "_rx", "_ry", "_id")
+        spots = frame(spark, z).selectExpr("geoid as _left", "x as _x", "y as _y")
+        met.append(spatial._nearest_pairs(spots, places).count() / n)
+    assert max(met) < 40 and met[1] < 1.5 * met[0]
+
+
+def test_dense_places_with_mixed_radii(spark):
+    check_assignment(spark, *points(13, 5000, 2500, True))
+
+
 def test_infinite_values(spark):
     inf = float("inf")
     zones = spark.createDataFrame(
