@@ -104,6 +104,25 @@ def test_pairs_grow_with_the_spots_alone(spark, own):
     assert max(met) < 40 and met[1] < 1.5 * met[0]
 
 
+def test_left_rows_of_one_file_go_to_many_tasks(spark, tmp_path, monkeypatch):
+    """What reads the left rows again, with all they meet, is dealt out however the input lies in files."""
+    z, s = points(14, 3000, 300, False)
+    frame(spark, z).coalesce(1).write.parquet(str(tmp_path / "zones"))
+    stored, fixed = [], spatial.fixed
+    monkeypatch.setattr(spatial, "fixed", lambda df: stored.append(fixed(df)) or stored[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one task again
+    try:
+        catchment.assign_zones(spark.read.parquet(str(tmp_path / "zones")), frame(spark, s))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    left_rows = [df for df in stored if {"geoid", "_left"} & set(df.columns)]
+    assert len(left_rows) >= 2
+    for df in left_rows:
+        each = df.groupBy(F.input_file_name()).count()
+        most, rows = each.agg(F.max("count"), F.sum("count")).first()
+        assert most < 0.5 * rows
+
+
 def test_dense_places_with_mixed_radii(spark):
     check_assignment(spark, *points(13, 5000, 2500, True))
 
