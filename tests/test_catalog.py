@@ -88,3 +88,17 @@ def test_stateless_functions_take_a_stream(spark):
     stream = spark.readStream.schema(schema).parquet(FOLDER)
     x, y = geo.mercator_xy("c_acctbal", "c_acctbal")
     assert stream.select(x, y).filter(geo.in_box("c_acctbal", "c_acctbal", (0, 0, 1, 1))).isStreaming
+
+
+def test_polygons_are_made_in_many_tasks(spark):
+    """Zones of one file are dealt out before their polygons are built and measured."""
+    from pyspark.sql import functions as F
+
+    from schoolzones.catalog.shapes import zone_polygons
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one task again
+    try:
+        tasks = zone_polygons(Tables(spark, FOLDER)).groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks > 1
