@@ -14,14 +14,21 @@ and read through Spark's reader for whole files.
 
 A null text is an empty one. Rows with equal doc_ids are separate documents, in the order of their texts; null doc_ids
 come first. An empty table gives no block and an empty result. Only the named columns are read.
+
+Byte-level tokenizers cut a text in front of every space after something that is not white space. What lies between two
+such spaces has the same ids in every text, so it is encoded once and looked up from then on. Other tokenizers get the
+texts in one piece.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -39,6 +46,67 @@ _CHECK = struct.Struct("<I")
 BLOCK_IDS = 1 << 21
 #: Bytes of text for each file.
 PART_BYTES = 32 << 20
+#: Pieces of text, and characters in them, beyond which a task begins to collect them anew.
+KEPT, KEPT_CHARS = 1 << 19, 1 << 24
+
+# White space of Python holds all that the tokenizers know as such.
+_CUT = re.compile(r"(?<=\S)(?= )")
+
+
+def _cut_at_spaces(spec: dict) -> bool:
+    """Whether a tokenizer file gives a text the ids of its pieces, cut in front of spaces that follow something else."""
+    pre = spec.get("pre_tokenizer") or {}
+    return (
+        pre.get("type") == "ByteLevel"
+        and pre.get("use_regex", True)
+        and not pre.get("add_prefix_space")
+        and not any(spec.get(k) for k in ("normalizer", "truncation", "padding"))
+        and not spec["model"].get("dropout")
+        and not any(
+            t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"])
+            for t in spec.get("added_tokens") or []
+        )
+    )
+
+
+class Encoder:
+    """Ids of whole texts by the tokenizers library, which meets equal pieces of them once."""
+
+    def __init__(self, tokenizer: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.cut = Tokenizer.from_str(tokenizer), _cut_at_spaces(json.loads(tokenizer))
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.chars = {}, 0  # piece: its number
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)  # of all pieces, by number
+
+    def _lists(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        lists = self._lists(pieces)
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+        self.chars += sum(map(len, pieces))
+        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(list(map(len, lists)))))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(lists), np.int32)))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.cut or not texts:
+            return [np.array(ids, np.int64) for ids in self._lists(texts)]
+        if len(self.known) > KEPT or self.chars > KEPT_CHARS:
+            self.forget()
+        each = [_CUT.split(text) for text in texts]
+        pieces = list(chain.from_iterable(each))
+        if new := set(pieces).difference(self.known):
+            self._learn(list(new))
+        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        begins = self.ends[at]
+        sizes = self.ends[at + 1] - begins
+        upto = np.cumsum(sizes)
+        ids = self.ids[np.repeat(begins - upto + sizes, sizes) + np.arange(upto[-1])].astype(np.int64)
+        return np.split(ids, upto[np.cumsum(list(map(len, each))) - 1][:-1])
 
 
 class Entries:
@@ -122,10 +190,8 @@ def write(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_str(shipped.value)
-        vocabulary, part, number, waiting = encoder.get_vocab_size(), TaskContext.get().partitionId(), 0, Entries()
+        encoder = Encoder(shipped.value)
+        vocabulary, part, number, waiting = encoder.tokenizer.get_vocab_size(), TaskContext.get().partitionId(), 0, Entries()
         vocabulary = max(vocabulary, end_id + 1)
         last, ids = None, None  # repeated rows follow each other; their text is encoded once
         for batch in batches:
@@ -133,10 +199,10 @@ def write(
             for begin in range(0, len(ids_of), 256):
                 some = [x or "" for x in texts[begin : begin + 256].to_pylist()]
                 new = [t for t, before in zip(some, [last, *some]) if t != before]
-                encoded_new = iter(encoder.encode_batch_fast(new, add_special_tokens=False))
+                encoded_new = iter(encoder.encode(new))
                 for key, text in zip(ids_of[begin : begin + 256], some):
                     if text != last:
-                        last, ids = text, np.array([*next(encoded_new).ids, end_id], np.int64)
+                        last, ids = text, np.append(next(encoded_new), end_id)
                     waiting.add(key, ids)
                 while waiting.total >= block_ids:
                     yield pa.RecordBatch.from_arrays(

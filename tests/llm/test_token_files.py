@@ -1,4 +1,7 @@
+import json
+import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -64,6 +67,53 @@ def test_files_equal_the_tokenizer(spark, documents, texts, part_bytes, block_id
     assert sorted(map(tuple, plain), key=lambda r: r[1]) == [r[:4] for r in rows]
 
 
+def whole(texts, spec=None):
+    from tokenizers import Tokenizer
+
+    encoder = Tokenizer.from_str(spec) if spec else Tokenizer.from_file(path())
+    return [encoder.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_pieces_have_the_ids_of_the_whole_text(monkeypatch):
+    rnd = random.Random(3)
+    some = [*"   \n\t\x1c\x85\u00a0\u2028\u3000\u200ba7#\u00e9\u4e2d'", "b's", " don't", "<|endoftext|>", "\U0001f600"]
+    values = ["", " ", "a  b", "a \n b ", *["".join(rnd.choices(some, k=rnd.randint(0, 14))) for _ in range(20_000)]]
+    encoder = token_files.Encoder(Path(path()).read_text())
+    assert encoder.cut
+    assert [x.tolist() for x in encoder.encode(values)] == whole(values)
+    assert encoder.encode([]) == []
+    monkeypatch.setattr(token_files, "KEPT", 50)  # pieces are forgotten again and again
+    got = [x.tolist() for at in range(0, 2000, 100) for x in encoder.encode(values[at : at + 100])]
+    assert got == whole(values[:2000])
+
+
+def test_the_tokenizer_meets_equal_pieces_once():
+    encoder, met = token_files.Encoder(Path(path()).read_text()), []
+    lists = encoder._lists
+    encoder._lists = lambda texts: met.extend(texts) or lists(texts)
+    values = ["one word after one word", "word after word " * 500, "one"]
+    for _ in range(3):
+        assert [x.tolist() for x in encoder.encode(values)] == whole(values)
+    assert len(met) == len(set(met)) <= 8
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"normalizer": {"type": "Lowercase"}},
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}},
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}},
+        {"truncation": {"direction": "Right", "max_length": 3, "strategy": "LongestFirst", "stride": 0}},
+    ],
+)
+def test_other_tokenizers_get_whole_texts(change):
+    spec = json.dumps(json.loads(Path(path()).read_text()) | change)
+    values = ["One word after one WORD", "", " the end of the text"]
+    encoder = token_files.Encoder(spec)
+    assert not encoder.cut
+    assert [x.tolist() for x in encoder.encode(values)] == whole(values, spec)
+
+
 def test_damage_is_an_error(spark, documents, tmp_path):
     folder = str(tmp_path / "files")
     token_files.write(documents(["some words here"]), folder, path())
