@@ -6,8 +6,9 @@ the same two ids, or the same id, with a confidence; order 0 has a count of ever
 model counts which of the three was right, and these counts are the weights of the mixture by which the interval of a
 lane's range coder is narrowed. The decoder repeats the steps. Each block starts from nothing.
 
-Every lane has a carry-less 64-bit range coder that gives out 16-bit words; the words of all lanes are put in the order
-in which the decoder takes them.
+Every lane has a 64-bit range coder that gives out 16-bit words when its width falls below 48 bits. When the word is
+given out depends on the width alone; carries into words given out before are added at the end. The words of all lanes
+are put in the order in which the decoder takes them.
 """
 
 from __future__ import annotations
@@ -15,12 +16,17 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
-_TOP, _BOTTOM, _WORD = _U(1 << 48), _U(1 << 32), _U(16)
+_TOP, _WORD, _FIRST, _NONE = _U(1 << 48), _U(16), _U(48), _U(0)
 _LANE_IDS, _MOST_LANES = 512, 4096
 #: Steps after which the sums of the counts are made anew; at first after every step.
-_EVERY, _AT_FIRST = 4, 32
-_MOST_SURE = 7
-_TABLE_BITS = 20
+_EVERY, _AT_FIRST = 16, 32
+_TABLE_BITS, _PLACE_BITS = 20, 14
+#: The three predictors share this, each at least one of it.
+_SHARES = 1 << 16
+#: Sum of the counts at which they are halved; an interval that order 0 divides is never less than 32 bits wide.
+_MOST_COUNTED = 1 << 30
+#: A guess is its id and, in the lowest three bits, its confidence.
+_SURE = 7
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -31,58 +37,76 @@ def _shape(n: int) -> tuple[int, int]:
 
 
 class _Model:
-    def __init__(self, vocabulary: int, lanes: int):
-        self.counts, self.steps = np.ones(vocabulary, np.int64), 0
-        self.right = np.ones((_MOST_SURE + 1) * (_MOST_SURE + 1) * 2 * 3, np.int64)
-        self.guess1, self.sure1 = np.zeros(vocabulary, np.int32), np.zeros(vocabulary, np.int8)
-        self.guess2, self.sure2 = np.zeros(1 << _TABLE_BITS, np.int32), np.zeros(1 << _TABLE_BITS, np.int8)
-        self.last, self.older = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-
-    def predict(self, k: int) -> None:
-        """For the first ``k`` lanes: the two named ids, and the counts of who was right at such confidences."""
-        self.at1 = self.last[:k].copy()
-        self.at2 = ((self.older[:k] * 0x9E3779B1 + self.at1 * 0x85EBCA6B) >> 7) & ((1 << _TABLE_BITS) - 1)
-        self.id1, self.id2 = self.guess1[self.at1], self.guess2[self.at2]
-        self.now1, self.now2 = self.sure1[self.at1], self.sure2[self.at2]
-        state = (self.now2 * np.int64(_MOST_SURE + 1) + self.now1) * 2 + (self.id1 == self.id2)
-        edges = np.cumsum(self.right.reshape(-1, 3), axis=1).astype(_U)
-        self.state, self.edge1, self.edge0, self.sum = state, edges[state, 0], edges[state, 1], edges[state, 2]
+    def __init__(self, vocabulary: int, lanes: int, places: bool):
+        self.steps, self.seen, self.states = 0, [], []
+        self.counts, self.ends = np.ones((2, vocabulary), np.int32)
+        self.right = np.ones((_SURE + 1) * (_SURE + 1) * 2 * 3, np.int64)
+        self.guess1, self.guess2 = np.zeros(vocabulary, np.int32), np.zeros(1 << _TABLE_BITS, np.int32)
+        self.last, self.mixed = np.zeros((2, lanes), np.int64)
+        self.places = np.zeros((1 << _PLACE_BITS) + 1, np.int64) if places else None
+
+    def _sum(self) -> None:
+        if self.seen:
+            self.counts += 24 * np.bincount(np.concatenate(self.seen), minlength=len(self.counts)).astype(np.int32)
+            self.right += 8 * np.bincount(np.concatenate(self.states), minlength=len(self.right))
+            self.seen, self.states = [], []
+        total = int(np.cumsum(self.counts, out=self.ends)[-1])
+        if total > _MOST_COUNTED:
+            self.counts = (self.counts + 1) >> 1
+            total = int(np.cumsum(self.counts, out=self.ends)[-1])
+        # A little less than one over the sum, so that what it gives times the sum is never more than the width.
+        self.one = (1 - 2.0**-50) / total
+        upto = np.cumsum(self.right.reshape(-1, 3), axis=1)
+        shares = upto[:, :2] * (_SHARES - 3) // upto[:, 2:] + (1, 2)
+        self.shares1, self.shares0 = np.ascontiguousarray(shares.T).view(_U)
+        if self.places is not None:
+            # How many ids end in front of each of the places into which all counts are cut.
+            self.cut = max(total.bit_length() - _PLACE_BITS, 0)
+            held = np.bincount(self.ends >> self.cut, minlength=len(self.places))
+            np.cumsum(held[:-1], out=self.places[1:])
+
+    def find(self, counted: np.ndarray) -> np.ndarray:
+        """The ids in whose counts ``counted`` lie."""
+        place = counted >> self.cut
+        found = self.places.take(place)
+        # Right where no id ends within the place.
+        some = np.flatnonzero(self.places.take(place + 1) != found)
+        found[some] = np.searchsorted(self.ends, counted[some].astype(np.int32), side="right")
+        return found
+
+    def predict(self, k: int, width: np.ndarray) -> None:
+        """For the first ``k`` lanes: the two named ids, and where in the widths their parts end."""
         if self.steps < _AT_FIRST or self.steps % _EVERY == 0:
-            self.sizes = self.counts.astype(_U)
-            self.ends = np.cumsum(self.sizes)
+            self._sum()
         self.steps += 1
-
-    def who(self, ids: np.ndarray) -> np.ndarray:
-        """0 where order 2 is right, 1 where only order 1 is, else 2."""
-        return np.where(ids == self.id2, 0, np.where(ids == self.id1, 1, 2))
-
-    def learn(self, ids: np.ndarray, who: np.ndarray) -> None:
-        self.right += 8 * np.bincount(self.state * 3 + who, minlength=len(self.right))
-        np.add.at(self.counts, ids, 24)
-        for guess, sure, at, named, now in (
-            (self.guess1, self.sure1, self.at1, self.id1, self.now1),
-            (self.guess2, self.sure2, self.at2, self.id2, self.now2),
+        self.at1 = self.last[:k]
+        mixed = self.at1 * 0x9E3779B1
+        self.at2 = ((mixed + (self.mixed[:k] >> 13)) >> 7) & ((1 << _TABLE_BITS) - 1)
+        self.mixed[:k] = mixed
+        self.old1, self.old2 = self.guess1.take(self.at1), self.guess2.take(self.at2)
+        self.id1, self.id2 = self.old1 >> 3, self.old2 >> 3
+        self.sure1, self.sure2 = self.old1 & _SURE, self.old2 & _SURE
+        self.state = ((self.sure2 << 4) | (self.sure1 << 1) | (self.id1 == self.id2)).astype(np.int64)
+        share = width >> _WORD
+        self.end2, self.end1 = self.shares1.take(self.state) * share, self.shares0.take(self.state) * share
+
+    def each(self, width: np.ndarray) -> np.ndarray:
+        """The part of ``width`` that one count of order 0 has."""
+        return (width.astype(np.float64) * self.one).astype(_U)
+
+    def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """``hit2``: order 2 is right; ``hit1``: order 1 is."""
+        who = ~hit2 * (np.int8(2) - hit1.view(np.int8))
+        self.states.append(self.state * 3 + who)
+        self.seen.append(ids)
+        new = (ids.astype(np.int32) << 3) | 1
+        for guess, at, old, sure, hit in (
+            (self.guess1, self.at1, self.old1, self.sure1, hit1),
+            (self.guess2, self.at2, self.old2, self.sure2, hit2),
         ):
-            hit = named == ids
-            guess[at] = np.where(hit | (now > 1), named, ids)
-            sure[at] = np.where(hit, np.minimum(now + 1, _MOST_SURE), np.maximum(now >> 1, 1))
-        k = len(ids)
-        self.older[:k] = self.last[:k]
-        self.last[:k] = ids
-
-
-def _interval(model: _Model, who: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    below = np.where(who == 0, _U(0), np.where(who == 1, model.edge1, model.edge0))
-    above = np.where(who == 0, model.edge1, np.where(who == 1, model.edge0, model.sum))
-    return below, above - below
-
-
-def _settled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """Which coders must give out or take a word; widths that got too small are cut to the next multiple."""
-    same = (low ^ (low + width)) < _TOP
-    small = (width < _BOTTOM) & ~same
-    width[small] = (~low[small] + _U(1)) & (_BOTTOM - _U(1))
-    return np.flatnonzero(same | small)
+            wrong = np.where(sure > 1, old - ((sure + 1) >> 1), new)  # a sure one stays with half the confidence
+            guess[at] = np.where(hit, old + (sure < _SURE), wrong)
+        self.last[: len(ids)] = ids
 
 
 def encode(ids: np.ndarray, vocabulary: int) -> np.ndarray:
@@ -91,51 +115,51 @@ def encode(ids: np.ndarray, vocabulary: int) -> np.ndarray:
     lanes, length = _shape(n)
     if not n:
         return np.zeros(0, np.uint16)
-    grid = np.zeros(lanes * length, np.int64)
+    grid = np.zeros(lanes * length, np.int32)
     grid[:n] = ids
     steps = np.ascontiguousarray(grid.reshape(lanes, length).T)
     whole = n - (lanes - 1) * length  # ids of the last lane
-    model = _Model(vocabulary, lanes)
-    low, width = np.zeros(lanes, _U), np.full(lanes, ~_U(0))
-    by, words = [], []
-
-    def narrow(which, below, size, of) -> None:
-        l, w = low[which], width[which]
-        part = w // of
-        l = l + part * below
-        w = part * size
-        while len(out := _settled(l, w)):
-            by.append(which[out])
-            words.append((l[out] >> _U(48)).astype(np.uint16))
-            l[out] <<= _WORD
-            w[out] <<= _WORD
-        low[which], width[which] = l, w
-
-    every = np.arange(lanes)
+    model = _Model(vocabulary, lanes, False)
+    lows, widths = np.zeros(lanes, _U), np.full(lanes, ~_NONE)
+    most = 4 * length + 4  # words of a lane
+    words, given, order = np.zeros(lanes * most, np.uint16), np.arange(lanes) * most, []
     for t in range(length):
         k = lanes if t < whole else lanes - 1
-        x = steps[t, :k]
-        model.predict(k)
-        who = model.who(x)
-        narrow(every[:k], *_interval(model, who), model.sum)
-        new = np.flatnonzero(who == 2)
-        if len(new):
-            size = model.sizes[x[new]]
-            narrow(new, model.ends[x[new]] - size, size, model.ends[-1])
-        model.learn(x, who)
-    given = sum(map(len, by))
+        x, low, width = steps[t, :k].astype(np.int64), lows[:k], widths[:k]
+        model.predict(k, width)
+        hit2, hit1 = x == model.id2, x == model.id1
+        rest = np.flatnonzero(~(hit2 | hit1))
+        begin = np.where(hit2, _NONE, np.where(hit1, model.end2, model.end1))
+        size = np.where(hit2, model.end2, np.where(hit1, model.end1, width)) - begin
+        if len(rest):
+            one, named = model.each(size[rest]), x[rest]
+            count = model.counts.take(named)
+            begin[rest] += one * (model.ends.take(named) - count).astype(_U)
+            size[rest] = one * count.astype(_U)
+        low += begin
+        over = given[np.flatnonzero(low < begin)] - 1
+        while len(over):  # a carry goes on where it makes a word zero
+            words[over] += np.uint16(1)
+            over = over[words[over] == 0] - 1
+        width[:] = size
+        out = np.flatnonzero(size < _TOP)
+        while len(out):
+            l, w = low[out], width[out] << _WORD
+            at = given[out]
+            words[at] = l >> _FIRST
+            order.append(at)
+            given[out] = at + 1
+            low[out] = l << _WORD
+            width[out] = w
+            out = out[w < _TOP]
+        model.learn(x, hit2, hit1)
     for _ in range(4):
-        by.append(every)
-        words.append((low >> _U(48)).astype(np.uint16))
-        low <<= _WORD
-    by, words = np.concatenate(by), np.concatenate(words)
-    order = np.argsort(by, kind="stable")
-    mine = words[order]  # the words lane by lane
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    first = np.searchsorted(by[order], every)
+        words[given] = lows >> _FIRST
+        given += 1
+        lows <<= _WORD
     # A decoder holds four words of its lane: at the n-th word given out it takes the word four further on.
-    return np.concatenate((mine[(first[None, :] + np.arange(4)[:, None]).ravel()], mine[place[:given] + 4]))
+    first = words.reshape(lanes, most)[:, :4].T.ravel()
+    return np.concatenate((first, words[np.concatenate(order) + 4])) if order else first
 
 
 def decode(words: np.ndarray, n: int, vocabulary: int) -> np.ndarray:
@@ -143,46 +167,40 @@ def decode(words: np.ndarray, n: int, vocabulary: int) -> np.ndarray:
     lanes, length = _shape(n)
     if not n:
         return np.zeros(0, np.int64)
-    steps = np.zeros((length, lanes), np.int64)
+    steps = np.zeros((length, lanes), np.int32)
     whole = n - (lanes - 1) * length
-    model = _Model(vocabulary, lanes)
-    low, width, code = np.zeros(lanes, _U), np.full(lanes, ~_U(0)), np.zeros(lanes, _U)
+    model = _Model(vocabulary, lanes, True)
+    widths, codes = np.full(lanes, ~_NONE), np.zeros(lanes, _U)  # codes: how far into the widths
     at = 0
     for _ in range(4):
-        code = (code << _WORD) | words[at : at + lanes].astype(_U)
+        codes = (codes << _WORD) | words[at : at + lanes]
         at += lanes
-
-    def place(which, of) -> np.ndarray:
-        return np.minimum((code[which] - low[which]) // (width[which] // of), of - _U(1))
-
-    def narrow(which, below, size, of) -> None:
-        nonlocal at
-        l, w, c = low[which], width[which], code[which]
-        part = w // of
-        l = l + part * below
-        w = part * size
-        while len(out := _settled(l, w)):
-            l[out] <<= _WORD
-            w[out] <<= _WORD
-            c[out] = (c[out] << _WORD) | words[at : at + len(out)].astype(_U)
-            at += len(out)
-        low[which], width[which], code[which] = l, w, c
-
-    every = np.arange(lanes)
     for t in range(length):
         k = lanes if t < whole else lanes - 1
-        model.predict(k)
-        v = place(every[:k], model.sum)
-        who = (v >= model.edge1).astype(np.int64) + (v >= model.edge0)
-        narrow(every[:k], *_interval(model, who), model.sum)
-        x = np.where(who == 0, model.id2, model.id1).astype(np.int64)
-        new = np.flatnonzero(who == 2)
-        if len(new):
-            of = model.ends[-1]
-            found = np.searchsorted(model.ends, place(new, of), side="right")
-            size = model.sizes[found]
-            narrow(new, model.ends[found] - size, size, of)
-            x[new] = found
-        model.learn(x, who)
+        width, code = widths[:k], codes[:k]
+        model.predict(k, width)
+        hit2 = code < model.end2
+        rest = np.flatnonzero(code >= model.end1)
+        x = np.where(hit2, model.id2, model.id1)
+        begin = np.where(hit2, _NONE, model.end2)
+        size = np.where(hit2, model.end2, model.end1) - begin
+        if len(rest):
+            far = model.end1[rest]
+            one, inside = model.each(width[rest] - far), code[rest] - far
+            found = model.find(np.minimum((inside // one).view(np.int64), model.ends[-1] - 1))
+            count = model.counts.take(found)
+            begin[rest] = far + one * (model.ends.take(found) - count).astype(_U)
+            size[rest] = one * count.astype(_U)
+            x[rest] = found
+        code -= begin
+        width[:] = size
+        out = np.flatnonzero(size < _TOP)
+        while len(out):
+            w = width[out] << _WORD
+            code[out] = (code[out] << _WORD) | words[at : at + len(out)]
+            at += len(out)
+            width[out] = w
+            out = out[w < _TOP]
+        model.learn(x, hit2, x == model.id1)
         steps[t, :k] = x
-    return steps.T.ravel()[:n]
+    return steps.T.ravel()[:n].astype(np.int64)

@@ -3,7 +3,7 @@
 Documents are dealt into ranges of doc_id and sorted, one file per range, so the files in the order of their part
 numbers hold all documents in ascending order. A file is a sequence of blocks; a block is
 
-    header    magic ACM1, part, block, entries, ids, vocabulary, words, checksum (little-endian, 32 bits each)
+    header    magic ACM2, part, block, entries, ids, vocabulary, words, checksum (little-endian, 32 bits each)
     entries   doc_id (64 bits) of each, then length (32 bits) of each, then flags (8 bits) of each
     payload   16-bit words of the range coder (range_coder.py), which starts anew in each block
     newline
@@ -15,9 +15,9 @@ and read through Spark's reader for whole files.
 A null text is an empty one. Rows with equal doc_ids are separate documents, in the order of their texts; null doc_ids
 come first. An empty table gives no block and an empty result. Only the named columns are read.
 
-Byte-level tokenizers cut a text in front of every space after something that is not white space. What lies between two
-such spaces has the same ids in every text, so it is encoded once and looked up from then on. Other tokenizers get the
-texts in one piece.
+Byte-level tokenizers cut a text in front of every space after something that is not white space, and between ASCII
+letters, digits and marks. What lies between two such places has the same ids in every text, so a Python worker has it
+encoded once and looks it up from then on, in all its tasks. Other tokenizers get the texts in one piece.
 """
 
 from __future__ import annotations
@@ -28,11 +28,13 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,21 +42,71 @@ from pyspark.sql import functions as F
 from .range_coder import decode, encode
 from .store import new_path, stored
 
-MAGIC = b"ACM1"
+MAGIC = b"ACM2"
 _HEAD = struct.Struct("<4s6I")
 _CHECK = struct.Struct("<I")
 BLOCK_IDS = 1 << 21
 #: Bytes of text for each file.
 PART_BYTES = 32 << 20
-#: Pieces of text, and characters in them, beyond which a task begins to collect them anew.
-KEPT, KEPT_CHARS = 1 << 19, 1 << 24
-
-# White space of Python holds all that the tokenizers know as such.
-_CUT = re.compile(r"(?<=\S)(?= )")
-
-
-def _cut_at_spaces(spec: dict) -> bool:
-    """Whether a tokenizer file gives a text the ids of its pieces, cut in front of spaces that follow something else."""
+#: Bytes of text that are cut and looked up at once.
+SLICE_BYTES = 4 << 20
+#: Pieces of text, and bytes in them, beyond which a worker forgets those that it met in one slice only.
+KEPT, KEPT_BYTES = 1 << 20, 1 << 25
+
+_UNSURE, _SPACE, _WHITE, _OTHER, _LETTER, _MARK, _DIGIT, _REST = range(8)
+
+
+def _kinds() -> bytes:
+    """Of what kind a character is that begins with a byte."""
+    out = bytearray(256)
+    for b in range(256):
+        if b in b"\t\n\v\f\r":
+            out[b] = _WHITE
+        elif b == 0x20:
+            out[b] = _SPACE
+        elif b == 0x27:  # "'s" and the like are units
+            out[b] = _OTHER
+        elif 0x20 < b < 0x7F:
+            out[b] = _LETTER if chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _MARK
+        elif 0x80 <= b < 0xC0:
+            out[b] = _REST
+        elif 0xC4 <= b <= 0xC9:  # U+0100 to U+024F are letters
+            out[b] = _LETTER
+        elif b > 0xC2 and b not in (0xE1, 0xE2, 0xE3):  # those may be white space
+            out[b] = _OTHER
+    return bytes(out)
+
+
+def _cuts() -> bytes:
+    """Whether a text can be cut between two kinds (8 * the first + the second); 2: if none but the first is white there."""
+    out = bytearray(256)
+    known = (_OTHER, _LETTER, _MARK, _DIGIT)
+    for a in known:
+        out[8 * a + _SPACE] = out[8 * a + _WHITE] = 1
+        out[8 * _WHITE + a] = 2
+        for b in known:
+            out[8 * a + b] = a != b and _OTHER not in (a, b)
+    return bytes(out)
+
+
+_KINDS, _CUTS = _kinds(), _cuts()
+
+
+def _cut(text: np.ndarray) -> np.ndarray:
+    """In front of which bytes of UTF-8 a text can be cut."""
+    kinds = np.frombuffer(text.tobytes().translate(_KINDS), np.uint8).copy()
+    rest = np.flatnonzero(kinds == _REST)
+    for _ in range(3):  # the kind of a character goes to its second byte, then to its third and fourth
+        kinds[rest] = kinds[rest - 1]
+    cut = np.zeros(len(kinds), np.uint8)
+    cut[1:] = np.frombuffer(((kinds[:-1] << 3) | kinds[1:]).tobytes().translate(_CUTS), np.uint8)
+    after = np.flatnonzero(cut == 2)
+    cut[after] = (after > 1) & (kinds[after - 2] >= _OTHER)
+    return cut.view(bool)
+
+
+def _can_be_cut(spec: dict) -> bool:
+    """Whether a tokenizer file gives a text the ids of its pieces."""
     pre = spec.get("pre_tokenizer") or {}
     return (
         pre.get("type") == "ByteLevel"
@@ -75,38 +127,114 @@ class Encoder:
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cut = Tokenizer.from_str(tokenizer), _cut_at_spaces(json.loads(tokenizer))
-        self.forget()
-
-    def forget(self) -> None:
-        self.known, self.chars = {}, 0  # piece: its number
-        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)  # of all pieces, by number
+        spec = json.loads(tokenizer)
+        self.tokenizer, self.cut = Tokenizer.from_str(tokenizer), _can_be_cut(spec)
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        self.line_end = self._lists(["\n"])[0]
+        self.known, self.again = pa.array([], pa.string()), np.zeros(0, bool)  # pieces, and whether they came again
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int32)  # of all pieces, by their places
+
+    def _forget(self) -> None:
+        keep = np.flatnonzero(self.again)
+        if self.known.take(pa.array(keep)).nbytes > KEPT_BYTES // 2:
+            keep = keep[:0]
+        self.ids, self.ends = self._ids_of(keep)
+        self.known, self.again = self.known.take(pa.array(keep)), np.zeros(len(keep), bool)
+
+    def _ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known pieces one after the other, and where those of each end, with 0 in front."""
+        begins, sizes = self.ends[numbers], np.diff(self.ends)[numbers]
+        ends = np.zeros(len(sizes) + 1, np.int32)
+        np.cumsum(sizes, out=ends[1:])
+        where = np.repeat(begins - ends[:-1], sizes)
+        where += np.arange(len(where), dtype=np.int32)
+        return self.ids[where], ends
 
     def _lists(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        lists = self._lists(pieces)
-        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
-        self.chars += sum(map(len, pieces))
-        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(list(map(len, lists)))))
-        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(lists), np.int32)))
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and their numbers of pieces without white space but one space in front, which go in lines of 64."""
+        texts = ["\n".join(pieces[at : at + 64]) + "\n" for at in range(0, len(pieces), 64)]
+        found = np.fromiter(chain.from_iterable(self._lists(texts)), np.int32)
+        line_ends = found == self.line_end[0]
+        at = np.flatnonzero(line_ends)
+        # As many as there should be, so none belongs to a piece.
+        return (found[~line_ends], np.diff(at, prepend=-1) - 1) if len(at) == len(pieces) else None
+
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """The numbers that the pieces get."""
+        plain = pc.match_substring_regex(pieces, r"^ ?[^\p{Z}\p{C}]+$").to_numpy(False)
+        plain &= self.cut and len(self.line_end) == 1
+        order = np.argsort(~plain, kind="stable")
+        pieces, ids, sizes = pieces.take(pa.array(order)), [self.ids], []
+        for begin, end, joined in ((0, plain.sum(), True), (plain.sum(), len(plain), False)):
+            for at in range(begin, end, 16384):
+                some = pieces[at : min(at + 16384, end)].to_pylist()
+                found = self._joined(some) if joined else None
+                if not found:
+                    lists = self._lists(some)
+                    found = np.fromiter(chain.from_iterable(lists), np.int32), np.array(list(map(len, lists)), np.int32)
+                ids.append(found[0])
+                sizes.append(found[1])
+        numbers = np.empty(len(order), np.int32)
+        numbers[order] = np.arange(len(self.known), len(self.known) + len(order))
+        self.known, self.again = pa.concat_arrays([self.known, pieces]), np.append(self.again, np.zeros(len(order), bool))
+        self.ids = np.concatenate(ids)
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes), dtype=np.int32))
+        return numbers
+
+    def _pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of all texts, and where those of each text end."""
+        _, offsets, data = texts.buffers()
+        upto = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        first, size = upto[0], upto[-1] - upto[0]
+        if not size:
+            return self.known[:0], np.zeros(len(texts), np.int64)
+        upto, text = upto - first, np.frombuffer(data, np.uint8)[first : first + size]
+        cut = _cut(text) if self.cut else np.zeros(size, bool)
+        for token in self.added if self.cut else []:
+            for row in np.flatnonzero(pc.match_substring(texts, token)):  # they are found before a text is cut
+                cut[upto[row] : upto[row + 1]] = False
+        cut[upto[upto < size]] = True
+        begins = np.flatnonzero(cut)
+        places = np.empty(len(begins) + 1, np.int32)  # a slice, or one text, is below 2 GB
+        places[:-1], places[-1] = begins, size
+        pieces = pa.StringArray.from_buffers(len(begins), pa.py_buffer(places), pa.py_buffer(text))
+        return pieces, np.searchsorted(begins, upto[1:])
+
+    def _encode(self, texts: pa.Array) -> list[np.ndarray]:
+        if len(self.known) > KEPT or self.known.nbytes > KEPT_BYTES:
+            self._forget()
+        pieces, upto = self._pieces(texts)
+        each = pieces.dictionary_encode()
+        numbers = pc.index_in(each.dictionary, self.known)
+        new, numbers = np.flatnonzero(numbers.is_null()), numbers.fill_null(-1).to_numpy().copy()
+        self.again[numbers[numbers >= 0]] = True
+        if len(new):
+            numbers[new] = self._learn(each.dictionary.take(pa.array(new)))
+        ids, ends = self._ids_of(numbers[each.indices.to_numpy()])
+        return np.split(ids, ends[upto][:-1])
+
+    def each(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of every text; so many texts are taken at once as have SLICE_BYTES, or one."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        upto = np.cumsum(pc.binary_length(texts).to_numpy())
+        begin = 0
+        while begin < len(texts):
+            before = upto[begin - 1] if begin else 0
+            end = max(int(np.searchsorted(upto, before + SLICE_BYTES, side="right")), begin + 1)
+            yield from self._encode(texts[begin:end])
+            begin = end
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.cut or not texts:
-            return [np.array(ids, np.int64) for ids in self._lists(texts)]
-        if len(self.known) > KEPT or self.chars > KEPT_CHARS:
-            self.forget()
-        each = [_CUT.split(text) for text in texts]
-        pieces = list(chain.from_iterable(each))
-        if new := set(pieces).difference(self.known):
-            self._learn(list(new))
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        begins = self.ends[at]
-        sizes = self.ends[at + 1] - begins
-        upto = np.cumsum(sizes)
-        ids = self.ids[np.repeat(begins - upto + sizes, sizes) + np.arange(upto[-1])].astype(np.int64)
-        return np.split(ids, upto[np.cumsum(list(map(len, each))) - 1][:-1])
+        return list(self.each(pa.array(texts, pa.large_string())))
+
+
+@lru_cache(maxsize=1)
+def _encoder(tokenizer: str) -> Encoder:
+    """One for all tasks of a Python worker, so that pieces are known to the next."""
+    return Encoder(tokenizer)
 
 
 class Entries:
@@ -190,20 +318,13 @@ def write(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(shipped.value)
+        encoder = _encoder(shipped.value)
         vocabulary, part, number, waiting = encoder.tokenizer.get_vocab_size(), TaskContext.get().partitionId(), 0, Entries()
         vocabulary = max(vocabulary, end_id + 1)
-        last, ids = None, None  # repeated rows follow each other; their text is encoded once
         for batch in batches:
             ids_of, texts = batch.column(0).to_pylist(), batch.column(1)
-            for begin in range(0, len(ids_of), 256):
-                some = [x or "" for x in texts[begin : begin + 256].to_pylist()]
-                new = [t for t, before in zip(some, [last, *some]) if t != before]
-                encoded_new = iter(encoder.encode(new))
-                for key, text in zip(ids_of[begin : begin + 256], some):
-                    if text != last:
-                        last, ids = text, np.append(next(encoded_new), end_id)
-                    waiting.add(key, ids)
+            for key, ids in zip(ids_of, encoder.each(texts)):
+                waiting.add(key, np.append(ids, np.int32(end_id)))
                 while waiting.total >= block_ids:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([waiting.cut(block_ids).block(part, number, vocabulary)], pa.binary())], ["block"]
@@ -213,6 +334,7 @@ def write(
             yield pa.RecordBatch.from_arrays(
                 [pa.array([waiting.cut(waiting.total).block(part, number, vocabulary)], pa.binary())], ["block"]
             )
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0

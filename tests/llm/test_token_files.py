@@ -6,7 +6,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from schoolzones.llm import token_files
+from schoolzones.llm import range_coder, token_files
 from schoolzones.llm.range_coder import decode, encode
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -52,6 +52,19 @@ def test_small_vocabulary():
     assert (decode(encode(ids, 3), 5000, 3) == ids).all()
 
 
+def test_counts_are_halved(monkeypatch):
+    monkeypatch.setattr(range_coder, "_MOST_COUNTED", 5000)
+    ids = np.minimum((np.random.default_rng(2).pareto(1.0, 60_000) * 5).astype(np.int64), 299)
+    assert (decode(encode(ids, 300), len(ids), 300) == ids).all()
+
+
+def test_carries_go_on():
+    # Ids at the end of the vocabulary keep the coders near the top, where carries run over several words.
+    ids = np.full(300_000, 49)
+    ids[np.random.default_rng(5).integers(0, len(ids), 3000)] = 3
+    assert (decode(encode(ids, 50), len(ids), 50) == ids).all()
+
+
 @pytest.mark.parametrize("part_bytes,block_ids", [(1 << 20, 1 << 20), (3000, 700)])
 def test_files_equal_the_tokenizer(spark, documents, texts, part_bytes, block_ids, tmp_path):
     values = texts(60) + ["<|endoftext|> # \u0000 \U0001f600", None, "", "#"]
@@ -97,6 +110,41 @@ def test_the_tokenizer_meets_equal_pieces_once():
     assert len(met) == len(set(met)) <= 8
 
 
+def test_marks_digits_and_lines_are_cut_off():
+    encoder, met = token_files.Encoder(Path(path()).read_text()), []
+    lists = encoder._lists
+    encoder._lists = lambda texts: met.extend(texts) or lists(texts)
+    values = ["a word, a word; (word)\nword.\nword 5 word5 word### word", "word\n", "word's"]
+    assert [x.tolist() for x in encoder.encode(values)] == whole(values)
+    pieces = [p for text in met for p in text.removesuffix("\n").split("\n")]
+    assert pieces.count(" word") == pieces.count("word") == 1
+    assert not {" word,", " word;", " word###", "word)\nword.\nword"} & {*met, *pieces}
+
+
+def test_cuts_change_no_id():
+    rnd = random.Random(7)
+    some = [
+        *"abZ09.,!#_'|<>  \n\n\t\r\v\f", "'s", "'ll", "<|endoftext|>", "<|", "endoftext", "\x00", "\x1c", "\x7f", "\x85",
+        *"\u00a0\u00d7\u00f7\u00df\u00e9\u00c0\u0101\u024f\u0250\u0301\u0660\u1680\u180e\u2003\u2014\u2028\u202f\u3000\u4e2d\u00b2\u0e01\U0001f600\U00010400",
+    ]
+    values = ["".join(rnd.choices(some, k=rnd.randint(0, 12))) for _ in range(30_000)]
+    encoder = token_files.Encoder(Path(path()).read_text())
+    assert [x.tolist() for x in encoder.encode(values)] == whole(values)
+
+
+def test_what_comes_again_is_kept(monkeypatch):
+    monkeypatch.setattr(token_files, "KEPT", 4)
+    encoder = token_files.Encoder(Path(path()).read_text())
+    for values in (["one two"], ["one three four five"], ["one six"], ["one two six"], [" ", "", "x" * 500]):
+        assert [x.tolist() for x in encoder.encode(values)] == whole(values)
+    assert "one" in encoder.known.to_pylist() and " three" not in encoder.known.to_pylist()
+    monkeypatch.setattr(token_files, "KEPT_BYTES", 8)
+    for values in (["one two"], ["one two three"], ["one", "two"]):
+        assert [x.tolist() for x in encoder.encode(values)] == whole(values)
+    spec = Path(path()).read_text()
+    assert token_files._encoder(spec) is token_files._encoder(spec)  # for all tasks of a worker
+
+
 @pytest.mark.parametrize(
     "change",
     [
