@@ -49,7 +49,7 @@ BLOCK_IDS = 1 << 21
 #: Bytes of text for each file.
 PART_BYTES = 32 << 20
 #: Bytes of text that are cut and looked up at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 #: Pieces of text, and bytes in them, beyond which a worker forgets those that it met in one slice only.
 KEPT, KEPT_BYTES = 1 << 20, 1 << 25
 
@@ -153,9 +153,10 @@ class Encoder:
     def _lists(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+    def _joined(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids and their numbers of pieces without white space but one space in front, which go in lines of 64."""
-        texts = ["\n".join(pieces[at : at + 64]) + "\n" for at in range(0, len(pieces), 64)]
+        lines = pa.ListArray.from_arrays(pa.array([*range(0, len(pieces), 64), len(pieces)], pa.int32()), pieces)
+        texts = [text + "\n" for text in pc.binary_join(lines, "\n").to_pylist()]
         found = np.fromiter(chain.from_iterable(self._lists(texts)), np.int32)
         line_ends = found == self.line_end[0]
         at = np.flatnonzero(line_ends)
@@ -170,10 +171,10 @@ class Encoder:
         pieces, ids, sizes = pieces.take(pa.array(order)), [self.ids], []
         for begin, end, joined in ((0, plain.sum(), True), (plain.sum(), len(plain), False)):
             for at in range(begin, end, 16384):
-                some = pieces[at : min(at + 16384, end)].to_pylist()
+                some = pieces[at : min(at + 16384, end)]
                 found = self._joined(some) if joined else None
                 if not found:
-                    lists = self._lists(some)
+                    lists = self._lists(some.to_pylist())
                     found = np.fromiter(chain.from_iterable(lists), np.int32), np.array(list(map(len, lists)), np.int32)
                 ids.append(found[0])
                 sizes.append(found[1])
@@ -208,9 +209,12 @@ class Encoder:
             self._forget()
         pieces, upto = self._pieces(texts)
         each = pieces.dictionary_encode()
-        numbers = pc.index_in(each.dictionary, self.known)
-        new, numbers = np.flatnonzero(numbers.is_null()), numbers.fill_null(-1).to_numpy().copy()
-        self.again[numbers[numbers >= 0]] = True
+        # Looked up this way round, as the known ones are many more.
+        found = pc.index_in(self.known, each.dictionary)
+        met, numbers = np.flatnonzero(found.is_valid()), np.full(len(each.dictionary), -1, np.int32)
+        numbers[found.drop_null().to_numpy()] = met
+        self.again[met] = True
+        new = np.flatnonzero(numbers < 0)
         if len(new):
             numbers[new] = self._learn(each.dictionary.take(pa.array(new)))
         ids, ends = self._ids_of(numbers[each.indices.to_numpy()])
