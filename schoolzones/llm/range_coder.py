@@ -118,6 +118,7 @@ def encode(ids: np.ndarray, vocabulary: int) -> np.ndarray:
     grid = np.zeros(lanes * length, np.int32)
     grid[:n] = ids
     steps = np.ascontiguousarray(grid.reshape(lanes, length).T)
+    del grid
     whole = n - (lanes - 1) * length  # ids of the last lane
     model = _Model(vocabulary, lanes, False)
     lows, widths = np.zeros(lanes, _U), np.full(lanes, ~_NONE)

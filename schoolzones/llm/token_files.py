@@ -49,9 +49,9 @@ BLOCK_IDS = 1 << 21
 #: Bytes of text for each file.
 PART_BYTES = 32 << 20
 #: Bytes of text that are cut and looked up at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Pieces of text, and bytes in them, beyond which a worker forgets those that it met in one slice only.
-KEPT, KEPT_BYTES = 1 << 20, 1 << 25
+KEPT, KEPT_BYTES = 1 << 19, 1 << 24
 
 _UNSURE, _SPACE, _WHITE, _OTHER, _LETTER, _MARK, _DIGIT, _REST = range(8)
 
@@ -222,13 +222,13 @@ class Encoder:
 
     def each(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of every text; so many texts are taken at once as have SLICE_BYTES, or one."""
-        texts = texts.cast(pa.large_string()).fill_null("")
-        upto = np.cumsum(pc.binary_length(texts).to_numpy())
+        upto = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(False), dtype=np.int64)
         begin = 0
         while begin < len(texts):
             before = upto[begin - 1] if begin else 0
             end = max(int(np.searchsorted(upto, before + SLICE_BYTES, side="right")), begin + 1)
-            yield from self._encode(texts[begin:end])
+            yield from self._encode(texts[begin:end].cast(pa.large_string()).fill_null(""))
+            pa.default_memory_pool().release_unused()
             begin = end
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
