@@ -280,3 +280,149 @@ def test_learning_equals_brute_force(spark):
     want = brute_texts(rows)
     assert got == want
     assert any("Fixed" in t for t in want.values()) and any("Fixed" not in t for t in want.values())
+
+
+def stories(i):
+    return "".join(f"<p>story {i}.{k}</p>" for k in range(1 + i % 4))
+
+
+#: Pages without an article, and what is left of them: {0} is the page's number, {1} its one to four paragraphs.
+LAYOUTS = [
+    ("<p>Menu</p>{1}<p>Share this</p><p>Imprint</p>", "{1}"),
+    ("<font><div>Menu</div><div>{1}</div><div>Call us</div></font>", "{1}"),
+    ("<a href=x><span><div>Menu</div></span></a><div>{1}</div>", "{1}"),
+    ("Menu of <i>this</i> site<div>{1}</div>Call us", "{1}"),
+    ("<b>own {0}</b><div>Menu</div>", "own {0}"),
+    ("<div>Menu<script>t({0})</script></div><p>Now<button>x{0}</button></p><div>{1}</div>", "{1}"),
+    ("<table><tr><td>Menu</td></tr><tr><td>{1}</td></tr><tr><td>Imprint</td></tr></table>", "{1}"),
+    ("<table><tr><td><div>Home</div><div>News</div><td>{1}<p>more {0}</p></table>", "{1}|more {0}"),
+    ("<div>Menu</div><table><tr><th>Name<th>Price<tr><td>Salt<td>{0} cent<tr><td>Oil<td>9</table>", "Name|Price|Salt|{0} cent|Oil|9"),
+    ("<table><tr><td>Name<td>Price</table><table><tr><td>Salt<td>{0} cent</table>", "Salt|{0} cent"),
+    ("<ul><li><p>Salt<li><p>{0} eggs</ul><ol><li><p>Home<li><p>News</ol>", "Salt|{0} eggs"),
+    ("<ul><li>{1}<div>Share<ul><li>Mail<li>Print</ul></div><li>Notes<ul><li>One<li>Two</ul></ul>", "{1}|Notes|One|Two"),
+    ("<dl><dt>Needs<dd>Salt<dd>{0} eggs</dl>", "Salt|{0} eggs"),
+]
+
+
+def test_every_text_of_a_page_is_judged(spark):
+    """Wherever it stands: among paragraphs, in inline elements, beside blocks or noise, in cells and in list items."""
+    rows, want = [], {}
+    for k, (page, left) in enumerate(LAYOUTS):
+        for i in range(12):
+            rows.append((100 * k + i, f"https://h{k}.example/", "<body>" + page.format(i, stories(i)) + "</body>"))
+            own = "|".join(f"story {i}.{n}" for n in range(1 + i % 4))
+            want[100 * k + i] = left.format(i, own).split("|")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"].split("\n\n") for r in html_text.main_text(df).collect()} == want
+
+
+def random_page(rnd, unique, depth=0):
+    tags = "div p section ul li table tr td th dl dt dd h2 article main a b span font nav script br center".split()
+    out = []
+    for _ in range(rnd.randint(0, 4) if depth else 6):
+        if depth > 5 or rnd.random() < 0.4:
+            out.append(f" w{next(unique)} ")
+        else:
+            tag = rnd.choice(tags)
+            named = rnd.choice(["", "", "", " class=share", " class=main"])
+            out.append(f"<{tag}{named}>{random_page(rnd, unique, depth + 1)}" + f"</{tag}>" * (rnd.random() < 0.8))
+    return "".join(out)
+
+
+def test_every_text_is_a_leaf():
+    """Nothing that can be text is missing in the outline, below articles neither; with all leaves gone no text is left."""
+    rnd = random.Random(6)
+    inside = 0
+    for _ in range(400):
+        top = tree(random_page(rnd, iter(range(10**6))))
+        leaves, stack = [], [fold(top)]
+        while stack:
+            x = stack.pop()
+            stack.extend(x.children)
+            if not (x.children or x.label.endswith("!")):
+                leaves.append(x)
+        texts = [block[1] for block in html_text._blocks(top, set(), True)]
+        hashes = [x.text for x in leaves if x.text]
+        assert len(hashes) == len(set(hashes)) and {html_text.crc32(t.encode()) for t in texts} <= set(hashes)
+        if html_text._content(top):
+            inside += len(texts) > 1
+        else:
+            assert html_text.extract(top, {id(x.nodes[0]) for x in leaves}) == ""
+    assert inside > 50
+
+
+def test_matching_goes_into_articles():
+    page = "<body><div>Menu</div><main><div><article><h1>{0}</h1><p>own {0}</p><p>Share</p>{1}</article></div></main></body>"
+    a, b = (fold(tree(page.format(i, stories(i)))) for i in (1, 2))
+    equal = {y.nodes[0].items[0].items[0] for x, y in match(a, b) if x.text == y.text and not x.children}
+    assert equal == {"Menu", "Share"}
+    # Such a node is template as a recurring block is, and articles in which nothing else is stay whole.
+    top = tree(page.format(1, stories(1)))
+    share = {id(y.nodes[0]) for x, y in match(a, fold(top)) if y.nodes[0].tag == "p" and x.text == html_text.crc32(b"Share")}
+    assert len(share) == 1
+    assert html_text.extract(top, share, set()) == "1\n\nown 1\n\nstory 1.0\n\nstory 1.1"
+
+
+def test_largest_pairing_with_most_equal_texts():
+    """Against every pairing of two lists: as many as can be, and of those one with the most equal texts."""
+    rnd = random.Random(7)
+
+    def best(a, b):
+        if not a or not b:
+            return 0, 0
+        with_both = best(a[1:], b[1:])
+        return max(best(a[1:], b), best(a, b[1:]), (with_both[0] + 1, with_both[1] + (a[0] == b[0])) if a[0][0] == b[0][0] else (0, 0))
+
+    for _ in range(200):
+        a, b = ([(rnd.choice("ppph"), rnd.randint(1, 4)) for _ in range(rnd.randint(0, 6))] for _ in range(2))
+        pairs = match(*(Folded("r", 0, [Folded(tag, text, [], []) for tag, text in z], []) for z in (a, b)))[1:]
+        assert all(x.label == y.label for x, y in pairs)
+        assert (len(pairs), sum(x.text == y.text for x, y in pairs)) == best(a, b)
+
+
+def test_long_lists_pair_as_heavily_as_full_tables():
+    """Lists that differ little and much, near the diagonal and far from it."""
+    rnd = random.Random(8)
+    for n in range(60):
+        size = {(x, y): 100 if x == y else rnd.choice([0, 100]) for x in range(3) for y in range(3)}
+        left = [rnd.randrange(3) for _ in range(rnd.randint(40, 120))]
+        right = list(left) if n % 2 else [rnd.randrange(3) for _ in range(rnd.randint(40, 120))]
+        for _ in range(rnd.randint(0, 40) if n % 2 else 0):
+            right.insert(rnd.randint(0, len(right)), rnd.randrange(3))
+        same = [[10 * x + rnd.randrange(9) for x in z] for z in (left, right)]
+        more = *same, [1 + x % 2 for x in same[0]]
+        last = [0] * (len(right) + 1)
+        for i, x in enumerate(left):
+            row = [0]
+            for j, y in enumerate(right):
+                weight = size[x, y] + (more[2][i] if same[0][i] == same[1][j] else 0)
+                row.append(max(row[j], last[j + 1], last[j] + weight if weight else 0))
+            last = row
+        total, rows = _align(left, right, size, more)
+        assert total == last[-1]
+        i, j, weight = len(left), len(right), 0
+        while i and j:
+            if rows[i - 1][0][(j - 1) // 8] >> (j - 1) % 8 & 1:
+                i -= 1
+            elif rows[i - 1][1][(j - 1) // 8] >> (j - 1) % 8 & 1:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                weight += size[left[i], right[j]] + (more[2][i] if same[0][i] == same[1][j] else 0)
+        assert weight == total
+
+
+def test_long_pages_of_paragraphs():
+    """20,000 paragraphs beside some fewer: those that recur meet themselves."""
+    rnd = random.Random(9)
+
+    def page(n):
+        return fold(tree("<p>Menu</p>" + "".join(f"<p>{rnd.random()}</p>" for _ in range(n)) + "<p>Share</p><p>End</p><p>Imprint</p>"))
+
+    a, b = page(20_000), page(19_900)
+    equal = [y.nodes[0].items[0].items[0] for x, y in match(a, b) if x.text == y.text and not x.children]
+    assert sorted(equal) == ["End", "Imprint", "Menu", "Share"]
+
+
+def test_rows_end_before_the_next():
+    assert text("<table><tr class=ad><td>buy<tr><td>a<td>b<tr><td>c</table>") == "a\n\nb\n\nc"
